@@ -208,13 +208,47 @@ def silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     return read_sales(spark, f"{folder}/silver", type(SALES)(columns))
 
 
-def warehouse_tables(spark: SparkSession, base: str) -> DataFrame:
-    """The star saved to a database of its own and listed from there."""
+def sample_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    path = scratch.new_path(spark, "sample")
+    first = sample_rows(spark, base)
+    files.write_sample(first, path)
+    return spark.read.schema(first.schema).option("header", True).csv(path)
+
+
+def quality_json_roundtrip(spark: SparkSession, base: str) -> DataFrame:
+    path = scratch.new_path(spark, "quality")
+    files.write_quality(quality_report(dirty(spark, base)), path)
+    verdicts = F.from_json("value", "map<string,boolean>")
+    return spark.read.text(path).select(F.explode(verdicts).alias("check_name", "passed"))
+
+
+def saved_star(spark: SparkSession, base: str) -> str:
+    """The star saved to a database of its own, whose name is returned."""
     path = scratch.new_path(spark, "warehouse")
     database = path.rsplit("/", 1)[1].replace("-", "_")
     warehouse.create_database(spark, database, path)
     warehouse.save_star(full_star(spark, base), database)
-    return warehouse.list_tables(spark, database)
+    return database
+
+
+def warehouse_tables(spark: SparkSession, base: str) -> DataFrame:
+    return warehouse.list_tables(spark, saved_star(spark, base))
+
+
+def warehouse_sql(spark: SparkSession, base: str) -> DataFrame:
+    """Revenue by month and category as a user writes it against the saved tables."""
+    database = saved_star(spark, base)
+    return spark.sql(
+        f"""
+        SELECT d.year, d.month, d.month_name, p.category,
+          CAST(SUM(CAST(f.sales_amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue
+        FROM {database}.fact_sales f
+        JOIN {database}.dim_date d ON f.order_date_key = d.date_key
+        JOIN {database}.dim_product p ON f.product_key = p.product_key
+        GROUP BY d.year, d.month, d.month_name, p.category
+        ORDER BY d.year, d.month, p.category
+        """
+    )
 
 
 def text_table(panel: Callable[[DataFrame], DataFrame]) -> Query:
@@ -283,5 +317,8 @@ QUERIES: dict[str, Query] = {
     "synth_contract": synth_contract,
     "summary_csv_roundtrip": summary_csv_roundtrip,
     "silver_roundtrip": silver_roundtrip,
+    "sample_csv_roundtrip": sample_csv_roundtrip,
+    "quality_json_roundtrip": quality_json_roundtrip,
     "warehouse_tables": warehouse_tables,
+    "warehouse_sql": warehouse_sql,
 }

@@ -164,7 +164,7 @@ FROM (SELECT {keys}, count(*) AS n FROM {table} GROUP BY ALL)""")
     return " UNION ALL ".join(parts)
 
 
-_QUALITY = """,
+_CHECKS = """,
 failed AS (
   SELECT
     count(*) FILTER (WHERE order_id IS NULL) AS order_id_not_null,
@@ -179,10 +179,11 @@ failed AS (
   FROM sales),
 checks AS (
   SELECT check_name, failed_rows, failed_rows = 0 AS passed
-  FROM (UNPIVOT failed ON COLUMNS(*) INTO NAME check_name VALUE failed_rows))
-SELECT * FROM checks
-UNION ALL
-SELECT 'overall_success', count(*) FILTER (WHERE NOT passed), bool_and(passed) FROM checks"""
+  FROM (UNPIVOT failed ON COLUMNS(*) INTO NAME check_name VALUE failed_rows)
+  UNION ALL
+  SELECT 'overall_success', count(*) FILTER (WHERE failed_rows > 0), bool_and(failed_rows = 0)
+  FROM (UNPIVOT failed ON COLUMNS(*) INTO NAME check_name VALUE failed_rows))"""
+_QUALITY = f"{_CHECKS} SELECT * FROM checks"
 
 _SUMMARY_MEASURES = f"""{_REVENUE}, count(*) AS total_orders,
   count(DISTINCT customer_id) AS unique_customers"""
@@ -343,6 +344,16 @@ SELECT (SELECT count(*) FROM events) AS "rows",
   0::BIGINT AS broken_price""",
     "summary_csv_roundtrip": _CLEAN + _TOP_PER_CATEGORY,
     "silver_roundtrip": f"{_CLEAN} SELECT * FROM sales",
+    "sample_csv_roundtrip": f"{_ctes(_COLUMNS, row_id=True)} "
+    "SELECT * FROM sales ORDER BY row_id LIMIT 50",
+    "quality_json_roundtrip": f"{_DIRTY}{_CHECKS} SELECT check_name, passed FROM checks",
+    "warehouse_sql": f"""{_STAR}
+SELECT d.year, d.month, d.month_name, p.category,
+  sum(f.sales_amount::DECIMAL(18,2))::DOUBLE AS revenue
+FROM fact_sales f
+JOIN dim_date d ON f.order_date_key = d.date_key
+JOIN dim_product p ON f.product_key = p.product_key
+GROUP BY ALL""",
     "warehouse_tables": f"{_STAR} "
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _STAR_TABLES

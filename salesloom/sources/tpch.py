@@ -18,8 +18,25 @@ LINE_ORDER = (
 )
 
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def read(spark: SparkSession, base: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{base}/{table}.parquet")
+    return spark.read.schema(TABLES[table]).parquet(f"{base}/{table}.parquet")
 
 
 def _padded(prefix: str, key: Column, width: int) -> Column:
@@ -27,7 +44,11 @@ def _padded(prefix: str, key: Column, width: int) -> Column:
 
 
 def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> DataFrame:
-    """Orders are widened first, so that the far longer line table is shuffled for two joins only."""
+    """Orders are widened first, so that the far longer line table is shuffled for two joins only.
+
+    Lines and orders both grow with the business, so their join is a merge join at any size; AQE
+    splits a partition that holds a hot order. The other sides are broadcast while they are small.
+    """
     if lines is None:
         lines = read(spark, base, "lineitem")
     orders = (
@@ -36,7 +57,7 @@ def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> D
         .join(read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read(spark, base, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         read(spark, base, "part"), F.col("l_partkey") == F.col("p_partkey")
     )
 
