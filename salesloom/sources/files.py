@@ -14,11 +14,13 @@ def _path_missing(error: AnalysisException) -> bool:
 def read_sales(spark: SparkSession, path: str, schema: T.StructType = SALES) -> DataFrame:
     """Stored sales Parquet; says how to make it if there is none."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if _path_missing(error):
             raise FileNotFoundError(f"Missing {path}. Run the batch job first.") from error
         raise
+    # Folder columns come last when read.
+    return stored.select(*schema.fieldNames())
 
 
 def read_summary(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
