@@ -142,15 +142,11 @@ def sample_rows(spark: SparkSession, base: str) -> DataFrame:
 
 def part_catalog_json(spark: SparkSession, base: str) -> DataFrame:
     """The part table as nested catalog documents, one per part."""
-    item = F.struct(
-        F.col("p_name").alias("name"),
-        F.col("p_retailprice").alias("price"),
-        F.concat(F.lit("P-"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias(
-            "product_id"
-        ),
+    product_id = tpch.SALES_COLUMNS["product_id"]
+    item = f"named_struct('name', p_name, 'price', p_retailprice, 'product_id', {product_id})"
+    return tpch.read(spark, base, "part").selectExpr(
+        f"to_json(map(p_type, map(p_brand, array({item})))) AS value"
     )
-    nested = F.create_map("p_type", F.create_map("p_brand", F.array(item)))
-    return tpch.read(spark, base, "part").select(F.to_json(nested).alias("value"))
 
 
 def catalog_flatten(spark: SparkSession, base: str) -> DataFrame:

@@ -8,9 +8,14 @@ _JOIN = """
   JOIN region ON n_regionkey = r_regionkey
   JOIN part ON l_partkey = p_partkey"""
 
-_ORDER_ID = "'US-' || year(o_orderdate) || '-' || lpad(o_orderkey::VARCHAR, 9, '0')"
-_CUSTOMER_ID = "'C-' || lpad(c_custkey::VARCHAR, 9, '0')"
-_PRODUCT_ID = "'P-' || lpad(p_partkey::VARCHAR, 9, '0')"
+
+def _nine_digits(key: str) -> str:
+    return f"lpad({key}::VARCHAR, greatest(9, length({key}::VARCHAR))::INTEGER, '0')"
+
+
+_ORDER_ID = f"'US-' || year(o_orderdate) || '-' || {_nine_digits('o_orderkey')}"
+_CUSTOMER_ID = f"'C-' || {_nine_digits('c_custkey')}"
+_PRODUCT_ID = f"'P-' || {_nine_digits('p_partkey')}"
 
 _COLUMNS = f"""
     {_ORDER_ID} AS order_id,

@@ -1,6 +1,6 @@
 """Retail sales as a view over order, customer, place and part tables."""
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.operators.keys import with_surrogate_key
@@ -17,7 +17,6 @@ LINE_ORDER = (
     "l_shipdate",
 )
 
-
 TABLES = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -39,10 +38,6 @@ def read(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{base}/{table}.parquet")
 
 
-def _padded(prefix: str, key: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(key.cast("string"), width, "0"))
-
-
 def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> DataFrame:
     """Orders are widened first, so that the far longer line table is shuffled for two joins only.
 
@@ -62,82 +57,72 @@ def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> D
     )
 
 
-def _sales_columns() -> dict[str, Column]:
-    customer = F.col("c_custkey")
-    return {
-        "order_id": F.concat(
-            F.lit("US-"),
-            F.year("o_orderdate").cast("string"),
-            _padded("-", F.col("o_orderkey"), 9),
-        ),
-        "order_date": F.to_date("o_orderdate"),
-        "ship_date": F.to_date("l_shipdate"),
-        "ship_mode": F.col("o_orderpriority"),
-        "customer_id": _padded("C-", customer, 9),
-        "customer_name": F.col("c_name"),
-        "segment": F.col("c_mktsegment"),
-        "city": F.concat(F.lit("CITY_"), (customer % 100).cast("string")),
-        "state": F.col("n_name"),
-        "postal_code": _padded("", customer % 100000, 5),
-        "region": F.col("r_name"),
-        "category": F.col("p_type"),
-        "sub_category": F.col("p_brand"),
-        "product_id": _padded("P-", F.col("p_partkey"), 9),
-        "product_name": F.col("p_name"),
-        "price": F.col("p_retailprice"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "discount": F.col("l_discount"),
-    }
-
-
-def _dirty_columns() -> dict[str, Column]:
-    """The same view with planted faults, each by a fixed rule on the source keys."""
-    columns = _sales_columns()
-    line, order = F.col("l_linenumber"), F.col("l_orderkey")
-    discount = columns["discount"]
-    columns["price"] = F.when(F.col("l_partkey") % 97 != 0, columns["price"])
-    columns["quantity"] = F.when(line != 5, columns["quantity"])
-    columns["discount"] = (
-        F.when(line == 7, discount * 20)
-        .when(line == 6, -discount)
-        .when(line == 4, F.lit(None).cast("double"))
-        .otherwise(discount)
-    )
-    columns["customer_id"] = F.when(order % 101 != 0, columns["customer_id"])
-    columns["region"] = F.when(order % 103 != 0, columns["region"])
-    columns["order_date"] = F.when(order % 107 == 0, F.lit("not-a-date")).otherwise(
-        columns["order_date"].cast("string")
-    )
-    return columns
+def _nine_digits(key: str) -> str:
+    """Padded to nine digits; longer keys stay whole, where plain lpad would cut them."""
+    return f"lpad(string({key}), greatest(9, length(string({key}))), '0')"
+
+
+SALES_COLUMNS = {
+    "order_id": f"concat('US-', year(o_orderdate), '-', {_nine_digits('o_orderkey')})",
+    "order_date": "to_date(o_orderdate)",
+    "ship_date": "to_date(l_shipdate)",
+    "ship_mode": "o_orderpriority",
+    "customer_id": f"concat('C-', {_nine_digits('c_custkey')})",
+    "customer_name": "c_name",
+    "segment": "c_mktsegment",
+    "city": "concat('CITY_', c_custkey % 100)",
+    "state": "n_name",
+    "postal_code": "lpad(string(c_custkey % 100000), 5, '0')",
+    "region": "r_name",
+    "category": "p_type",
+    "sub_category": "p_brand",
+    "product_id": f"concat('P-', {_nine_digits('p_partkey')})",
+    "product_name": "p_name",
+    "price": "p_retailprice",
+    "quantity": "int(l_quantity)",
+    "discount": "l_discount",
+}
+
+# The same columns with planted faults, each by a fixed rule on the source keys.
+DIRTY_COLUMNS = SALES_COLUMNS | {
+    "price": "CASE WHEN l_partkey % 97 <> 0 THEN p_retailprice END",
+    "quantity": "CASE WHEN l_linenumber <> 5 THEN int(l_quantity) END",
+    "discount": "CASE l_linenumber WHEN 7 THEN l_discount * 20 WHEN 6 THEN -l_discount "
+    "WHEN 4 THEN NULL ELSE l_discount END",
+    "customer_id": f"CASE WHEN l_orderkey % 101 <> 0 THEN {SALES_COLUMNS['customer_id']} END",
+    "region": "CASE WHEN l_orderkey % 103 <> 0 THEN r_name END",
+    "order_date": "CASE WHEN l_orderkey % 107 = 0 THEN 'not-a-date' "
+    "ELSE string(to_date(o_orderdate)) END",
+}
 
 
-def _named(columns: dict[str, Column]) -> list[Column]:
-    return [column.alias(name) for name, column in columns.items()]
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
 def sales(spark: SparkSession, base: str) -> DataFrame:
     """Raw sales without row ids: what most questions need."""
-    return _joined(spark, base).select(*_named(_sales_columns()))
+    return _joined(spark, base).selectExpr(*_named(SALES_COLUMNS))
 
 
 def dirty_sales(spark: SparkSession, base: str) -> DataFrame:
-    return _joined(spark, base).select(*_named(_dirty_columns()))
+    return _joined(spark, base).selectExpr(*_named(DIRTY_COLUMNS))
 
 
-def _numbered(spark: SparkSession, base: str, columns: dict[str, Column]) -> DataFrame:
+def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
     lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
     order = [*LINE_ORDER, "_line"]
-    wide = _joined(spark, base, lines).select(*order, *_named(columns))
+    wide = _joined(spark, base, lines).selectExpr(*order, *_named(columns))
     return with_surrogate_key(wide, [F.asc_nulls_last(c) for c in order], "row_id", drop=order)
 
 
 def numbered_sales(spark: SparkSession, base: str) -> DataFrame:
     """Raw sales with dense row ids, from a written table."""
-    return _numbered(spark, base, _sales_columns())
+    return _numbered(spark, base, SALES_COLUMNS)
 
 
 def numbered_dirty_sales(spark: SparkSession, base: str) -> DataFrame:
-    return _numbered(spark, base, _dirty_columns())
+    return _numbered(spark, base, DIRTY_COLUMNS)
 
 
 def first_sales(spark: SparkSession, base: str, n: int) -> DataFrame:
@@ -145,7 +130,7 @@ def first_sales(spark: SparkSession, base: str, n: int) -> DataFrame:
     order = [F.asc_nulls_last(c) for c in LINE_ORDER]
     first = (
         _joined(spark, base)
-        .select(*LINE_ORDER, *_named(_sales_columns()))
+        .selectExpr(*LINE_ORDER, *_named(SALES_COLUMNS))
         .orderBy(*order)
         .limit(n)
     )
