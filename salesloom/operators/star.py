@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,8 +145,10 @@ class Star:
 
 def dimensions(sales: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three numbered dimensions. Their jobs do not depend on each other and run side by side."""
-    with ThreadPoolExecutor(3) as pool:
-        builds = [pool.submit(build, sales) for build in (dim_customer, dim_product, dim_location)]
+    steps = (dim_customer, dim_product, dim_location)
+    with ThreadPoolExecutor(len(steps)) as pool:
+        # Job groups and other local properties of the caller apply in the threads too.
+        builds = [pool.submit(inheritable_thread_target(step), sales) for step in steps]
         customers, products, locations = (build.result() for build in builds)
     return customers, products, locations
 

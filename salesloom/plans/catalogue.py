@@ -206,7 +206,7 @@ def silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 
 def sample_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     path = scratch.new_path(spark, "sample")
-    first = sample_rows(spark, base)
+    first = scratch.materialize(sample_rows(spark, base), "sample")
     files.write_sample(first, path)
     return spark.read.schema(first.schema).option("header", True).csv(path)
 

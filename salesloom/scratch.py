@@ -37,3 +37,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no frame reads them any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

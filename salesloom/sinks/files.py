@@ -12,19 +12,29 @@ def write_bronze(df: DataFrame, path: str) -> None:
 def write_silver(df: DataFrame, path: str) -> None:
     """Enriched lines in one folder per order month, which period filters prune.
 
-    The rebalance keeps files near the advisory size: small months share no task with others'
-    leftovers, and a month that holds much of the data is split over many tasks.
+    The rebalance keeps files near the advisory size: small months share a task, and a month that
+    holds much of the data is split over many tasks. Row ids are sorted within each file.
     """
     period = ["order_year", "order_month"]
-    df.hint("rebalance", *[F.col(c) for c in period]).write.mode("overwrite").partitionBy(
-        *period
-    ).parquet(path)
+    order = [*period, "row_id"] if "row_id" in df.columns else period
+    balanced = df.hint("rebalance", *[F.col(c) for c in period]).sortWithinPartitions(*order)
+    balanced.write.mode("overwrite").partitionBy(*period).parquet(path)
+
+
+def first_rows(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` stored lines by row id.
+
+    The ids alone are read to find the last one wanted. The filter on it then lets the reader skip
+    row groups, so whole lines are read only near the start.
+    """
+    ids = df.select("row_id").where(F.col("row_id").isNotNull()).orderBy("row_id").limit(n)
+    last = ids.agg(F.max("row_id")).first()[0]
+    return df.where(F.col("row_id") <= F.lit(last).cast("bigint")).orderBy("row_id").limit(n)
 
 
 def write_sample(df: DataFrame, path: str, n: int = 50) -> None:
-    """The first ``n`` lines by row id as CSV with a header."""
-    first = df.orderBy("row_id").limit(n)
-    first.write.mode("overwrite").option("header", True).csv(path)
+    """The first ``n`` stored lines as CSV with a header."""
+    first_rows(df, n).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_summaries(summaries: dict[str, DataFrame], folder: str) -> None:

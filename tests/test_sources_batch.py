@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from salesloom import scratch
 from salesloom.functions import customer_id, parse_date
 from salesloom.plans.batch import run_batch, validate
 from salesloom.plans.dashboard import open_dashboard
@@ -266,3 +267,18 @@ def test_sales_as_sql_view(spark, lines):
         assert spark.sql("SELECT count(*) FROM sales_data").first()[0] == 6000
     finally:
         spark.catalog.dropTempView("sales_data")
+
+
+def test_first_rows(spark, batch):
+    stored = read_sales(spark, f"{batch[0]}/silver")
+    assert [r.row_id for r in files.first_rows(stored, 7).collect()] == list(range(1, 8))
+    assert files.first_rows(stored.limit(0), 7).count() == 0
+
+
+def test_scratch_can_be_cleared(spark):
+    table = scratch.materialize(spark.range(3), "numbers")
+    assert table.count() == 3
+    assert table.inputFiles()[0].startswith(("file:", "/"))
+    scratch.clear(spark)
+    with pytest.raises(FileNotFoundError):
+        read_sales(spark, table.inputFiles()[0])
