@@ -147,8 +147,11 @@ def dimensions(sales: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three numbered dimensions. Their jobs do not depend on each other and run side by side."""
     steps = (dim_customer, dim_product, dim_location)
     with ThreadPoolExecutor(len(steps)) as pool:
-        # Job groups and other local properties of the caller apply in the threads too.
-        builds = [pool.submit(inheritable_thread_target(step), sales) for step in steps]
+        # Each thread gets its own copy of the caller's job group, tags and other properties.
+        builds = [
+            pool.submit(inheritable_thread_target(sales.sparkSession)(step), sales)
+            for step in steps
+        ]
         customers, products, locations = (build.result() for build in builds)
     return customers, products, locations
 

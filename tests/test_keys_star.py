@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from salesloom.operators import star
 from salesloom.operators.keys import key_report, with_surrogate_key
 from salesloom.schemas import SALES
+from salesloom.sources import tpch
 
 
 def line(row_id, **changes):
@@ -179,3 +180,27 @@ def test_revenue_by_month_adds_up(spark):
     fact = star.fact_sales(lines, *star.dimensions(lines))
     got = star.revenue_by_month(fact, star.dim_date(lines)).collect()
     assert [tuple(r) for r in got] == [(2024, 2, "February", 160.0), (2024, 3, "March", 0.1)]
+
+
+def test_long_source_keys_stay_whole(spark):
+    row = spark.range(1).selectExpr(
+        f"{tpch._nine_digits('42')} AS short", f"{tpch._nine_digits('12345678901')} AS long"
+    )
+    assert tuple(row.first()) == ("000000042", "12345678901")
+
+
+def test_fact_lines_are_not_joined_by_broadcasting_lines(spark):
+    """Orders and lines meet in a merge join at any size."""
+    plan = tpch.sales(spark, "/root/testdata/sf0.001")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_orderkey" in text
+
+
+def test_only_needed_columns_are_read(spark):
+    from salesloom.operators.clean import clean, transform
+    from salesloom.operators.panels import revenue_by_month
+
+    lines = transform(clean(tpch.sales(spark, "/root/testdata/sf0.001")))
+    text = revenue_by_month(lines)._jdf.queryExecution().executedPlan().toString()
+    assert "l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_discount:double>" in text
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
