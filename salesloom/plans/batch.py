@@ -4,7 +4,6 @@ import logging
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,7 +62,7 @@ def build_dataset(
     return read_sales(spark, bronze, RAW_SALES)
 
 
-def load_star(spark: SparkSession, sales: DataFrame, database: str) -> Star:
+def load_star(spark: SparkSession, sales: DataFrame, folder: str, database: str) -> Star:
     """Build the star, check its keys and only then write it. Repeated keys raise ValueError."""
     star = star_schema.build_star(sales)
     # Eight rows, one per checked key.
@@ -77,7 +76,7 @@ def load_star(spark: SparkSession, sales: DataFrame, database: str) -> Star:
     ]
     if problems:
         raise ValueError("; ".join(problems))
-    warehouse.save_star(star, database)
+    warehouse.save_star(star, folder, database)
     return warehouse.read_star(spark, database)
 
 
@@ -120,18 +119,35 @@ def run_batch(
     quality = quality_results(report)
     files.write_quality(quality_frame(spark, quality), f"{output_dir}/quality_report.json")
 
-    warehouse.create_database(spark, database, f"{output_dir}/warehouse/{database}")
+    warehouse.create_database(spark, database)
     warehouse.register_sales(spark, silver, database)
     star, star_error = None, None
     if build_star_schema:
         try:
-            star = load_star(spark, warehouse.read_table(spark, "sales", database), database)
-        except (PySparkException, ValueError) as error:
+            stored = warehouse.read_table(spark, "sales", database)
+            star = load_star(spark, stored, star_folder(output_dir), database)
+        except Exception as error:
+            # Whatever went wrong with the star, the stored sales stay usable.
             star_error = str(error)
             log.error("Failed to build the star schema: %s", error)
     return BatchResult(sales, summaries, quality, star, star_error)
 
 
+def star_folder(output_dir: str) -> str:
+    return f"{output_dir}/warehouse"
+
+
+def attach(
+    spark: SparkSession, output_dir: str, database: str = warehouse.DATABASE
+) -> dict[str, DataFrame]:
+    """Tables that an earlier session stored, ready for SQL in this one."""
+    warehouse.create_database(spark, database)
+    warehouse.register_sales(spark, f"{output_dir}/silver", database)
+    warehouse.attach_star(spark, star_folder(output_dir), database)
+    tables = sorted(table.name for table in spark.catalog.listTables(database))
+    return {name: warehouse.read_table(spark, name, database) for name in tables}
+
+
 def quality_frame(spark: SparkSession, results: dict[str, bool]) -> DataFrame:
     """The verdicts as rows again, to store them without a second scan."""
     return spark.createDataFrame(list(results.items()), "check_name string, passed boolean")

@@ -222,8 +222,8 @@ def saved_star(spark: SparkSession, base: str) -> str:
     """The star saved to a database of its own, whose name is returned."""
     path = scratch.new_path(spark, "warehouse")
     database = path.rsplit("/", 1)[1].replace("-", "_")
-    warehouse.create_database(spark, database, path)
-    warehouse.save_star(full_star(spark, base), database)
+    warehouse.create_database(spark, database)
+    warehouse.save_star(full_star(spark, base), path, database)
     return database
 
 

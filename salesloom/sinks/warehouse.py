@@ -1,7 +1,12 @@
-"""Tables of the analytics database."""
+"""Tables of the analytics database.
 
+All are external tables over folders, so a new session can attach what an earlier one stored.
+"""
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom.operators.star import Star
 from salesloom.schemas import SALES, STAR
@@ -9,9 +14,8 @@ from salesloom.schemas import SALES, STAR
 DATABASE = "analytics"
 
 
-def create_database(spark: SparkSession, name: str = DATABASE, location: str | None = None) -> None:
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+def create_database(spark: SparkSession, name: str = DATABASE) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
 
 
 def _typed(df: DataFrame, table: str) -> DataFrame:
@@ -20,19 +24,34 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(name).cast(kind).alias(name) for name, kind in columns])
 
 
-def register_sales(spark: SparkSession, path: str, database: str = DATABASE) -> None:
-    """Make the stored enriched lines the table ``sales``, without copying them."""
-    table = f"{database}.sales"
+def _register(spark: SparkSession, table: str, schema: T.StructType, path: str, parts=()) -> None:
+    """Make a stored folder a table, without copying it."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    partitioned = f"PARTITIONED BY ({', '.join(parts)})" if parts else ""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SALES)
-    spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (order_year, order_month) LOCATION '{path}'"
-    )
-    spark.catalog.recoverPartitions(table)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {partitioned} LOCATION '{path}'")
+    if parts:
+        spark.catalog.recoverPartitions(table)
+
+
+def register_sales(spark: SparkSession, path: str, database: str = DATABASE) -> None:
+    _register(spark, f"{database}.sales", SALES, path, ("order_year", "order_month"))
+
+
+def attach_star(spark: SparkSession, folder: str, database: str = DATABASE) -> None:
+    """Register the star tables that an earlier session stored in ``folder``."""
+    for name, schema in STAR.items():
+        path = f"{folder}/{name}"
+        try:
+            spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                continue
+            raise
+        _register(spark, f"{database}.{name}", T.StructType.fromDDL(schema), path)
 
 
-def save_star(star: Star, database: str = DATABASE) -> None:
+def save_star(star: Star, folder: str, database: str = DATABASE) -> None:
     """Dimensions as they are, in key order; the fact gathered by order month and sorted by date.
 
     Date filters then skip files and row groups. The rebalance needs no sampling pass over the
@@ -48,7 +67,9 @@ def save_star(star: Star, database: str = DATABASE) -> None:
                 .sortWithinPartitions("order_date_key", "sales_key")
                 .drop("_month")
             )
-        table.write.mode("overwrite").format("parquet").saveAsTable(f"{database}.{name}")
+        table.write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}").saveAsTable(
+            f"{database}.{name}"
+        )
 
 
 def read_table(spark: SparkSession, name: str, database: str = DATABASE) -> DataFrame:

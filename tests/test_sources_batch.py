@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from salesloom import scratch
 from salesloom.functions import customer_id, parse_date
-from salesloom.plans.batch import run_batch, validate
+from salesloom.plans.batch import attach, run_batch, validate
 from salesloom.plans.dashboard import open_dashboard
 from salesloom.schemas import SALES, STAR, SUMMARIES
 from salesloom.sinks import files, warehouse
@@ -255,6 +255,23 @@ def test_failed_star_leaves_sales(spark, batch, tmp_path, catalog_path):
     assert warehouse.list_tables(spark, "batch_broken").count() == 0
 
 
+def test_later_session_attaches_and_overwrites(spark, catalog_path, tmp_path):
+    """An earlier session's tables are files that this session's catalog does not know."""
+    folder = str(tmp_path)
+    run_batch(spark, catalog_path, folder, 200, START, END, database="first_session")
+    tables = attach(spark, folder, "later_session")
+    assert set(tables) == {*STAR, "sales"}
+    assert tables["fact_sales"].count() == tables["sales"].count() == 200
+    revenue = spark.sql(
+        "SELECT SUM(f.sales_amount) AS a FROM later_session.fact_sales f "
+        "JOIN later_session.dim_date d ON f.order_date_key = d.date_key"
+    ).first()
+    assert revenue.a == pytest.approx(tables["sales"].agg(F.sum("revenue")).first()[0])
+    again = run_batch(spark, catalog_path, folder, 300, START, END, database="third_session")
+    assert again.star_error is None
+    assert again.star.fact_sales.count() == 300
+
+
 def test_missing_inputs(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="Run the batch job first"):
         read_sales(spark, str(tmp_path / "none"))
