@@ -3,13 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 from itertools import accumulate
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import scratch
-from salesloom.functions import sum_or_zero
 
 # monotonically_increasing_id keeps the row's position in its partition in the low 33 bits.
 _POSITION_BITS = 33
@@ -64,22 +62,16 @@ def key_report(checks: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFr
     """
     parts = []
     for table, df, keys in checks:
-        complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-        repeated = complete & (F.col("row_count") > 1)
+        complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        groups = df.groupBy(*keys).agg(F.count("*").alias("row_count"))
         parts.append(
-            df.groupBy(*keys)
-            .agg(F.count("*").alias("row_count"))
-            .agg(
-                F.count_if(repeated).alias("duplicate_keys"),
-                sum_or_zero(F.when(repeated, F.col("row_count"))).alias("duplicate_rows"),
-                sum_or_zero(F.when(~complete, F.col("row_count"))).alias("null_rows"),
-            )
-            .select(
-                F.lit(table).alias("table_name"),
-                F.lit(", ".join(keys)).alias("key_columns"),
-                "duplicate_keys",
-                "duplicate_rows",
-                "null_rows",
+            groups.selectExpr(
+                f"'{table}' AS table_name",
+                f"'{', '.join(keys)}' AS key_columns",
+                f"count_if(row_count > 1 AND {complete}) AS duplicate_keys",
+                f"coalesce(sum(row_count) FILTER (WHERE row_count > 1 AND {complete}), 0)"
+                " AS duplicate_rows",
+                f"coalesce(sum(row_count) FILTER (WHERE NOT ({complete})), 0) AS null_rows",
             )
         )
     return reduce(DataFrame.unionByName, parts)
