@@ -2,11 +2,12 @@
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import (
     currency,
+    money_exact,
     money_sum,
     month_name,
     n_unique,
@@ -75,6 +76,28 @@ def kpis_text(df: DataFrame) -> DataFrame:
     )
 
 
+CUBE_KEYS = ("order_year", "order_month", "segment", "category", "region")
+
+
+def monthly_cube(df: DataFrame) -> DataFrame:
+    """Revenue and order lines by month, segment, category and region.
+
+    Five panels only add these up further, so with a stored cube they need not read the lines again.
+    It has a few rows per month, and its sums are exact decimals, so adding them stays exact.
+    """
+    return df.groupBy(*CUBE_KEYS).agg(
+        money_exact(F.col("revenue")).cast("decimal(30,2)").alias("cube_revenue"),
+        F.count("order_id").alias("cube_orders"),
+    )
+
+
+def _revenue(df: DataFrame) -> Column:
+    """Total revenue of lines, or of a cube."""
+    if "cube_revenue" in df.columns:
+        return F.coalesce(F.sum("cube_revenue").cast("double"), F.lit(0.0))
+    return money_sum(F.col("revenue"))
+
+
 def _by_month(df: DataFrame, *keys: str, **measures) -> DataFrame:
     period = ["order_year", "order_month", *keys]
     return (
@@ -86,20 +109,21 @@ def _by_month(df: DataFrame, *keys: str, **measures) -> DataFrame:
 
 
 def revenue_by_month(df: DataFrame) -> DataFrame:
-    return _by_month(df, total_revenue=money_sum(F.col("revenue")))
+    return _by_month(df, total_revenue=_revenue(df))
 
 
 def orders_by_month(df: DataFrame) -> DataFrame:
     """Lines with an order id; an order of three lines counts three times."""
-    return _by_month(df, total_orders=F.count("order_id"))
+    lines = F.sum("cube_orders") if "cube_orders" in df.columns else F.count("order_id")
+    return _by_month(df, total_orders=lines)
 
 
 def segment_by_month(df: DataFrame) -> DataFrame:
-    return _by_month(df, "segment", total_revenue=money_sum(F.col("revenue")))
+    return _by_month(df, "segment", total_revenue=_revenue(df))
 
 
 def category_by_month(df: DataFrame) -> DataFrame:
-    return _by_month(df, "category", total_revenue=money_sum(F.col("revenue")))
+    return _by_month(df, "category", total_revenue=_revenue(df))
 
 
 def _best_first(df: DataFrame, *keys: str) -> DataFrame:
@@ -127,7 +151,7 @@ def cities(df: DataFrame) -> DataFrame:
 
 
 def revenue_by_region(df: DataFrame) -> DataFrame:
-    revenue = df.groupBy("region").agg(money_sum(F.col("revenue")).alias("total_revenue"))
+    revenue = df.groupBy("region").agg(_revenue(df).alias("total_revenue"))
     return _best_first(revenue, "region")
 
 
@@ -159,21 +183,25 @@ def display_table(panel: DataFrame) -> DataFrame:
     )
 
 
-PANELS = {
+# Panels that a cube answers as well, and panels that need the lines.
+CUBE_PANELS = {
     "revenue_by_month": revenue_by_month,
     "orders_by_month": orders_by_month,
     "segment_by_month": segment_by_month,
+    "category_by_month": category_by_month,
+    "region": revenue_by_region,
+}
+LINE_PANELS = {
+    "kpis": kpis,
     "top_customers": top_customers,
     "cities": cities,
-    "region": revenue_by_region,
-    "category_by_month": category_by_month,
     "top_products": top_products,
 }
 
 
-def panels(
-    df: DataFrame, years: Iterable[int] | None = None, months: Iterable[int] | None = None
-) -> dict[str, DataFrame]:
-    """Key figures and all panels of one selection, each lazy."""
-    chosen = filter_period(df, years, months)
-    return {"kpis": kpis(chosen)} | {name: panel(chosen) for name, panel in PANELS.items()}
+def panels(selection: DataFrame, cube: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Key figures and all panels of one selection, each lazy; a stored cube serves five of them."""
+    monthly = selection if cube is None else cube
+    return {name: panel(selection) for name, panel in LINE_PANELS.items()} | {
+        name: panel(monthly) for name, panel in CUBE_PANELS.items()
+    }

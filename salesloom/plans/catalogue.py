@@ -247,6 +247,16 @@ def warehouse_sql(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def on_cube(panel: Callable[[DataFrame], DataFrame], raw: Query = sales) -> Query:
+    """A panel read from the stored monthly cube instead of the lines."""
+
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        selection = panels.filter_period(raw(spark, base))
+        return panel(scratch.materialize(panels.monthly_cube(selection), "monthly"))
+
+    return query
+
+
 def text_table(panel: Callable[[DataFrame], DataFrame]) -> Query:
     return on_period(lambda df: panels.display_table(panel(df)))
 
@@ -307,6 +317,9 @@ QUERIES: dict[str, Query] = {
     "panel_category_by_month": on_period(panels.category_by_month),
     "panel_top_products": on_period(panels.top_products),
     "panel_top_products_text": text_table(panels.top_products),
+    "cube_segment_by_month": on_cube(panels.segment_by_month),
+    "cube_orders_by_month": on_cube(panels.orders_by_month),
+    "cube_region_dirty": on_cube(panels.revenue_by_region, dirty),
     "sample_rows": sample_rows,
     "catalog_flatten": catalog_flatten,
     "synth_sales": synth_sales,

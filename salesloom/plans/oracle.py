@@ -247,6 +247,7 @@ _TOP_PRODUCTS = f"""
 SELECT category, product_name, {_VOLUMES} FROM {_DATED} GROUP BY category, product_name
 ORDER BY total_revenue DESC, category NULLS FIRST, product_name NULLS FIRST LIMIT 10"""
 _REGION = f"SELECT region, {_REVENUE} FROM sales GROUP BY ALL"
+_REGION_DATED = f"SELECT region, {_REVENUE} FROM {_DATED} GROUP BY ALL"
 
 _MONEY_TEXT = "format('${:,.0f}', total_revenue) AS \"Revenue\""
 _VOLUME_TEXT = (
@@ -336,6 +337,9 @@ SELECT city AS "City", {_MONEY_TEXT}, {_VOLUME_TEXT} FROM ({_CITIES})""",
     "panel_top_products_text": f"""{_CLEAN}
 SELECT category AS "Category", product_name AS "Product", {_MONEY_TEXT}, {_VOLUME_TEXT}
 FROM ({_TOP_PRODUCTS})""",
+    "cube_segment_by_month": f"{_CLEAN} {_monthly(_REVENUE, 'segment')}",
+    "cube_orders_by_month": f"{_CLEAN} {_monthly('count(order_id) AS total_orders')}",
+    "cube_region_dirty": f"{_DIRTY} {_REGION_DATED}",
     "sample_rows": f"{_ctes(_COLUMNS, row_id=True)} SELECT * FROM sales ORDER BY row_id LIMIT 50",
     "catalog_flatten": f"""
 SELECT p_type AS category, p_brand AS sub_category, p_name AS product_name,

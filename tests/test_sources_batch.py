@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -299,3 +300,21 @@ def test_scratch_can_be_cleared(spark):
     scratch.clear(spark)
     with pytest.raises(FileNotFoundError):
         read_sales(spark, table.inputFiles()[0])
+
+
+def fake_session(checkpoint_dir, master):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: checkpoint_dir),
+        sparkContext=SimpleNamespace(
+            applicationId=f"app-{master}", master=master, getCheckpointDir=lambda: None
+        ),
+    )
+
+
+def test_scratch_folder_follows_the_session():
+    named = fake_session("hdfs://shared/checkpoints/", "spark://host:7077")
+    assert scratch.root(named) == "hdfs://shared/checkpoints/salesloom/app-spark://host:7077"
+    local = fake_session(None, "local[2]")
+    assert scratch.root(local) == scratch.root(local)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.root(fake_session(None, "spark://host:7077"))

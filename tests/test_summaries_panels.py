@@ -99,7 +99,7 @@ def test_kpis_count_null_as_a_value(spark):
 
 def test_empty_selection(spark):
     df = spark.createDataFrame([panel_line()], PANEL_SCHEMA)
-    result = panels.panels(df, years=[], months=[1])
+    result = panels.panels(panels.filter_period(df, years=[], months=[1]))
     assert tuple(result["kpis"].first()) == (0.0, 0, 0, 0, 0)
     assert all(p.isEmpty() for name, p in result.items() if name != "kpis")
     text = panels.kpis_text(panels.filter_period(df, years=[])).first()
@@ -167,3 +167,15 @@ def test_year_month(spark):
         "2024-12",
         None,
     ]
+
+
+def test_cube_gives_the_same_panels(spark):
+    lines = [
+        panel_line(revenue=0.1 * i, month=1 + i % 5, order_id=None if i % 7 == 0 else f"o{i % 11}")
+        for i in range(60)
+    ] + [panel_line(revenue=None, month=9)]
+    df = spark.createDataFrame(lines, PANEL_SCHEMA).withColumn("revenue", F.round("revenue", 2))
+    cube = panels.monthly_cube(df)
+    for name, panel in panels.CUBE_PANELS.items():
+        assert tuples(panel(cube)) == tuples(panel(df)), name
+        assert panel(cube).schema == panel(df).schema or name == "orders_by_month"
