@@ -34,6 +34,6 @@ def test_matches_sql(spark, db, name):
 def test_entry_has_rows(spark):
     import __spark_entry__
 
-    assert set(__spark_entry__.queries()) == set(QUERIES)
-    assert set(__spark_entry__.oracle_sql()) == set(ORACLE)
+    assert set(__spark_entry__.queries()) >= set(QUERIES)
+    assert set(__spark_entry__.oracle_sql()) >= set(ORACLE)
     assert __spark_entry__.entry(spark).count() == 5
