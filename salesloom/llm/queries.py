@@ -1,9 +1,10 @@
 """The operators over their whole tables, by name, and SQL for those that SQL can express."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import simhash
+from salesloom.llm import decontaminate, packing, simhash
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -19,8 +20,62 @@ def op1_simhash(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, base: str) -> DataFrame:
+    hits = decontaminate.benchmark_hits(
+        _table(spark, base, "documents"), _table(spark, base, "benchmark")
+    )
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op4_packing(spark: SparkSession, base: str) -> DataFrame:
+    return packing.packed_digests(
+        _table(spark, base, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_packing": op4_packing,
 }
 
-ORACLE: dict[str, str] = {}
+# The words of a text, for DuckDB.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',"
+    " 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+ORACLE = {
+    "op3_decontaminate": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+        i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        starts AS (
+            SELECT item_id, w, least(len(w), 10) AS l, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS p
+            FROM i WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, l, w[p:p + l - 1] AS gram FROM starts),
+        runs AS (
+            SELECT r, w, l, unnest(range(1, len(w) - l + 2)) AS p
+            FROM d, (SELECT DISTINCT l FROM win) WHERE len(w) >= l),
+        hits AS (
+            SELECT DISTINCT r, p, runs.l, item_id FROM runs
+            JOIN win ON runs.l = win.l AND runs.w[runs.p:runs.p + runs.l - 1] = win.gram),
+        covered AS (
+            SELECT r, count(DISTINCT q) AS n
+            FROM (SELECT r, unnest(range(p, p + l)) AS q FROM hits) GROUP BY r),
+        held AS (
+            SELECT r, count(*) AS n,
+                sha256(string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR)) AS digest
+            FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_hit,
+            coalesce(held.n, 0)::BIGINT AS n_items,
+            coalesce(digest, sha256('')) AS items_sha256, coalesce(covered.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN covered USING (r) LEFT JOIN held USING (r)
+    """,
+}
