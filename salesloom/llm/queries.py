@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontaminate, packing, simhash
+from salesloom.llm import decontaminate, language, packing, simhash
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -40,10 +40,16 @@ def op4_packing(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, base: str) -> DataFrame:
+    found = language.identify(_table(spark, base, "documents"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
+    "op8_language": op8_language,
 }
 
 # The words of a text, for DuckDB.
