@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontaminate, language, packing, simhash
+from salesloom.llm import decontaminate, language, packing, quality, simhash
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -20,6 +20,18 @@ def op1_simhash(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, base: str) -> DataFrame:
+    found, sampler = quality.sample_keys(
+        _table(spark, base, "documents"), _table(spark, base, "labels")
+    )
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "log_weight",
+        "sample_key",
+        (F.col("sample_key") >= F.lit(sampler.least)).alias("selected"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, base: str) -> DataFrame:
     hits = decontaminate.benchmark_hits(
         _table(spark, base, "documents"), _table(spark, base, "benchmark")
@@ -47,6 +59,7 @@ def op8_language(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
     "op8_language": op8_language,
