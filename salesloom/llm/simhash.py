@@ -5,7 +5,7 @@ segment that differs by one bit at most. Each segment is indexed once as it is a
 bit deleted; an equality join on these signatures finds all candidates, which are then verified.
 """
 
-from itertools import repeat
+from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
@@ -26,7 +26,7 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
+def shingle_hashes(text: bytes | None, size: int, seed: int = SEED) -> np.ndarray:
     """XXH64 of each run of ``size`` words; a shorter text is one run, a text without words none."""
     words = words_of(text) if text is not None else []
     if not words:
@@ -35,7 +35,7 @@ def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
         runs = [b" ".join(words)]
     else:
         runs = map(b" ".join, zip(*(words[i:] for i in range(size))))
-    return np.fromiter(map(xxh64_intdigest, runs, repeat(SEED)), np.uint64)
+    return np.fromiter(map(xxh64_intdigest, runs, repeat(seed)), np.uint64)
 
 
 def fingerprint(hashes: np.ndarray) -> int:
@@ -84,14 +84,22 @@ def _keys(max_bits: int) -> Column:
     return F.array(*out)
 
 
-def _distance(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+def _pairs(index: DataFrame, max_bits: int, *on: str) -> DataFrame:
+    """Pairs ``(a, b)`` of the index's nodes within the distance that share a signature.
+
+    ``index`` has ``node``, ``fp``, ``place``, ``rest``, ``side`` and the columns ``on``.
+    """
+    keys = [*on, "place", "rest"]
+    left = index.select(*keys, F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("side").alias("sa"))
+    right = index.select(*keys, F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("side").alias("sb"))
+    near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= max_bits
+    same = left.where("sa IS NULL").join(right.where("sb IS NULL"), keys).where("a < b")
+    apart = left.where("sa = 0").join(right.where("sb = 1"), keys)
+    return same.where(near).select("a", "b").union(apart.where(near).select("a", "b"))
 
 
 def _fine_keys(max_bits: int) -> Column:
     """Every way to delete ``max_bits`` bits: texts that share one are within the distance."""
-    from itertools import combinations
-
     ways = [sum(1 << i for i in c) for c in combinations(range(BITS), max_bits)]
     masks = F.lit(",".join(str(w - (1 << BITS) if w >> 63 else w) for w in ways))
     masks = F.split(masks, ",").cast("array<bigint>")
@@ -135,14 +143,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 100
         stars = fine.join(least, "k").where("fp > b").select(F.col("fp").alias("a"), "b")
         signed = signed.join(hot, ["place", "rest"], "left_anti")
     index = scratch.materialize(signed, "signatures") if stars is not None else signed
-    near = _distance("a", "b") <= max_bits
-    left = index.withColumnRenamed("fp", "a").withColumnRenamed("side", "side_a")
-    right = index.withColumnRenamed("fp", "b").withColumnRenamed("side", "side_b")
-    same = left.where("side_a IS NULL").join(right.where("side_b IS NULL"), ["place", "rest"])
-    apart = left.where("side_a = 0").join(right.where("side_b = 1"), ["place", "rest"])
-    links = same.where(near & F.expr("a < b")).select("a", "b").union(
-        apart.where(near).select("a", "b")
-    )
+    links = _pairs(index.withColumn("node", F.col("fp")), max_bits)
     return links if stars is None else links.union(stars)
 
 
@@ -178,3 +179,102 @@ def near_duplicates(
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     owner = scratch.materialize(rooted.join(smallest, "root").select("fp", "component"), "owners")
     return rows.join(owner, "fp").select(F.col("id").alias(id_col), "fp", "component")
+
+
+def _set_fingerprints(text: Column, tables: int) -> Column:
+    """Independent fingerprints of the set of a text's words, one per table."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def of(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            words = set(words_of(t)) if t is not None else ()
+            hashes = (
+                np.fromiter(map(xxh64_intdigest, words, repeat(SEED + i)), np.uint64)
+                for i in range(tables)
+            )
+            out.append([fingerprint(h) for h in hashes])
+        return pd.Series(out)
+
+    return of(text.cast("binary"))
+
+
+def _shingle_set(text: Column, shingle_words: int) -> Column:
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_hashes(t, shingle_words).view(np.int64)) for t in texts])
+
+    return of(text.cast("binary"))
+
+
+def _text_key(text: Column) -> Column:
+    """128 bits that stand for the whole text; null and empty texts are one."""
+    whole = F.coalesce(text, F.lit(""))
+    return F.struct(F.xxhash64(whole).alias("h"), F.xxhash64(whole, F.lit(SEED)).alias("g"))
+
+
+def similar_texts(
+    docs: DataFrame,
+    text_col: str = "text",
+    shingle_words: int = 5,
+    similarity: float = 0.8,
+    tables: int = 3,
+    max_bits: int = 3,
+) -> DataFrame:
+    """``(node, component)`` for each distinct text that has a near copy; both are text keys.
+
+    Candidates share a signature in one of ``tables`` indexes of word-set fingerprints, which move
+    little when a few words change; a candidate links if the Jaccard similarity of the two sets of
+    ``shingle_words``-word shingles, computed in full, is ``similarity`` or more. Copies are one
+    text here. Texts without words are left out.
+    """
+    texts = scratch.materialize(
+        docs.select(_text_key(F.col(text_col)).alias("node"), _set_fingerprints(F.col(text_col), tables).alias("fps")),
+        "sets",
+    )
+    texts = texts.groupBy("node").agg(F.any_value("fps").alias("fps"))
+    index = texts.select("node", F.posexplode("fps").alias("table", "fp")).where("fp != 0")
+    index = index.select("node", "table", "fp", F.explode(_keys(max_bits)).alias("k")).select("node", "table", "fp", "k.*")
+    pairs = scratch.materialize(_pairs(index, max_bits, "table").distinct(), "candidates")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    keyed = docs.select(_text_key(F.col(text_col)).alias("node"), F.col(text_col).alias("text"))
+    sets = scratch.materialize(
+        keyed.join(wanted, "node", "left_semi").select("node", _shingle_set(F.col("text"), shingle_words).alias("s")),
+        "shingles",
+    )
+    sets = sets.groupBy("node").agg(F.any_value("s").alias("s"))
+    left, right = (sets.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    share = common / (F.size("sa") + F.size("sb") - common)
+    return connected_components(both.where(share >= similarity).select("a", "b"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of equal or similar texts: that with the smallest id.
+
+    See :func:`similar_texts` for what is similar. All columns stay. Null and empty texts are copies
+    of each other; a null id counts as larger than any; of rows equal in id and text one stays.
+    Only the keys of rows that go are joined with the documents.
+    """
+    key = _text_key(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("node"))
+    counted = scratch.materialize(
+        rows.groupBy("id", "node").agg(F.count("*").alias("copies")), "rows"
+    )
+    groups = similar_texts(docs, text_col, **options)
+    grouped = counted.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = grouped.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first")
+    )
+    placed = grouped.join(first, "component")
+    stays = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.node") == F.col("node"))
+    marked = scratch.materialize(
+        placed.where(~stays | (F.col("copies") > 1)).select("id", "node", stays.alias("stays")), "marked"
+    )
+    marked = marked.select(F.col("id").alias("_id"), F.col("node").alias("_node"), "stays")
+    same = F.col("_key").eqNullSafe(F.col("_node")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    keyed = docs.withColumn("_key", key)
+    single = keyed.join(marked, same, "left_anti")
+    repeated = keyed.join(marked.where("stays"), same, "left_semi").dropDuplicates([id_col, "_key"])
+    return single.unionByName(repeated).drop("_key")
