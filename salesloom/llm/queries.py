@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import decontaminate, language, packing, quality, simhash
+from salesloom.llm import decontaminate, language, packing, quality, simhash, vectors
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -52,6 +52,16 @@ def op4_packing(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op5_vectors(spark: SparkSession, base: str) -> DataFrame:
+    found = vectors.near_vectors(_table(spark, base, "embeddings"))
+    return found.select(
+        "vec_id",
+        "n_links",
+        F.col("component").alias("component_id"),
+        (F.col("vec_id") == F.col("component")).alias("kept"),
+    )
+
+
 def op8_language(spark: SparkSession, base: str) -> DataFrame:
     found = language.identify(_table(spark, base, "documents"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
@@ -62,6 +72,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
+    "op5_vectors": op5_vectors,
     "op8_language": op8_language,
 }
 
