@@ -7,6 +7,8 @@ own, which needs one shuffle of lengths and no knowledge of other groups.
 
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, repeat
+from os.path import commonprefix
 
 import numpy as np
 import pandas as pd
@@ -23,6 +25,48 @@ from salesloom import scratch
 PIECES = "doc_id {id}, start bigint, length bigint, ids binary, doc_tokens bigint"
 # What the vocabulary's own splitting takes as one unit.
 UNIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+UNIT_OR_END = regex.compile(UNIT.pattern + r"|\n")
+_BYTES = np.arange(256)
+_LETTER = (_BYTES >= ord("a")) & (_BYTES <= ord("z"))
+_SIGN = (_BYTES > 32) & (_BYTES < 127) & ~_LETTER & ~((_BYTES >= ord("0")) & (_BYTES <= ord("9")))
+
+
+class Remembered:
+    """Keys with a run of token ids each, all runs in one array."""
+
+    def __init__(self):
+        self.slot: dict = {}
+        self.sizes = np.zeros(1 << 16, np.int64)
+        self.places = np.zeros(1 << 16, np.int64)
+        self.store = np.zeros(1 << 18, np.uint32)
+        self.used = 0
+
+    def add(self, keys: list, sizes: np.ndarray, ids: np.ndarray) -> None:
+        first, last = len(self.slot), len(self.slot) + len(keys)
+        while last > len(self.sizes):
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
+        while self.used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+        self.sizes[first:last] = sizes
+        self.places[first:last] = self.used + np.cumsum(sizes) - sizes
+        self.store[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.slot.update(zip(keys, range(first, last)))
+
+    def find(self, keys: list) -> np.ndarray:
+        """Slots of the keys, -1 for unknown ones."""
+        return np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
+
+    def runs(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes of the slots' runs, and the runs one after the other."""
+        sizes = self.sizes[slots]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return sizes, np.empty(0, np.uint32)
+        at = np.repeat(self.places[slots] - (ends - sizes), sizes)
+        at += np.arange(len(at))
+        return sizes, self.store[at]
 
 
 class WordTokenizer:
@@ -34,86 +78,78 @@ class WordTokenizer:
     tokenizer as they are.
     """
 
-    def __init__(self, file: str, room: int = 400_000):
+    def __init__(self, file: str, room: int = 700_000):
         self.whole = Tokenizer.from_file(file)
         self.bare = Tokenizer(self.whole.model)
         self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.mark = commonprefix(special)  # empty without special tokens or if they differ at once
+        self.guard = bool(special)
         self.room = room
-        self.units: dict[str, np.ndarray] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.slot: dict[bytes, int] = {}
-        self.sizes = np.zeros(1024, np.int64)
-        self.places = np.zeros(1024, np.int64)
-        self.store = np.zeros(4096, np.uint32)
-        self.used = 0
+        self.units, self.chunks = Remembered(), Remembered()
+
+    def _encoded(self, tokenizer: Tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
 
-    def _encode_units(self, units: list[str]) -> None:
-        for unit, code in zip(units, self.bare.encode_batch_fast(units, add_special_tokens=False)):
-            self.units[unit] = np.array(code.ids, np.uint32)
+    def _is_plain(self, text: str) -> bool:
+        return (text.isascii() or max(text) < "ɐ") and not (self.guard and self.mark in text)
 
     def _learn(self, chunks: list[bytes]) -> None:
-        plain, other = {}, []
-        for chunk in chunks:
-            text = chunk.decode("utf-8", "replace")
-            if max(text) < "ɐ" and not any(s in text for s in self.special):
-                plain[chunk] = UNIT.findall(text.lower())
-            else:
-                other.append((chunk, text))
-        new = {u for units in plain.values() for u in units} - self.units.keys()
-        if len(self.units) + len(new) > self.room:
-            self.units.clear()
-            new = {u for units in plain.values() for u in units}
-        self._encode_units(list(new))
-        known = {
-            chunk: np.concatenate([self.units[u] for u in units]) if len(units) > 1 else self.units[units[0]]
-            for chunk, units in plain.items()
-            if units
-        }
-        codes = self.whole.encode_batch_fast([t for _, t in other], add_special_tokens=False)
-        known |= {chunk: np.array(code.ids, np.uint32) for (chunk, _), code in zip(other, codes)}
-        self._remember(chunks, known)
-
-    def _remember(self, chunks: list[bytes], known: dict[bytes, np.ndarray]) -> None:
-        empty = np.empty(0, np.uint32)
-        arrays = [known.get(c, empty) for c in chunks]
-        sizes = np.fromiter(map(len, arrays), np.int64, len(arrays))
-        first, last = len(self.slot), len(self.slot) + len(chunks)
-        while last > len(self.sizes):
-            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-            self.places = np.concatenate([self.places, np.zeros_like(self.places)])
-        total = int(sizes.sum())
-        while self.used + total > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-        self.sizes[first:last] = sizes
-        self.places[first:last] = self.used + np.cumsum(sizes) - sizes
-        self.store[self.used : self.used + total] = np.concatenate([*arrays, empty])
-        self.used += total
-        self.slot.update(zip(chunks, range(first, last)))
+        text, odd = b"\n".join(chunks).decode("utf-8", "replace"), []
+        if not self._is_plain(text):
+            each = text.split("\n")
+            odd = [i for i, t in enumerate(each) if not self._is_plain(t)]
+            self.chunks.add([chunks[i] for i in odd], *self._encoded(self.whole, [each[i] for i in odd]))
+            left = sorted(set(range(len(chunks))).difference(odd))
+            chunks, text = [chunks[i] for i in left], "\n".join(each[i] for i in left)
+        if not chunks:
+            return
+        # Line ends part the chunks; they are a unit without ids.
+        units = UNIT_OR_END.findall(text.lower() + "\n")
+        slots = self.units.find(units)
+        if (slots < 0).any():
+            new = list({units[i] for i in np.flatnonzero(slots < 0)} - {"\n"})
+            if len(self.units.slot) + len(new) > self.room:
+                self.units = Remembered()
+                new = list(set(units) - {"\n"})
+            if not self.units.slot:
+                self.units.add(["\n"], np.zeros(1, np.int64), np.empty(0, np.uint32))
+            self.units.add(new, *self._encoded(self.bare, new))
+            slots = self.units.find(units)
+        sizes, ids = self.units.runs(slots)
+        ends = np.cumsum(sizes)[slots == self.units.slot["\n"]]
+        self.chunks.add(chunks, np.diff(ends, prepend=0), ids)
+
+    def _split(self, text: bytes) -> list[bytes]:
+        if self.guard and self.mark.encode() in text:
+            return text.split()
+        # A unit ends between a letter and a sign in any case; cut there, fewer distinct chunks are
+        # left to remember.
+        lower = np.frombuffer(text.lower(), np.uint8)
+        ends = np.flatnonzero(_LETTER[lower[:-1]] & _SIGN[lower[1:]])
+        return np.insert(lower, ends + 1, ord(" ")).tobytes().split()
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text in turn."""
         for at in range(0, len(texts), 64):
-            split = [t.split() for t in texts[at : at + 64]]
-            new = list({c for chunks in split for c in chunks} - self.slot.keys())
-            if new and len(self.slot) + len(new) > self.room:
-                self.forget()
-                new = list({c for chunks in split for c in chunks})
-            if new:
+            split = [self._split(t) for t in texts[at : at + 64]]
+            chunks = list(chain.from_iterable(split))
+            slots = self.chunks.find(chunks)
+            unknown = np.flatnonzero(slots < 0)
+            if len(unknown):
+                new = list({chunks[i] for i in unknown})
+                if len(self.chunks.slot) + len(new) > self.room:
+                    self.chunks = Remembered()
+                    new = list(set(chunks))
+                    unknown = np.arange(len(chunks))
                 self._learn(new)
-            for chunks in split:
-                yield self._join(chunks)
-
-    def _join(self, chunks: list[bytes]) -> np.ndarray:
-        slots = np.fromiter(map(self.slot.__getitem__, chunks), np.int64, len(chunks))
-        sizes = self.sizes[slots]
-        ends = np.cumsum(sizes)
-        if not len(ends) or not ends[-1]:
-            return np.empty(0, np.uint32)
-        shift = np.repeat(self.places[slots] - (ends - sizes), sizes)
-        return self.store[shift + np.arange(ends[-1])]
+                slots[unknown] = self.chunks.find([chunks[i] for i in unknown])
+            sizes, ids = self.chunks.runs(slots)
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            cuts = ends[np.cumsum([0, *map(len, split)])]
+            yield from (ids[lo:hi] for lo, hi in zip(cuts, cuts[1:]))
 
 
 @cache
