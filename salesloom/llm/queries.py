@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import chat, decontaminate, html, language, packing, quality, simhash, urls, vectors
+from salesloom.llm import chat, decontaminate, html, language, packing, quality, scoring, simhash, urls, vectors
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op5_vectors(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op6_scoring(spark: SparkSession, base: str) -> DataFrame:
+    return scoring.score(_table(spark, base, "documents"))
+
+
 def op7_html(spark: SparkSession, base: str) -> DataFrame:
     found = html.extract_pages(_table(spark, base, "pages").select("page_id", "url", "html"))
     return found.select(
@@ -120,6 +124,7 @@ QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_packing": op4_packing,
     "op5_vectors": op5_vectors,
+    "op6_scoring": op6_scoring,
     "op7_html": op7_html,
     "op8_language": op8_language,
     "op9_chat": op9_chat,
