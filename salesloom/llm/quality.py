@@ -73,7 +73,7 @@ def log_ratios(counts: np.ndarray, prior: float = 1.0) -> np.ndarray:
     return np.log(q / p)
 
 
-def log_weight(ratios: np.ndarray, text: Column, length: int = 100) -> Column:
+def log_weight(ratios: np.ndarray, text: Column, length: int = 300) -> Column:
     """Mean log ratio of a text's features times ``length``; null for a text without tokens."""
     table = ratios.astype(np.float64).tobytes()
 
@@ -102,19 +102,23 @@ class Sampler(NamedTuple):
 
 
 def _threshold(found: pd.DataFrame) -> float:
-    """The log weight that best parts good from bad labelled rows, in the middle of its range.
+    """The log weight that best parts good from bad labelled rows.
 
-    ``found(bin, good, bad)`` holds counts by rounded log weight. Without bad rows nothing is cut.
+    ``found(bin, good, bad)`` holds counts by rounded log weight. A lost share of good rows weighs
+    twice a kept share of bad ones, and of equally good cuts one near the bad rows is taken. Without
+    bad or good rows nothing is cut.
     """
     found = found.sort_values("bin", ignore_index=True)
     good, bad = found["good"].to_numpy(), found["bad"].to_numpy()
     if not bad.sum() or not good.sum():
         return -np.inf
-    # Errors of a cut below row i: good rows under it, bad rows over it; in shares of each.
-    errors = np.append(0, good.cumsum()) / good.sum() + (1 - np.append(0, bad.cumsum()) / bad.sum())
+    lost = np.append(0, good.cumsum()) / good.sum()
+    kept = 1 - np.append(0, bad.cumsum()) / bad.sum()
+    errors = 2 * lost + kept
+    best = np.flatnonzero(errors <= errors.min() + 1e-12)
     edges = np.concatenate([[found["bin"].iloc[0] - 1], found["bin"], [found["bin"].iloc[-1] + 1]])
-    best = int(errors.argmin())
-    return float(edges[best] + edges[best + 1]) / 2
+    low, high = edges[best[0]], edges[best[-1] + 1]
+    return float(low + (high - low) / 4)
 
 
 def sample_keys(
@@ -129,9 +133,10 @@ def sample_keys(
 
     ``labels(doc_id, quality, toxic)``: a document is good if all its labels say quality 1 and none
     says toxic; null says nothing. The good model learns from at most ``good_docs`` of these, chosen
-    by a hash of the id; the raw model, all weights and k cover every row. k is the number of rows
-    whose weight lies on the good side of the labelled rows' best cut; then the k largest noisy
-    weights are taken, and rows that tie with the last of them.
+    by a hash of the id from one half of all ids; the raw model, all weights and k cover every row.
+    k is the number of rows whose weight lies on the good side of the best cut between the labelled
+    rows of the other half and those labelled bad; then the k largest noisy weights are taken, and
+    rows that tie with the last of them.
 
     Without labels all weights are equal and everything stays. Null ids have no label. Texts
     without tokens have no weight and are never taken before others. Repeated rows share one draw.
@@ -141,8 +146,11 @@ def sample_keys(
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     )
+    half = F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(2))
+    taught = (F.col("quality") == 1) & (half == 0)
+    judged = judged.withColumn("taught", F.coalesce(taught, F.lit(False)))
     good = (
-        judged.where("quality = 1 AND coalesce(toxic, 0) = 0")
+        judged.where("taught AND coalesce(toxic, 0) = 0")
         .select(F.col("doc_id").alias("id"))
         .orderBy(F.xxhash64("id", F.lit(seed)), "id")
         .limit(good_docs)
@@ -160,7 +168,7 @@ def sample_keys(
         "weights",
     )
     binned = (
-        found.join(judged.select(F.col("doc_id").alias("id"), "quality"), "id")
+        found.join(judged.where("NOT taught").select(F.col("doc_id").alias("id"), "quality"), "id")
         .where("log_weight IS NOT NULL")
         .groupBy(F.round(F.greatest("log_weight", F.lit(-1000)) * 4).alias("bin"))
         .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad"))
