@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salesloom import versions
 from salesloom.operators import star as star_schema
 from salesloom.operators.clean import clean, transform
 from salesloom.operators.quality import quality_report, quality_results
@@ -50,20 +51,23 @@ def build_dataset(
     num_customers: int = 100,
     seed: int = 42,
 ) -> DataFrame:
-    """Stored raw lines; synthesized first if ``rebuild`` or if there are none."""
+    """Stored raw lines; synthesized first if ``rebuild`` or if no finished ones exist."""
     if not rebuild:
         try:
             return read_sales(spark, bronze, RAW_SALES)
         except FileNotFoundError:
-            log.info("No dataset at %s", bronze)
+            log.info("No finished dataset at %s", bronze)
     catalog = read_catalog(spark, catalog_path)
     raw = synthetic_sales(spark, num_rows, catalog, start_date, end_date, num_customers, seed)
     files.write_bronze(raw, bronze)
     return read_sales(spark, bronze, RAW_SALES)
 
 
-def load_star(spark: SparkSession, sales: DataFrame, folder: str, database: str) -> Star:
-    """Build the star, check its keys and only then write it. Repeated keys raise ValueError."""
+def load_star(spark: SparkSession, sales: DataFrame, version: str, database: str) -> Star:
+    """Build the star, check its keys and only then write it to the new folder ``version``.
+
+    Repeated keys raise ValueError.
+    """
     star = star_schema.build_star(sales)
     # Eight rows, one per checked key.
     faulty = star_schema.key_problems(star).where(
@@ -76,7 +80,7 @@ def load_star(spark: SparkSession, sales: DataFrame, folder: str, database: str)
     ]
     if problems:
         raise ValueError("; ".join(problems))
-    warehouse.save_star(star, folder, database)
+    warehouse.save_star(star, version, database)
     return warehouse.read_star(spark, database)
 
 
@@ -93,7 +97,11 @@ def run_batch(
     seed: int = 42,
     database: str = warehouse.DATABASE,
 ) -> BatchResult:
-    """Run all stages. Neither failed checks nor a failed star build stop the job."""
+    """Run all stages. Neither failed checks nor a failed star build stop the job.
+
+    A star belongs to the lines it was made of: when these are stored anew, the earlier star is no
+    longer served, whether or not a new one follows.
+    """
     check_arguments(num_synthetic_rows, start_date, end_date)
     raw = build_dataset(
         spark,
@@ -109,7 +117,7 @@ def run_batch(
 
     # Everything downstream reads the stored lines, so cleaning and enrichment run once.
     silver = f"{output_dir}/silver"
-    files.write_silver(transform(clean(raw)), silver)
+    written = files.write_silver(transform(clean(raw)), silver)
     sales = read_sales(spark, silver)
 
     summaries = build_summaries(sales)
@@ -121,11 +129,13 @@ def run_batch(
 
     warehouse.create_database(spark, database)
     warehouse.register_sales(spark, silver, database)
+    warehouse.drop_star(spark, database)
     star, star_error = None, None
     if build_star_schema:
         try:
             stored = warehouse.read_table(spark, "sales", database)
-            star = load_star(spark, stored, star_folder(output_dir), database)
+            star = load_star(spark, stored, star_version(output_dir, written), database)
+            versions.prune(spark, f"{output_dir}/warehouse")
         except Exception as error:
             # Whatever went wrong with the star, the stored sales stay usable.
             star_error = str(error)
@@ -133,8 +143,9 @@ def run_batch(
     return BatchResult(sales, summaries, quality, star, star_error)
 
 
-def star_folder(output_dir: str) -> str:
-    return f"{output_dir}/warehouse"
+def star_version(output_dir: str, silver: str) -> str:
+    """Folder of the star made of a version of silver: both have one name."""
+    return f"{output_dir}/warehouse/{versions.name_of(silver)}"
 
 
 def attach(
@@ -143,7 +154,8 @@ def attach(
     """Tables that an earlier session stored, ready for SQL in this one."""
     warehouse.create_database(spark, database)
     warehouse.register_sales(spark, f"{output_dir}/silver", database)
-    warehouse.attach_star(spark, star_folder(output_dir), database)
+    silver = versions.current(spark, f"{output_dir}/silver")
+    warehouse.attach_star(spark, star_version(output_dir, silver), database)
     tables = sorted(table.name for table in spark.catalog.listTables(database))
     return {name: warehouse.read_table(spark, name, database) for name in tables}
 

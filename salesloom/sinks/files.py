@@ -1,16 +1,22 @@
-"""Writers. A path is never read and overwritten by the same job."""
+"""Writers. Bronze and silver are new versions of their table each time."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom import versions
 
-def write_bronze(df: DataFrame, path: str) -> None:
-    """Raw lines as they arrive."""
-    df.write.mode("overwrite").parquet(path)
 
+def write_bronze(df: DataFrame, path: str) -> str:
+    """Raw lines as they arrive. Returns the version's folder."""
+    version = versions.new(path)
+    df.write.parquet(version)
+    versions.prune(df.sparkSession, path)
+    return version
 
-def write_silver(df: DataFrame, path: str) -> None:
-    """Enriched lines in one folder per order month, which period filters prune.
+
+def write_silver(df: DataFrame, path: str) -> str:
+    """Enriched lines in one folder per order month, which period filters prune. Returns the
+    version's folder.
 
     The rebalance keeps files near the advisory size: small months share a task, and a month that
     holds much of the data is split over many tasks. Row ids are sorted within each file.
@@ -18,7 +24,10 @@ def write_silver(df: DataFrame, path: str) -> None:
     period = ["order_year", "order_month"]
     order = [*period, "row_id"] if "row_id" in df.columns else period
     balanced = df.hint("rebalance", *[F.col(c) for c in period]).sortWithinPartitions(*order)
-    balanced.write.mode("overwrite").partitionBy(*period).parquet(path)
+    version = versions.new(path)
+    balanced.write.partitionBy(*period).parquet(version)
+    versions.prune(df.sparkSession, path)
+    return version
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:

@@ -3,11 +3,11 @@
 All are external tables over folders, so a new session can attach what an earlier one stored.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom import versions
 from salesloom.operators.star import Star
 from salesloom.schemas import SALES, STAR
 
@@ -35,24 +35,31 @@ def _register(spark: SparkSession, table: str, schema: T.StructType, path: str,
 
 
 def register_sales(spark: SparkSession, path: str, database: str = DATABASE) -> None:
-    _register(spark, f"{database}.sales", SALES, path, ("order_year", "order_month"))
+    version = versions.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"Missing {path}. Run the batch job first.")
+    _register(spark, f"{database}.sales", SALES, version, ("order_year", "order_month"))
 
 
-def attach_star(spark: SparkSession, folder: str, database: str = DATABASE) -> None:
-    """Register the star tables that an earlier session stored in ``folder``."""
-    for name, schema in STAR.items():
-        path = f"{folder}/{name}"
-        try:
-            spark.read.schema(schema).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                continue
-            raise
-        _register(spark, f"{database}.{name}", T.StructType.fromDDL(schema), path)
+def drop_star(spark: SparkSession, database: str = DATABASE) -> None:
+    """Take the star tables out of the database; their files stay."""
+    for name in STAR:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
-def save_star(star: Star, folder: str, database: str = DATABASE) -> None:
-    """Dimensions as they are, in key order; the fact gathered by order month and sorted by date.
+def attach_star(spark: SparkSession, version: str, database: str = DATABASE) -> None:
+    """Register a stored star, all five tables or none if it was not finished."""
+    drop_star(spark, database)
+    if versions.is_complete(spark, version):
+        for name, schema in STAR.items():
+            kind = T.StructType.fromDDL(schema)
+            _register(spark, f"{database}.{name}", kind, f"{version}/{name}")
+
+
+def save_star(star: Star, version: str, database: str = DATABASE) -> None:
+    """Write all five tables into one new folder, then point the database to them.
+
+    Dimensions as they are, in key order; the fact gathered by order month and sorted by date.
 
     Date filters then skip files and row groups. The rebalance needs no sampling pass over the
     joins, and it splits a month with very many lines over as many tasks as its size asks for.
@@ -67,9 +74,10 @@ def save_star(star: Star, folder: str, database: str = DATABASE) -> None:
                 .sortWithinPartitions("order_date_key", "sales_key")
                 .drop("_month")
             )
-        table.write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}").saveAsTable(
-            f"{database}.{name}"
-        )
+        table.write.parquet(f"{version}/{name}")
+    spark = star.sales.sparkSession
+    versions.finish(spark, version)
+    attach_star(spark, version, database)
 
 
 def read_table(spark: SparkSession, name: str, database: str = DATABASE) -> DataFrame:

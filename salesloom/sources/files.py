@@ -4,6 +4,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from salesloom import versions
 from salesloom.schemas import SALES
 
 
@@ -12,13 +13,11 @@ def _path_missing(error: AnalysisException) -> bool:
 
 
 def read_sales(spark: SparkSession, path: str, schema: T.StructType = SALES) -> DataFrame:
-    """Stored sales Parquet; says how to make it if there is none."""
-    try:
-        stored = spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if _path_missing(error):
-            raise FileNotFoundError(f"Missing {path}. Run the batch job first.") from error
-        raise
+    """Newest finished version of stored sales Parquet; says how to make it if there is none."""
+    version = versions.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"Missing {path}. Run the batch job first.")
+    stored = spark.read.schema(schema).parquet(version)
     # Folder columns come last when read.
     return stored.select(*schema.fieldNames())
 
