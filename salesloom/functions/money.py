@@ -1,4 +1,4 @@
-"""Cent-exact money arithmetic on double columns."""
+"""Exact money arithmetic on double columns."""
 
 from decimal import Decimal
 
@@ -25,18 +25,18 @@ def line_amounts(price: Column, quantity: Column, discount: Column) -> dict[str,
 
 
 def money_exact(amount: Column) -> Column:
-    """Exact sum, as a decimal with two places, of amounts that hold whole cents.
+    """Sum as a decimal with six places, exact for amounts of whole millionths.
 
-    Cents are added as two bigint limbs (the high bits and the low 16 bits). Neither can overflow
-    at any realistic row count, the result does not depend on partition order, and the inner loop
-    stays on primitive longs, which is several times faster than summing decimals.
+    Millionths are added as two bigint limbs (the high bits and the low 16 bits). Neither can
+    overflow at any realistic row count, the result does not depend on partition order, and the
+    inner loop stays on primitive longs, which is several times faster than summing decimals.
     """
-    cents = F.rint(F.nanvl(amount, F.lit(None).cast("double")) * 100).cast("bigint")
-    high = F.sum(F.shiftright(cents, 16)).cast("decimal(20,0)")
-    low = F.sum(cents.bitwiseAND(F.lit(0xFFFF)))
-    return (high * 65536 + low) * F.lit(Decimal("0.01"))
+    parts = F.rint(F.nanvl(amount, F.lit(None).cast("double")) * 1_000_000).cast("bigint")
+    high = F.sum(F.shiftright(parts, 16)).cast("decimal(20,0)")
+    low = F.sum(parts.bitwiseAND(F.lit(0xFFFF)))
+    return (high * 65536 + low) * F.lit(Decimal("0.000001"))
 
 
 def money_sum(amount: Column) -> Column:
-    """Exact money sum as double; 0 where there is nothing to add."""
+    """Money sum as double, not rounded; 0 where there is nothing to add."""
     return F.coalesce(money_exact(amount).cast("double"), F.lit(0.0))

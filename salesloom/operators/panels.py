@@ -86,7 +86,7 @@ def monthly_cube(df: DataFrame) -> DataFrame:
     It has a few rows per month, and its sums are exact decimals, so adding them stays exact.
     """
     return df.groupBy(*CUBE_KEYS).agg(
-        money_exact(F.col("revenue")).cast("decimal(30,2)").alias("cube_revenue"),
+        money_exact(F.col("revenue")).cast("decimal(34,6)").alias("cube_revenue"),
         F.count("order_id").alias("cube_orders"),
     )
 

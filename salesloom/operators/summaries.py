@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesloom.functions import money_sum
+from salesloom.functions import money_sum, round2
 
 
 def _revenue_by(df: DataFrame, *keys: str) -> DataFrame:
@@ -11,7 +11,7 @@ def _revenue_by(df: DataFrame, *keys: str) -> DataFrame:
     for key in keys:
         kept = kept.where(F.col(key).isNotNull())
     return kept.groupBy(*keys).agg(
-        money_sum(F.col("revenue")).alias("total_revenue"),
+        round2(money_sum(F.col("revenue"))).alias("total_revenue"),
         F.count("*").alias("total_orders"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
@@ -38,7 +38,7 @@ def top_products(df: DataFrame, per_category: int = 3) -> DataFrame:
     revenue = (
         df.where(F.col("category").isNotNull() & F.col("product_name").isNotNull())
         .groupBy("category", "product_name")
-        .agg(money_sum(F.col("revenue")).alias("total_revenue"))
+        .agg(round2(money_sum(F.col("revenue"))).alias("total_revenue"))
     )
     best_first = Window.partitionBy("category").orderBy(
         F.desc("total_revenue"), F.asc("product_name")
