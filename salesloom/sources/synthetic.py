@@ -17,36 +17,42 @@ from salesloom.schemas import RAW_SALES
 # Ship modes, segments, and the cities with state, postal code prefix and region.
 SHIP_MODES = ["First Class", "Second Class", "Standard Class"]
 SEGMENTS = ["Consumer", "Corporate", "Home Office"]
-CITIES = """
-New York|New York|100|East
-Los Angeles|California|900|West
-Chicago|Illinois|606|Central
-Houston|Texas|770|Central
-Phoenix|Arizona|850|West
-Philadelphia|Pennsylvania|191|East
-San Antonio|Texas|782|Central
-San Diego|California|921|West
-Dallas|Texas|752|Central
-San Jose|California|951|West
-Austin|Texas|787|Central
-Jacksonville|Florida|322|South
-Fort Worth|Texas|761|Central
-Columbus|Ohio|432|East
-Charlotte|North Carolina|282|South
-Indianapolis|Indiana|462|Central
-Seattle|Washington|981|West
-Denver|Colorado|802|West
-Boston|Massachusetts|021|East
-Nashville|Tennessee|372|South
-Detroit|Michigan|482|Central
-Portland|Oregon|972|West
-Las Vegas|Nevada|891|West
-Miami|Florida|331|South
-Atlanta|Georgia|303|South
-"""
-
-FIRST_NAMES = "Ada Ben Cleo Dario Elin Femi Gita Hugo Iris Jonas Kaya Lena Milo Nora Otis Petra"
-LAST_NAMES = "Abara Berg Castell Dunn Ekman Ferro Grant Holm Ivers Jung Kovac Lund Moreau Novak"
+CITIES = [
+    ("New York", "New York", "100", "East"),
+    ("Los Angeles", "California", "900", "West"),
+    ("Chicago", "Illinois", "606", "Central"),
+    ("Houston", "Texas", "770", "Central"),
+    ("Phoenix", "Arizona", "850", "West"),
+    ("Philadelphia", "Pennsylvania", "191", "East"),
+    ("San Antonio", "Texas", "782", "Central"),
+    ("San Diego", "California", "921", "West"),
+    ("Dallas", "Texas", "752", "Central"),
+    ("San Jose", "California", "951", "West"),
+    ("Austin", "Texas", "787", "Central"),
+    ("Jacksonville", "Florida", "322", "South"),
+    ("Fort Worth", "Texas", "761", "Central"),
+    ("Columbus", "Ohio", "432", "East"),
+    ("Charlotte", "North Carolina", "282", "South"),
+    ("Indianapolis", "Indiana", "462", "Central"),
+    ("Seattle", "Washington", "981", "West"),
+    ("Denver", "Colorado", "802", "West"),
+    ("Boston", "Massachusetts", "021", "East"),
+    ("Nashville", "Tennessee", "372", "South"),
+    ("Detroit", "Michigan", "482", "Central"),
+    ("Portland", "Oregon", "972", "West"),
+    ("Las Vegas", "Nevada", "891", "West"),
+    ("Miami", "Florida", "331", "South"),
+    ("Atlanta", "Georgia", "303", "South"),
+]
+
+FIRST_NAMES = [
+    "Ada", "Ben", "Cleo", "Dario", "Elin", "Femi", "Gita", "Hugo",
+    "Iris", "Jonas", "Kaya", "Lena", "Milo", "Nora", "Otis", "Petra",
+]
+LAST_NAMES = [
+    "Abara", "Berg", "Castell", "Dunn", "Ekman", "Ferro", "Grant", "Holm",
+    "Ivers", "Jung", "Kovac", "Lund", "Moreau", "Novak",
+]
 
 
 def _draw(seed: int, name: str, key: Column, choices: int | Column) -> Column:
@@ -69,7 +75,7 @@ def customer_columns(index: Column, seed: int = 42) -> dict[str, Column]:
     A pool of n customers is index 0..n-1, so a larger pool extends a smaller one. The number in
     the id is a permutation of the index, hence unique; past 90,000 customers it gets more digits.
     """
-    first, last = FIRST_NAMES.split(), LAST_NAMES.split()
+    first, last = FIRST_NAMES, LAST_NAMES
     name = F.concat_ws(
         " ",
         _pick_text(first, _draw(seed, "first name", index, len(first))),
@@ -174,7 +180,6 @@ def synthesize(
     """One raw sales line per ``row_id`` (from 1); customers take turns."""
     key = F.col("row_id")
     days = (end_date - start_date).days + 1
-    places = [line.split("|") for line in CITIES.strip().splitlines()]
     place = _pick(
         [
             F.struct(
@@ -183,9 +188,9 @@ def synthesize(
                 F.lit(prefix).alias("prefix"),
                 F.lit(region).alias("region"),
             )
-            for city, state, prefix, region in places
+            for city, state, prefix, region in CITIES
         ],
-        _draw(seed, "city", key, len(places)),
+        _draw(seed, "city", key, len(CITIES)),
     )
     zip_tail = (10 + _draw(seed, "postal code", key, 90)).cast("string")
     order_number = (100000 + _draw(seed, "order", key, 900000)).cast("string")
@@ -235,6 +240,9 @@ def synthetic_sales(
     end_date: date,
     num_customers: int = 100,
     seed: int = 42,
+    rows_per_task: int = 2_000_000,
 ) -> DataFrame:
-    ids = spark.range(1, num_rows + 1).withColumnRenamed("id", "row_id")
+    """Lines 1 to ``num_rows``, made by as many tasks as ``rows_per_task`` asks for."""
+    tasks = max(spark.sparkContext.defaultParallelism, -(-num_rows // rows_per_task))
+    ids = spark.range(1, num_rows + 1, numPartitions=tasks).withColumnRenamed("id", "row_id")
     return synthesize(ids, catalog, start_date, end_date, num_customers, seed)
