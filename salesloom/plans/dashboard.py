@@ -29,13 +29,15 @@ COLUMNS = (
 
 @dataclass(frozen=True)
 class Dashboard:
-    """Lazy panels of one selection; ``close`` lets go of the kept lines."""
+    """Lazy panels of one selection; ``close`` deletes what was stored for them."""
 
     selection: DataFrame
     panels: dict[str, DataFrame]
+    cube: DataFrame
 
     def close(self) -> None:
         self.selection.unpersist()
+        scratch.drop(self.cube)
 
 
 def open_dashboard(
@@ -43,16 +45,16 @@ def open_dashboard(
     path: str,
     years: Iterable[int] | None = None,
     months: Iterable[int] | None = None,
-    keep: bool = True,
+    keep: bool = False,
 ) -> Dashboard:
     """Panels over stored sales. The period filter prunes month folders before anything is read.
 
-    One pass stores the small monthly cube that five panels share. The other four questions read the
-    lines; their columns are kept on the executors, in memory or on disk, and a lost block is read
-    again from the store. Use ``keep=False`` for a selection too large to be kept.
+    One pass stores the small monthly cube that five panels share. The other four questions read
+    their columns of the lines from the store. ``keep`` holds those columns on the executors for
+    repeated use; the answers are the same.
     """
     selection = filter_period(read_sales(spark, path), years, months).select(*COLUMNS)
     if keep:
         selection = selection.persist(StorageLevel.MEMORY_AND_DISK)
     cube = scratch.materialize(monthly_cube(selection), "monthly")
-    return Dashboard(selection, panels(selection, cube))
+    return Dashboard(selection, panels(selection, cube), cube)

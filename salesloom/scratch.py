@@ -4,27 +4,20 @@ A written table cuts lineage: what was computed once stays the same for every la
 after executors are lost.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
-
-
 def root(spark: SparkSession) -> str:
-    """Folder for this application's intermediate tables."""
-    app = spark.sparkContext.applicationId
+    """Folder for this application's intermediate tables.
+
+    It lies in the folder that ``spark.checkpoint.dir`` names, else in the warehouse, which all
+    executors reach as well.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared is not None:
-        return f"{shared.rstrip('/')}/salesloom/{app}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(
-            "Set spark.checkpoint.dir to a folder that every executor can reach."
-        )
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.TemporaryDirectory(prefix="salesloom-")
-    return _local_folders[app].name
+    if shared is None:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/salesloom/{spark.sparkContext.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
@@ -39,7 +32,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop(table: DataFrame) -> None:
+    """Delete one intermediate table, once no frame reads it any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        _delete(table.sparkSession, folder)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete this application's intermediate tables, once no frame reads them any more."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(root(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, root(spark))
