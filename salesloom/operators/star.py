@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import date_key, money_exact, month_name, to_day
@@ -219,22 +219,36 @@ def key_problems(star: Star) -> DataFrame:
     )
 
 
-def ship_date_gap(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+def by_dates(sales: DataFrame) -> DataFrame:
+    """Number of lines and exact revenue by order and ship date: all that calendar questions need."""
+    return sales.groupBy("order_date", "ship_date").agg(
+        F.count("*").alias("line_count"),
+        money_exact(F.col("revenue")).cast("decimal(34,6)").alias("amount"),
+    )
+
+
+def ship_date_gap(
+    fact: DataFrame, calendar: DataFrame, lines: Column | None = None
+) -> DataFrame:
     """Lines per ship date that the calendar lacks. One row per date enters the join."""
+    if lines is None:
+        lines = F.count("*")
     return (
         fact.where(F.col("ship_date_key").isNotNull())
         .groupBy("ship_date_key")
-        .agg(F.count("*").alias("line_count"))
+        .agg(lines.alias("line_count"))
         .join(calendar, F.col("ship_date_key") == F.col("date_key"), "left_anti")
         .orderBy("ship_date_key")
     )
 
 
-def revenue_by_month(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+def revenue_by_month(
+    fact: DataFrame, calendar: DataFrame, amount: Column | None = None
+) -> DataFrame:
     """Revenue through the calendar. Lines are added up by date before the join."""
-    daily = fact.groupBy("order_date_key").agg(
-        money_exact(F.col("sales_amount")).cast("decimal(28,2)").alias("amount")
-    )
+    if amount is None:
+        amount = money_exact(F.col("sales_amount"))
+    daily = fact.groupBy("order_date_key").agg(amount.cast("decimal(34,6)").alias("amount"))
     return (
         daily.join(calendar, F.col("order_date_key") == F.col("date_key"))
         .groupBy("year", "month", "month_name")

@@ -5,9 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom import scratch
-from salesloom.functions import round2
+from salesloom import scratch, versions
+from salesloom.functions import money_sum, round2
 from salesloom.operators import panels, star, summaries
+from salesloom.plans import batch
 from salesloom.operators.clean import clean, drop_duplicates, null_profile, transform
 from salesloom.operators.quality import quality_report
 from salesloom.schemas import SALES, SUMMARIES
@@ -19,6 +20,7 @@ from salesloom.sources.synthetic import discount_tier, quantity_limit, synthesiz
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+CATALOGUE_DATABASE = "salesloom_catalogue"
 PERIOD = {"years": [1996, 1997, 1998], "months": [1, 2, 3, 4, 5, 6]}
 
 
@@ -104,16 +106,20 @@ def star_key_problems_dirty(spark: SparkSession, base: str) -> DataFrame:
     return star.key_problems(star.build_star(stored_dirty(spark, base)))
 
 
+def stored_dates(spark: SparkSession, base: str) -> DataFrame:
+    """One pass over the lines; the calendar's bounds and its questions then read a small table."""
+    return scratch.materialize(star.by_dates(sales(spark, base)), "dates")
+
+
 def star_ship_date_gap(spark: SparkSession, base: str) -> DataFrame:
-    lines = tpch.sales(spark, base)
-    return star.ship_date_gap(star.with_date_keys(lines), star.dim_date(lines))
+    dates = stored_dates(spark, base)
+    return star.ship_date_gap(star.with_date_keys(dates), star.dim_date(dates), F.sum("line_count"))
 
 
 def star_revenue_by_month(spark: SparkSession, base: str) -> DataFrame:
     """Only the fact's date key and amount are needed, so no dimension is joined for its key."""
-    lines = sales(spark, base)
-    fact = star.with_date_keys(lines).withColumnRenamed("revenue", "sales_amount")
-    return star.revenue_by_month(fact, star.dim_date(lines))
+    dates = stored_dates(spark, base)
+    return star.revenue_by_month(star.with_date_keys(dates), star.dim_date(dates), F.sum("amount"))
 
 
 def dim_customer_first(spark: SparkSession, base: str) -> DataFrame:
@@ -186,6 +192,13 @@ def synth_contract(spark: SparkSession, base: str) -> DataFrame:
     return lines.agg(*[m.alias(name) for name, m in measures.items()])
 
 
+def unrounded_revenue(spark: SparkSession, base: str) -> DataFrame:
+    """Amounts finer than a cent, rounded once after they are added."""
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = tpch.read(spark, base, "lineitem").groupBy("l_returnflag")
+    return lines.agg(round2(money_sum(amount)).alias("revenue"))
+
+
 def summary_csv_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     name = "top_products"
     folder = scratch.new_path(spark, "summaries")
@@ -219,12 +232,46 @@ def quality_json_roundtrip(spark: SparkSession, base: str) -> DataFrame:
 
 
 def saved_star(spark: SparkSession, base: str) -> str:
-    """The star saved to a database of its own, whose name is returned."""
+    """The star saved to one database for all queries, whose name is returned."""
     path = scratch.new_path(spark, "warehouse")
-    database = path.rsplit("/", 1)[1].replace("-", "_")
+    warehouse.create_database(spark, CATALOGUE_DATABASE)
+    warehouse.save_star(full_star(spark, base), versions.new(path), CATALOGUE_DATABASE)
+    return CATALOGUE_DATABASE
+
+
+def stored_star_sql(spark: SparkSession, base: str) -> DataFrame:
+    """The batch job's own load steps over stored silver: register, build, check, write, query."""
+    folder = scratch.new_path(spark, "lake")
+    database = f"{CATALOGUE_DATABASE}_batch"
+    written = files.write_silver(stored_sales(spark, base), f"{folder}/silver")
     warehouse.create_database(spark, database)
-    warehouse.save_star(full_star(spark, base), path, database)
-    return database
+    warehouse.register_sales(spark, f"{folder}/silver", database)
+    lines = warehouse.read_table(spark, "sales", database)
+    batch.load_star(spark, lines, batch.star_version(folder, written), database)
+    return spark.sql(
+        f"""
+        SELECT l.region, d.year, COUNT(*) AS line_count,
+          CAST(SUM(CAST(f.sales_amount AS DECIMAL(18, 2))) AS DOUBLE) AS revenue,
+          CAST(SUM(CAST(s.revenue AS DECIMAL(18, 2))) AS DOUBLE) AS sales_revenue
+        FROM {database}.fact_sales f
+        JOIN {database}.dim_location l ON f.location_key = l.location_key
+        JOIN {database}.dim_date d ON f.order_date_key = d.date_key
+        JOIN {database}.sales s ON f.sales_key = s.row_id
+        GROUP BY l.region, d.year
+        """
+    )
+
+
+def stored_panel(panel: Callable[[DataFrame], DataFrame], **period) -> Query:
+    """A dashboard panel over stored silver, where the period prunes folders."""
+
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        path = scratch.new_path(spark, "silver")
+        lines = sales(spark, base).withColumn("row_id", F.lit(None).cast("bigint"))
+        files.write_silver(lines, path)
+        return panel(panels.filter_period(read_sales(spark, path), **period))
+
+    return query
 
 
 def warehouse_tables(spark: SparkSession, base: str) -> DataFrame:
@@ -329,5 +376,15 @@ QUERIES: dict[str, Query] = {
     "sample_csv_roundtrip": sample_csv_roundtrip,
     "quality_json_roundtrip": quality_json_roundtrip,
     "warehouse_tables": warehouse_tables,
+    "stored_star_sql": stored_star_sql,
+    "stored_panel_kpis": stored_panel(panels.kpis, **PERIOD),
+    "stored_panel_cities": stored_panel(panels.cities, **PERIOD),
+    "stored_panel_empty": stored_panel(panels.kpis, years=[], months=[1]),
+    "panel_cities_dirty": on_dirty(lambda df: panels.cities(panels.filter_period(df))),
+    "panel_top_products_dirty": on_dirty(lambda df: panels.top_products(panels.filter_period(df))),
+    "panel_category_by_month_dirty": on_dirty(
+        lambda df: panels.category_by_month(panels.filter_period(df))
+    ),
+    "unrounded_revenue": unrounded_revenue,
     "warehouse_sql": warehouse_sql,
 }

@@ -42,8 +42,12 @@ _ROW_ID = """
       l_extendedprice, l_shipdate) AS row_id"""
 
 _FAULTS = f"""
-    CASE WHEN l_orderkey % 107 = 0 THEN 'not-a-date' ELSE o_orderdate::DATE::VARCHAR END
-      AS order_date,
+    CASE WHEN l_orderkey % 107 = 0 THEN 'not-a-date'
+      WHEN l_orderkey % 109 = 0 THEN strftime(o_orderdate, '%Y%m%d')
+      WHEN l_orderkey % 113 = 0 THEN strftime(o_orderdate, '%Y/%m/%d')
+      WHEN l_orderkey % 127 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+      WHEN l_orderkey % 131 = 0 THEN strftime(o_orderdate, '%b %-d %Y')
+      ELSE o_orderdate::DATE::VARCHAR END AS order_date,
     CASE WHEN l_orderkey % 101 <> 0 THEN {_CUSTOMER_ID} END AS customer_id,
     CASE WHEN l_orderkey % 103 <> 0 THEN r_name END AS region,
     CASE WHEN l_partkey % 97 <> 0 THEN p_retailprice END AS price,
@@ -68,7 +72,10 @@ cleaned AS (
     coalesce(quantity, 0)::INTEGER AS quantity,
     least(greatest(coalesce(discount, 0), 0), 1)::DOUBLE AS discount)
   FROM raw),
-dated AS (SELECT * REPLACE (try_cast(order_date AS DATE) AS order_date) FROM cleaned),
+dated AS (SELECT * REPLACE (coalesce(
+    try_strptime(order_date::VARCHAR,
+      ['%Y-%m-%d', '%Y%m%d', '%Y/%m/%d', '%m/%d/%Y', '%b %-d %Y'])::DATE,
+    NULL) AS order_date) FROM cleaned),
 sales AS (
   SELECT *,
     year(order_date)::INTEGER AS order_year,
@@ -363,6 +370,25 @@ FROM fact_sales f
 JOIN dim_date d ON f.order_date_key = d.date_key
 JOIN dim_product p ON f.product_key = p.product_key
 GROUP BY ALL""",
+    "stored_star_sql": f"""{_STAR}
+SELECT l.region, d.year, count(*) AS line_count,
+  sum(f.sales_amount::DECIMAL(18,2))::DOUBLE AS revenue,
+  sum(s.revenue::DECIMAL(18,2))::DOUBLE AS sales_revenue
+FROM fact_sales f
+JOIN dim_location l ON f.location_key = l.location_key
+JOIN dim_date d ON f.order_date_key = d.date_key
+JOIN sales s ON f.sales_key = s.row_id
+GROUP BY ALL""",
+    "stored_panel_kpis": _CLEAN + _kpis(_PERIOD),
+    "stored_panel_cities": f"{_CLEAN} {_CITIES.replace(_DATED, _PERIOD)}",
+    "stored_panel_empty": _CLEAN + _kpis("(SELECT * FROM sales WHERE false)"),
+    "panel_cities_dirty": f"{_DIRTY} {_CITIES}",
+    "panel_top_products_dirty": _DIRTY + _TOP_PRODUCTS,
+    "panel_category_by_month_dirty": f"{_DIRTY} {_monthly(_REVENUE, 'category')}",
+    "unrounded_revenue": """
+SELECT l_returnflag,
+  round_even(sum((l_extendedprice * (1 - l_discount))::DECIMAL(18,6))::DOUBLE, 2) AS revenue
+FROM lineitem GROUP BY l_returnflag""",
     "warehouse_tables": f"{_STAR} "
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _STAR_TABLES

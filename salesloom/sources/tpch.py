@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesloom import scratch
 from salesloom.operators.keys import with_surrogate_key
 
 # The order in which lines are numbered. Lines equal in all of it are copies; _line, their place
@@ -92,6 +93,10 @@ DIRTY_COLUMNS = SALES_COLUMNS | {
     "customer_id": f"CASE WHEN l_orderkey % 101 <> 0 THEN {SALES_COLUMNS['customer_id']} END",
     "region": "CASE WHEN l_orderkey % 103 <> 0 THEN r_name END",
     "order_date": "CASE WHEN l_orderkey % 107 = 0 THEN 'not-a-date' "
+    "WHEN l_orderkey % 109 = 0 THEN date_format(o_orderdate, 'yyyyMMdd') "
+    "WHEN l_orderkey % 113 = 0 THEN date_format(o_orderdate, 'yyyy/MM/dd') "
+    "WHEN l_orderkey % 127 = 0 THEN date_format(o_orderdate, 'MM/dd/yyyy') "
+    "WHEN l_orderkey % 131 = 0 THEN date_format(o_orderdate, 'MMM d yyyy') "
     "ELSE string(to_date(o_orderdate)) END",
 }
 
@@ -109,11 +114,35 @@ def dirty_sales(spark: SparkSession, base: str) -> DataFrame:
     return _joined(spark, base).selectExpr(*_named(DIRTY_COLUMNS))
 
 
-def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
+def _matched_lines(spark: SparkSession, base: str) -> DataFrame:
+    """Lines that the joins keep, with their place in the scan; only keys of other tables are read."""
+    orders = (
+        read(spark, base, "orders")
+        .select("o_orderkey", "o_custkey")
+        .join(read(spark, base, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(read(spark, base, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+        .select("o_orderkey")
+    )
     lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
-    order = [*LINE_ORDER, "_line"]
-    wide = _joined(spark, base, lines).selectExpr(*order, *_named(columns))
-    return with_surrogate_key(wide, [F.asc_nulls_last(c) for c in order], "row_id", drop=order)
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").join(
+        read(spark, base, "part").select("p_partkey"), F.col("l_partkey") == F.col("p_partkey"), "left_semi"
+    )
+
+
+def _line_order() -> list:
+    return [F.asc_nulls_last(c) for c in (*LINE_ORDER, "_line")]
+
+
+def numbered_lines(spark: SparkSession, base: str) -> DataFrame:
+    """The lines that count, with dense row ids, in their own narrow columns."""
+    return with_surrogate_key(_matched_lines(spark, base), _line_order(), "row_id", drop=["_line"])
+
+
+def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
+    """Narrow lines are sorted and numbered; the wide join then runs once."""
+    wide = _joined(spark, base, numbered_lines(spark, base))
+    return scratch.materialize(wide.selectExpr("row_id", *_named(columns)), "sales")
 
 
 def numbered_sales(spark: SparkSession, base: str) -> DataFrame:
@@ -127,13 +156,8 @@ def numbered_dirty_sales(spark: SparkSession, base: str) -> DataFrame:
 
 def first_sales(spark: SparkSession, base: str, n: int) -> DataFrame:
     """The first ``n`` raw lines in row order with their ids, without numbering the others."""
-    order = [F.asc_nulls_last(c) for c in LINE_ORDER]
-    first = (
-        _joined(spark, base)
-        .selectExpr(*LINE_ORDER, *_named(SALES_COLUMNS))
-        .orderBy(*order)
-        .limit(n)
-    )
+    first = _matched_lines(spark, base).orderBy(*_line_order()).limit(n)
     # n rows at most, which the limit has gathered in one task already.
-    row_id = F.row_number().over(Window.orderBy(*order)).cast("bigint")
-    return first.select(row_id.alias("row_id"), *[c for c in first.columns if c not in LINE_ORDER])
+    row_id = F.row_number().over(Window.orderBy(*_line_order())).cast("bigint")
+    lines = first.withColumn("row_id", row_id).drop("_line")
+    return _joined(spark, base, lines).selectExpr("row_id", *_named(SALES_COLUMNS))

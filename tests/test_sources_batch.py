@@ -1,12 +1,13 @@
 import datetime as dt
 import json
+import os
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from salesloom import scratch
-from salesloom.functions import customer_id, parse_date
+from salesloom.functions import customer_id, money_sum, round2, to_day
 from salesloom.plans.batch import attach, run_batch, validate
 from salesloom.plans.dashboard import open_dashboard
 from salesloom.schemas import SALES, STAR, SUMMARIES
@@ -62,10 +63,19 @@ def test_customer_id(spark, name, start):
     assert df.select(customer_id(F.col("name"), F.lit(12345))).first()[0] == f"{start}12345"
 
 
-def test_parse_date():
-    assert parse_date("2024-02-29") == dt.date(2024, 2, 29)
-    with pytest.raises(ValueError, match="Invalid date"):
-        parse_date("29.02.2024")
+def test_days_in_other_formats(spark):
+    texts = "2024-02-29 20240229 2024/02/29 2024/2/29 02/29/2024|Feb 29 2024|Feb 29, 2024|29 Feb 2024"
+    head, *tail = texts.split("|")
+    rows = [(t,) for t in [*head.split(), *tail, "29.02.2024", "2024-13-01", "", None]]
+    got = spark.createDataFrame(rows, "t string").select("t", to_day(F.col("t")).alias("d")).collect()
+    assert [r.d for r in got] == [dt.date(2024, 2, 29)] * 8 + [None] * 4
+
+
+def test_money_finer_than_a_cent(spark):
+    total = spark.range(1000).select(F.lit(0.004).alias("m")).agg(money_sum(F.col("m")).alias("m"))
+    assert total.first().m == 4.0
+    third = spark.range(3).select(F.lit(0.0033).alias("m")).agg(round2(money_sum(F.col("m"))).alias("m"))
+    assert third.first().m == 0.01
 
 
 def test_customer_pool_is_unique_and_grows(spark):
@@ -96,7 +106,7 @@ def test_synthetic_lines_keep_their_contract(spark, lines):
         F.count_distinct("order_date"),
         F.count_distinct("product_id"),
     ).first()
-    assert tuple(sizes) == (6000, 1, 6000, 50, len(CITIES.strip().splitlines()), 91, 5)
+    assert tuple(sizes) == (6000, 1, 6000, 50, len(CITIES), 91, 5)
     top = {r[0]: r[1] for r in lines.groupBy("category").agg(F.max("quantity")).collect()}
     assert top == {"Furniture": 2, "Technology": 12, "Office Supplies": 50}
 
@@ -302,19 +312,71 @@ def test_scratch_can_be_cleared(spark):
         read_sales(spark, table.inputFiles()[0])
 
 
-def fake_session(checkpoint_dir, master):
+def fake_session(**settings):
     return SimpleNamespace(
-        conf=SimpleNamespace(get=lambda key, default: checkpoint_dir),
-        sparkContext=SimpleNamespace(
-            applicationId=f"app-{master}", master=master, getCheckpointDir=lambda: None
-        ),
+        conf=SimpleNamespace(get=lambda key, default=None: settings.get(key.split(".")[-2], default)),
+        sparkContext=SimpleNamespace(applicationId="app", getCheckpointDir=lambda: None),
     )
 
 
 def test_scratch_folder_follows_the_session():
-    named = fake_session("hdfs://shared/checkpoints/", "spark://host:7077")
-    assert scratch.root(named) == "hdfs://shared/checkpoints/salesloom/app-spark://host:7077"
-    local = fake_session(None, "local[2]")
-    assert scratch.root(local) == scratch.root(local)
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch.root(fake_session(None, "spark://host:7077"))
+    named = fake_session(checkpoint="hdfs://shared/checkpoints/", warehouse="/house")
+    assert scratch.root(named) == "hdfs://shared/checkpoints/salesloom/app"
+    assert scratch.root(fake_session(warehouse="/house")) == "/house/_scratch/salesloom/app"
+
+
+def test_long_synthesis_has_many_tasks(spark, catalog_path):
+    catalog = read_catalog(spark, catalog_path)
+    ids = synthetic_sales(spark, 10_000_000_000, catalog, START, END)
+    plan = ids._jdf.queryExecution().executedPlan().toString()
+    assert "splits=Some(5000)" in ids._jdf.queryExecution().optimizedPlan().toString() or "splits=5000" in plan
+
+
+def test_unfinished_folder_is_not_read(spark, catalog_path, tmp_path):
+    """What a killed write leaves: no mark, whatever else is there."""
+    folder = str(tmp_path)
+    version = files.write_bronze(spark.range(1).toDF("row_id"), f"{folder}/bronze")
+    (tmp_path / "bronze" / version.rsplit("/", 1)[1] / "_SUCCESS").unlink()
+    (tmp_path / "other" / "_temporary").mkdir(parents=True)
+    for name in ("bronze", "other"):
+        with pytest.raises(FileNotFoundError):
+            read_sales(spark, f"{folder}/{name}")
+    result = run_batch(
+        spark, catalog_path, folder, 50, START, END, rebuild=False, build_star_schema=False, database="unfinished"
+    )
+    assert result.sales.count() == 50
+
+
+def test_failed_star_write_serves_no_mixed_star(spark, catalog_path, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    run_batch(spark, catalog_path, folder, 200, START, END, database="mixed")
+    assert {*STAR} <= set(attach(spark, folder, "mixed"))
+
+    def fail(spark, version):
+        raise OSError("disk full")
+
+    monkeypatch.setattr("salesloom.versions.finish", fail)
+    second = run_batch(spark, catalog_path, folder, 100, START, END, seed=7, database="mixed")
+    monkeypatch.undo()
+    assert second.star is None and "disk full" in second.star_error
+    assert {t.name for t in spark.catalog.listTables("mixed")} == {"sales"}
+    tables = attach(spark, folder, "mixed_later")
+    assert set(tables) == {"sales"} and tables["sales"].count() == 100
+    third = run_batch(spark, catalog_path, folder, 150, START, END, database="mixed")
+    assert third.star.fact_sales.count() == 150
+    assert len(list((tmp_path / "silver").glob("v-*"))) == 2
+
+
+def test_failed_bronze_keeps_the_earlier_one(spark, batch):
+    folder, _ = batch
+    broken = spark.range(10).select(F.raise_error(F.lit("lost")).cast("bigint").alias("row_id"))
+    with pytest.raises(Exception, match="lost"):
+        files.write_bronze(broken, f"{folder}/bronze")
+    assert read_sales(spark, f"{folder}/bronze", SALES).count() == 3000
+
+
+def test_dashboard_deletes_its_cube(spark, batch):
+    board = open_dashboard(spark, f"{batch[0]}/silver")
+    files_before = board.cube.inputFiles()
+    board.close()
+    assert files_before and not any(os.path.exists(f.removeprefix("file://")) for f in files_before)
