@@ -1,6 +1,7 @@
 """Every query by name, over a folder of source tables."""
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,14 @@ from salesloom.sinks import files, warehouse
 from salesloom.sources import tpch
 from salesloom.sources.catalog import flatten_catalog
 from salesloom.sources.files import read_sales, read_summary
-from salesloom.sources.synthetic import discount_tier, quantity_limit, synthesize
+from salesloom.sources.synthetic import (
+    CITIES,
+    SEGMENTS,
+    SHIP_MODES,
+    discount_tier,
+    quantity_limit,
+    synthesize,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,19 +173,32 @@ def synth_sales(spark: SparkSession, base: str) -> DataFrame:
     """One synthetic line per event, products from the part table, as many customers as exist."""
     ids = tpch.read(spark, base, "events").select((F.col("event_id") + 1).alias("row_id"))
     catalog = flatten_catalog(part_catalog_json(spark, base))
-    bounds = tpch.read(spark, base, "orders").agg(
-        F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))
-    )
-    first_day, last_day = bounds.first()
     customers = tpch.read(spark, base, "customer").count()
-    return synthesize(ids, catalog, first_day, last_day, customers)
+    return synthesize(ids, catalog, *order_days(spark, base), customers)
+
+
+def order_days(spark: SparkSession, base: str) -> tuple[date, date]:
+    day = F.to_date("o_orderdate")
+    return tuple(tpch.read(spark, base, "orders").agg(F.min(day), F.max(day)).first())
 
 
 def synth_contract(spark: SparkSession, base: str) -> DataFrame:
     """Rows that break a rule of the synthesis, and sizes that the source tables fix."""
-    lines = synth_sales(spark, base)
+    products = flatten_catalog(part_catalog_json(spark, base)).select(
+        "category", "sub_category", "product_name", "product_id", F.lit(True).alias("_sold")
+    )
+    lines = synth_sales(spark, base).join(
+        products, ["category", "sub_category", "product_name", "product_id"], "left"
+    )
+    first_day, last_day = order_days(spark, base)
     latency = F.date_diff("ship_date", "order_date")
+    place = F.concat_ws("|", "city", "state", F.substring("postal_code", 1, 3), "region")
     broken = {
+        "order_date": ~F.col("order_date").between(F.lit(first_day), F.lit(last_day)),
+        "product": F.col("_sold").isNull(),
+        "ship_mode": ~F.col("ship_mode").isin("Same Day", *SHIP_MODES),
+        "segment": ~F.col("segment").isin(SEGMENTS),
+        "place": ~place.isin(["|".join(city) for city in CITIES]),
         "ship_latency": ~latency.between(1, 7),
         "quantity": ~F.col("quantity").between(1, quantity_limit(F.col("category"))),
         "discount": F.col("discount") != discount_tier(F.col("quantity")),
@@ -192,6 +213,12 @@ def synth_contract(spark: SparkSession, base: str) -> DataFrame:
     return lines.agg(*[m.alias(name) for name, m in measures.items()])
 
 
+def synth_rotation(spark: SparkSession, base: str) -> DataFrame:
+    """Lines per customer: customers take turns, so the numbers differ by one at most."""
+    per_customer = synth_sales(spark, base).groupBy("customer_id").agg(F.count("*").alias("n"))
+    return per_customer.agg(F.min("n").alias("fewest"), F.max("n").alias("most"))
+
+
 def unrounded_revenue(spark: SparkSession, base: str) -> DataFrame:
     """Amounts finer than a cent, rounded once after they are added."""
     amount = F.col("l_extendedprice") * (1 - F.col("l_discount"))
@@ -371,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "catalog_flatten": catalog_flatten,
     "synth_sales": synth_sales,
     "synth_contract": synth_contract,
+    "synth_rotation": synth_rotation,
     "summary_csv_roundtrip": summary_csv_roundtrip,
     "silver_roundtrip": silver_roundtrip,
     "sample_csv_roundtrip": sample_csv_roundtrip,

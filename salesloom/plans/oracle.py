@@ -357,7 +357,12 @@ SELECT (SELECT count(*) FROM events) AS "rows",
   (SELECT least((SELECT count(*) FROM customer), (SELECT count(*) FROM events))) AS customers,
   0::BIGINT AS broken_ship_latency, 0::BIGINT AS broken_quantity, 0::BIGINT AS broken_discount,
   0::BIGINT AS broken_order_id, 0::BIGINT AS broken_customer_id, 0::BIGINT AS broken_postal_code,
-  0::BIGINT AS broken_price""",
+  0::BIGINT AS broken_price, 0::BIGINT AS broken_order_date, 0::BIGINT AS broken_product,
+  0::BIGINT AS broken_ship_mode, 0::BIGINT AS broken_segment, 0::BIGINT AS broken_place""",
+    "synth_rotation": """
+SELECT events // least(events, customers) AS fewest,
+  (events + least(events, customers) - 1) // least(events, customers) AS most
+FROM (SELECT (SELECT count(*) FROM events) AS events, (SELECT count(*) FROM customer) AS customers)""",
     "summary_csv_roundtrip": _CLEAN + _TOP_PER_CATEGORY,
     "silver_roundtrip": f"{_CLEAN} SELECT * FROM sales",
     "sample_csv_roundtrip": f"{_ctes(_COLUMNS, row_id=True)} "
