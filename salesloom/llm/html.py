@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.llm.batches import small_batches
+
 # Frequent function words of English, French, German and Spanish.
 STOP_WORDS = frozenset(
     """
@@ -246,4 +248,5 @@ def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     rule decides on is left out, so a page of a few short lines gives an empty text. Every row
     stays, also repeated ones.
     """
+    small_batches(pages.sparkSession)
     return pages.withColumn("text", extract(F.col(html_col))).drop(html_col)

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from salesloom.llm.batches import small_batches
+
 WIDTHS = (2, 3, 4)
 REACH = max(WIDTHS) - 1
 WINDOW = 256
@@ -194,6 +196,7 @@ def fit(
     hash of the text, and ``windows_per_doc`` windows of each at most, spread over the whole text.
     Only these windows reach the driver.
     """
+    small_batches(docs.sparkSession)
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )

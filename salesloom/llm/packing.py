@@ -21,6 +21,7 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 from salesloom import scratch
+from salesloom.llm.batches import small_batches
 
 PIECES = "doc_id {id}, start bigint, length bigint, ids binary, doc_tokens bigint"
 # What the vocabulary's own splitting takes as one unit.
@@ -78,7 +79,7 @@ class WordTokenizer:
     tokenizer as they are.
     """
 
-    def __init__(self, file: str, room: int = 700_000):
+    def __init__(self, file: str, room: int = 250_000):
         self.whole = Tokenizer.from_file(file)
         self.bare = Tokenizer(self.whole.model)
         self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
@@ -171,6 +172,7 @@ def tokenize(
     little-endian unsigned 32-bit numbers. Repeated rows are separate documents. Other columns are
     left out. ``file`` is read on the executors.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType
     schema = PIECES.format(id=kind.simpleString())
 

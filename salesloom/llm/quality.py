@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesloom import scratch
+from salesloom.llm.batches import small_batches
 from salesloom.operators.keys import with_surrogate_key
 
 BUCKET_BITS = 16
@@ -141,6 +142,7 @@ def sample_keys(
     Without labels all weights are equal and everything stays. Null ids have no label. Texts
     without tokens have no weight and are never taken before others. Repeated rows share one draw.
     """
+    small_batches(docs.sparkSession)
     judged = (
         labels.where("doc_id IS NOT NULL")
         .groupBy("doc_id")

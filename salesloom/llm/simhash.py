@@ -9,12 +9,13 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from salesloom import scratch
+from salesloom.llm.batches import small_batches
 from salesloom.llm.components import connected_components
 
 BITS = 64
@@ -84,15 +85,12 @@ def _keys(max_bits: int) -> Column:
     return F.array(*out)
 
 
-def _pairs(index: DataFrame, max_bits: int, *on: str) -> DataFrame:
-    """Pairs ``(a, b)`` of the index's nodes within the distance that share a signature.
-
-    ``index`` has ``node``, ``fp``, ``place``, ``rest``, ``side`` and the columns ``on``.
-    """
-    keys = [*on, "place", "rest"]
-    left = index.select(*keys, F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("side").alias("sa"))
-    right = index.select(*keys, F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("side").alias("sb"))
-    near = F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= max_bits
+def _pairs(index: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs ``(a, b)`` within the distance that share a signature of ``index(fp, place, rest, side)``."""
+    keys = ["place", "rest"]
+    left = index.select(*keys, F.col("fp").alias("a"), F.col("side").alias("sa"))
+    right = index.select(*keys, F.col("fp").alias("b"), F.col("side").alias("sb"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     same = left.where("sa IS NULL").join(right.where("sb IS NULL"), keys).where("a < b")
     apart = left.where("sa = 0").join(right.where("sb = 1"), keys)
     return same.where(near).select("a", "b").union(apart.where(near).select("a", "b"))
@@ -143,7 +141,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 100
         stars = fine.join(least, "k").where("fp > b").select(F.col("fp").alias("a"), "b")
         signed = signed.join(hot, ["place", "rest"], "left_anti")
     index = scratch.materialize(signed, "signatures") if stars is not None else signed
-    links = _pairs(index.withColumn("node", F.col("fp")), max_bits)
+    links = _pairs(index, max_bits)
     return links if stars is None else links.union(stars)
 
 
@@ -165,6 +163,7 @@ def near_duplicates(
     Copies collapse before anything is joined, so a group of any number of copies is one row in the
     index. Fingerprints stay in the cluster.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"), simhash(F.col(text_col), shingle_words).alias("fp")
     )
@@ -213,6 +212,20 @@ def _text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(whole).alias("h"), F.xxhash64(whole, F.lit(SEED)).alias("g"))
 
 
+def _sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A stored narrow table, broadcast if it has at most ``rows`` rows; else joined by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose shingle sets have the Jaccard similarity."""
+    left, right = (sets.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
+    both = pairs.join(left, "a").join(right, "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    share = common / (F.size("sa") + F.size("sb") - common)
+    return both.where(share >= similarity).select("a", "b")
+
+
 def similar_texts(
     docs: DataFrame,
     text_col: str = "text",
@@ -221,33 +234,54 @@ def similar_texts(
     tables: int = 3,
     max_bits: int = 3,
 ) -> DataFrame:
-    """``(node, component)`` for each distinct text that has a near copy; both are text keys.
+    """``(text, component)`` for each distinct text that has a near copy; ``text`` is its key and
+    ``component`` a number that near copies share.
 
     Candidates share a signature in one of ``tables`` indexes of word-set fingerprints, which move
-    little when a few words change; a candidate links if the Jaccard similarity of the two sets of
-    ``shingle_words``-word shingles, computed in full, is ``similarity`` or more. Copies are one
-    text here. Texts without words are left out.
+    little when a few words change, and lie within ``max_bits``; a candidate links if the Jaccard
+    similarity of the two sets of ``shingle_words``-word shingles, computed in full, is
+    ``similarity`` or more. Copies are one text here. Texts without words are left out.
+
+    A large group is not paired out. First each text is compared with the next one in each of its
+    buckets, which ties most of a group together; then only candidates from different components
+    are compared, and of these none within a bucket's largest component. That finds the same
+    components as all candidates would.
     """
-    texts = scratch.materialize(
-        docs.select(_text_key(F.col(text_col)).alias("node"), _set_fingerprints(F.col(text_col), tables).alias("fps")),
-        "sets",
-    )
-    texts = texts.groupBy("node").agg(F.any_value("fps").alias("fps"))
+    small_batches(docs.sparkSession)
+    texts = docs.select(_text_key(F.col(text_col)).alias("text"), _set_fingerprints(F.col(text_col), tables).alias("fps"))
+    texts = texts.groupBy("text").agg(F.any_value("fps").alias("fps"))
+    texts = scratch.materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
     index = texts.select("node", F.posexplode("fps").alias("table", "fp")).where("fp != 0")
-    index = index.select("node", "table", "fp", F.explode(_keys(max_bits)).alias("k")).select("node", "table", "fp", "k.*")
-    pairs = scratch.materialize(_pairs(index, max_bits, "table").distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    keyed = docs.select(_text_key(F.col(text_col)).alias("node"), F.col(text_col).alias("text"))
-    sets = scratch.materialize(
-        keyed.join(wanted, "node", "left_semi").select("node", _shingle_set(F.col("text"), shingle_words).alias("s")),
-        "shingles",
+    index = index.select("node", "table", "fp", F.explode(_keys(max_bits)).alias("k"))
+    key = F.shiftleft((F.col("table") * 256 + F.col("k.place")).cast("bigint"), 32) + F.col("k.rest")
+    row = Window.partitionBy("key").orderBy("node")
+    members = index.select("node", "fp", key.alias("key")).withColumns(
+        {"next": F.lead("node").over(row), "next_fp": F.lead("fp").over(row), "before": F.lag("node").over(row)}
     )
-    sets = sets.groupBy("node").agg(F.any_value("s").alias("s"))
-    left, right = (sets.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    share = common / (F.size("sa") + F.size("sb") - common)
-    return connected_components(both.where(share >= similarity).select("a", "b"))
+    members = members.where("next IS NOT NULL OR before IS NOT NULL").drop("before")
+    members = scratch.materialize(members, "members")
+
+    wanted = scratch.materialize(members.select("node").distinct().join(texts.select("node", "text"), "node"), "wanted")
+    keyed = docs.select(_text_key(F.col(text_col)).alias("text"), F.col(text_col).alias("words"))
+    sets = keyed.join(_sized(wanted), "text").select("node", _shingle_set(F.col("words"), shingle_words).alias("s"))
+    sets = scratch.materialize(sets.dropDuplicates(["node"]), "shingles")
+
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("next_fp"))) <= max_bits
+    chain = members.where(near).select(F.col("node").alias("a"), F.col("next").alias("b")).distinct()
+    first = scratch.materialize(_linked(chain, sets, similarity), "links")
+    known = members.select("key", "node", "fp").join(connected_components(first), "node", "left")
+    known = scratch.materialize(known.withColumn("component", F.coalesce("component", "node")), "known")
+    sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = sizes.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = known.join(mixed.select("key", "main"), "key")
+    left = open_.where("component != main").select(
+        "key", F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("component").alias("ca")
+    )
+    right = open_.select("key", "main", F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("component").alias("cb"))
+    apart = F.expr(f"ca != cb AND (cb = main OR a < b) AND bit_count(fa ^ fb) <= {max_bits}")
+    rest = left.join(right, "key").where(apart).select("a", "b").distinct()
+    links = first.union(_linked(rest, sets, similarity))
+    return connected_components(links).join(texts.select("node", "text"), "node").select("text", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -258,23 +292,23 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only the keys of rows that go are joined with the documents.
     """
     key = _text_key(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), key.alias("node"))
-    counted = scratch.materialize(
-        rows.groupBy("id", "node").agg(F.count("*").alias("copies")), "rows"
-    )
+    rows = docs.select(F.col(id_col).alias("id"), key.alias("text"))
+    counted = scratch.materialize(rows.groupBy("id", "text").agg(F.count("*").alias("copies")), "rows")
+    # Texts without near copies are groups by themselves.
     groups = similar_texts(docs, text_col, **options)
-    grouped = counted.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    first = grouped.groupBy("component").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node")).alias("first")
-    )
-    placed = grouped.join(first, "component")
-    stays = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.node") == F.col("node"))
-    marked = scratch.materialize(
-        placed.where(~stays | (F.col("copies") > 1)).select("id", "node", stays.alias("stays")), "marked"
+    grouped = counted.join(groups, "text", "left").withColumn(
+        "group", F.when(F.col("component").isNull(), F.col("text"))
     )
-    marked = marked.select(F.col("id").alias("_id"), F.col("node").alias("_node"), "stays")
-    same = F.col("_key").eqNullSafe(F.col("_node")) & F.col(id_col).eqNullSafe(F.col("_id"))
+    first = grouped.groupBy("component", "group").agg(
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text")).alias("first")
+    ).withColumnsRenamed({"component": "c", "group": "g"})
+    same_group = F.col("component").eqNullSafe(F.col("c")) & F.col("group").eqNullSafe(F.col("g"))
+    stays = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text") == F.col("text"))
+    marked = grouped.join(first, same_group).select("id", "text", "copies", stays.alias("stays"))
+    marked = scratch.materialize(marked.where("NOT stays OR copies > 1").drop("copies"), "marked")
+    marked = marked.withColumnsRenamed({"id": "_id", "text": "_text"})
+    same = F.col("_key").eqNullSafe(F.col("_text")) & F.col(id_col).eqNullSafe(F.col("_id"))
     keyed = docs.withColumn("_key", key)
-    single = keyed.join(marked, same, "left_anti")
-    repeated = keyed.join(marked.where("stays"), same, "left_semi").dropDuplicates([id_col, "_key"])
+    single = keyed.join(_sized(marked), same, "left_anti")
+    repeated = keyed.join(_sized(marked.where("stays")), same, "left_semi").dropDuplicates([id_col, "_key"])
     return single.unionByName(repeated).drop("_key")
