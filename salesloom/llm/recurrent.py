@@ -114,7 +114,7 @@ def _run(w: Weights, x: np.ndarray, last: np.ndarray, state: np.ndarray, keep: b
     before = np.empty((steps, lanes, h), np.float32)
     entered = w["enter"][x]
     kept = []
-    stay = ~last
+    stay, ends = ~last, last.any(axis=1)
     for t in range(steps):
         before[t] = state
         turned = state @ w["turn"]
@@ -129,7 +129,7 @@ def _run(w: Weights, x: np.ndarray, last: np.ndarray, state: np.ndarray, keep: b
         if keep:
             kept.append((zr, n, turned[:, 2 * h :]))
         state = n + zr[:, :h] * (state - n)
-        if last[t].any():
+        if ends[t]:
             state = state * stay[t][:, None]
     return before, state, kept
 
@@ -205,10 +205,14 @@ class Learner:
         self.first = {k: np.zeros_like(v) for k, v in weights.items()}
         self.second = {k: np.zeros_like(v) for k, v in weights.items()}
 
-    def learn(self, docs: list[np.ndarray], lanes: int = 128, window: int = 32) -> None:
-        if not docs:
+    def learn(self, docs: list[np.ndarray], lanes: int = 128, window: int = 32, stretch: int = 1024) -> None:
+        """One pass over the documents. Long ones are learnt in stretches that start afresh, so that
+        no lane runs on alone.
+        """
+        parts = [d[i : i + stretch] for d in docs for i in range(0, len(d), stretch)]
+        if not parts:
             return
-        laid = lay(docs, lanes)
+        laid = lay(parts, lanes)
         steps, width = laid.symbols.shape
         state = np.zeros((width, self.shape.hidden), np.float32)
         for at in range(0, steps, window):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from salesloom import scratch
 from salesloom.llm import recurrent
+from salesloom.llm.batches import small_batches
 from salesloom.llm.recurrent import Shape
 
 END = b""  # no word is empty
@@ -172,7 +173,7 @@ def train(
     shared,
     rounds: int = 2,
     start_documents: int = 500,
-    portion: int = 300_000,
+    portion: int = 2_000_000,
 ) -> recurrent.Weights:
     """Weights learnt from ``texts(draw, text)``: about ``start_documents`` of them on the driver,
     then all in ``rounds`` rounds, each text in one round. ``draw`` is a number from 0 to 1.
@@ -192,7 +193,7 @@ def train(
             weights = recurrent.unpacked(np.frombuffer(start, np.float32), shape)
             own, tokens = recurrent.Learner(weights, shape, 0.005), 0
             for _, readings in _portions(batches, shared.value, portion):
-                own.learn([r.symbols for r in readings], lanes=256)
+                own.learn([r.symbols for r in readings], lanes=512)
                 tokens += sum(len(r.symbols) for r in readings)
             if tokens:
                 found = recurrent.packed(own.w, shape).astype(np.float64)
@@ -211,7 +212,7 @@ def score(
     id_col: str = "doc_id",
     text_col: str = "text",
     at_hand: int = 200_000,
-    portion: int = 300_000,
+    portion: int = 2_000_000,
 ) -> DataFrame:
     """``(id_col, held_out, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
@@ -221,6 +222,7 @@ def score(
     empty: an end alone. Null ids are learnt from. Repeated rows count as often as they occur; other
     columns are left out; without training rows the counts are zero.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).cast("binary").alias("text")
     )
