@@ -180,24 +180,6 @@ def near_duplicates(
     return rows.join(owner, "fp").select(F.col("id").alias(id_col), "fp", "component")
 
 
-def _set_fingerprints(text: Column, tables: int) -> Column:
-    """Independent fingerprints of the set of a text's words, one per table."""
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def of(texts: pd.Series) -> pd.Series:
-        out = []
-        for t in texts:
-            words = set(words_of(t)) if t is not None else ()
-            hashes = (
-                np.fromiter(map(xxh64_intdigest, words, repeat(SEED + i)), np.uint64)
-                for i in range(tables)
-            )
-            out.append([fingerprint(h) for h in hashes])
-        return pd.Series(out)
-
-    return of(text.cast("binary"))
-
-
 def _shingle_set(text: Column, shingle_words: int) -> Column:
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def of(texts: pd.Series) -> pd.Series:
@@ -218,70 +200,113 @@ def _sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets have the Jaccard similarity."""
-    left, right = (sets.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
+    """The stored pairs whose shingle sets have the Jaccard similarity."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = sets.join(_sized(scratch.materialize(ends, "wanted")), "node", "left_semi")
+    left, right = (wanted.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("sa", "sb"))
     share = common / (F.size("sa") + F.size("sb") - common)
     return both.where(share >= similarity).select("a", "b")
 
 
+def _prefix_size(n: Column, similarity: float) -> Column:
+    """So many first shingles of a set of ``n``, in any one order of all shingles, that two sets of
+    the similarity share one of them."""
+    return (n - F.ceil(n * similarity - 1e-6) + 1).cast("int")
+
+
+def _in_order(s: Column, size: Column, common: list[int]) -> Column:
+    """The first ``size`` of sorted shingles, those in ``common`` last and in the order given."""
+    keys = np.array(common, np.int64)
+    order = np.argsort(keys)
+    keys = keys[order]
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def of(sets: pd.Series, sizes: pd.Series) -> pd.Series:
+        out = []
+        for x, n in zip(sets, sizes):
+            at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+            late = keys[at] == x
+            out.append(np.concatenate([x[~late], x[late][np.argsort(order[at[late]])]])[:n])
+        return pd.Series(out)
+
+    return of(s, size) if common else F.slice(s, 1, size)
+
+
 def similar_texts(
     docs: DataFrame,
     text_col: str = "text",
     shingle_words: int = 5,
     similarity: float = 0.8,
-    tables: int = 3,
-    max_bits: int = 3,
+    common_from: int = 16,
+    most_common: int = 200_000,
 ) -> DataFrame:
     """``(text, component)`` for each distinct text that has a near copy; ``text`` is its key and
     ``component`` a number that near copies share.
 
-    Candidates share a signature in one of ``tables`` indexes of word-set fingerprints, which move
-    little when a few words change, and lie within ``max_bits``; a candidate links if the Jaccard
-    similarity of the two sets of ``shingle_words``-word shingles, computed in full, is
-    ``similarity`` or more. Copies are one text here. Texts without words are left out.
+    Two texts link if the Jaccard similarity of their sets of ``shingle_words``-word shingles is
+    ``similarity`` or more. No such pair is missed: all sets are put into one order, in which two of
+    them can only be so similar if they share a shingle among their first few, and that first one
+    leaves enough behind it in both. Each candidate is verified in full. Copies are one text here.
+    Texts without words are left out.
+
+    The order is that of the hashes, but shingles found at the head of more than ``common_from``
+    texts come last, the rarest first, so that a common line makes no candidates. At most
+    ``most_common`` of them reach the driver; any choice of them gives the same links.
 
     A large group is not paired out. First each text is compared with the next one in each of its
-    buckets, which ties most of a group together; then only candidates from different components
-    are compared, and of these none within a bucket's largest component. That finds the same
-    components as all candidates would.
+    buckets in two orders, which ties most of a group together; then only candidates from different
+    components are compared, and of these none within a bucket's largest component. That finds the
+    same components as all candidates would.
     """
     small_batches(docs.sparkSession)
-    texts = docs.select(_text_key(F.col(text_col)).alias("text"), _set_fingerprints(F.col(text_col), tables).alias("fps"))
-    texts = texts.groupBy("text").agg(F.any_value("fps").alias("fps"))
-    texts = scratch.materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")
-    index = texts.select("node", F.posexplode("fps").alias("table", "fp")).where("fp != 0")
-    index = index.select("node", "table", "fp", F.explode(_keys(max_bits)).alias("k"))
-    key = F.shiftleft((F.col("table") * 256 + F.col("k.place")).cast("bigint"), 32) + F.col("k.rest")
-    row = Window.partitionBy("key").orderBy("node")
-    members = index.select("node", "fp", key.alias("key")).withColumns(
-        {"next": F.lead("node").over(row), "next_fp": F.lead("fp").over(row), "before": F.lag("node").over(row)}
+    rows = docs.select(_text_key(F.col(text_col)).alias("text"), _shingle_set(F.col(text_col), shingle_words).alias("s"))
+    rows = scratch.materialize(rows.withColumn("node", F.monotonically_increasing_id()), "shingles")
+    texts = scratch.materialize(rows.groupBy("text").agg(F.min("node").alias("node")), "texts")
+    sets = rows.where(F.size("s") > 0).join(_sized(texts.select("node")), "node", "left_semi")
+    sets = sets.select("node", "s", F.size("s").alias("n"))
+
+    head = _prefix_size(F.col("n"), similarity)
+    counts = sets.select(F.explode(F.slice("s", 1, head)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    counts = counts.where(F.col("n") > common_from).orderBy(F.desc("n"), "key").limit(most_common)
+    common = [r["key"] for r in counts.collect()][::-1]
+    index = sets.select("node", "n", F.posexplode(_in_order(F.col("s"), head, common)).alias("at", "key"))
+    row, mixed = (Window.partitionBy("key").orderBy(o, "node") for o in (F.col("node"), F.xxhash64("node")))
+    other = F.struct("node", "n", "at")
+    members = index.withColumns(
+        {"next": F.lead(other).over(row), "before": F.lag("node").over(row), "far": F.lead(other).over(mixed)}
     )
     members = members.where("next IS NOT NULL OR before IS NOT NULL").drop("before")
     members = scratch.materialize(members, "members")
 
-    wanted = scratch.materialize(members.select("node").distinct().join(texts.select("node", "text"), "node"), "wanted")
-    keyed = docs.select(_text_key(F.col(text_col)).alias("text"), F.col(text_col).alias("words"))
-    sets = keyed.join(_sized(wanted), "text").select("node", _shingle_set(F.col("words"), shingle_words).alias("s"))
-    sets = scratch.materialize(sets.dropDuplicates(["node"]), "shingles")
+    def possible(a: str, b: str) -> Column:
+        """Both hold enough shingles from the shared one on, if that is their first."""
+        n, m = F.col(f"{a}n"), F.col(f"{b}n")
+        behind = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at"))
+        return behind >= (n + m) * (similarity / (1 + similarity)) - 1e-6
 
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("next_fp"))) <= max_bits
-    chain = members.where(near).select(F.col("node").alias("a"), F.col("next").alias("b")).distinct()
+    chain = members.select("node", "n", "at", F.explode(F.array("next", "far")).alias("o"))
+    chain = chain.where(F.col("o").isNotNull() & possible("", "o."))
+    chain = chain.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
+    chain = scratch.materialize(chain, "chain")
     first = scratch.materialize(_linked(chain, sets, similarity), "links")
-    known = members.select("key", "node", "fp").join(connected_components(first), "node", "left")
+    known = members.select("key", "node", "n", "at").join(connected_components(first), "node", "left")
     known = scratch.materialize(known.withColumn("component", F.coalesce("component", "node")), "known")
     sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = known.join(mixed.select("key", "main"), "key")
-    left = open_.where("component != main").select(
-        "key", F.col("node").alias("a"), F.col("fp").alias("fa"), F.col("component").alias("ca")
+    mixed_keys = sizes.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    open_ = known.join(mixed_keys.select("key", "main"), "key")
+    left, right = (
+        open_.select("key", "main", *(F.col(c).alias(p + c) for c in ("node", "component", "n", "at"))) for p in "ab"
     )
-    right = open_.select("key", "main", F.col("node").alias("b"), F.col("fp").alias("fb"), F.col("component").alias("cb"))
-    apart = F.expr(f"ca != cb AND (cb = main OR a < b) AND bit_count(fa ^ fb) <= {max_bits}")
-    rest = left.join(right, "key").where(apart).select("a", "b").distinct()
+    left = left.where("acomponent != main").drop("main")
+    apart = F.expr("acomponent != bcomponent AND (bcomponent = main OR anode < bnode)") & possible("a", "b")
+    rest = left.join(right, "key").where(apart)
+    rest = rest.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b"))
+    # A pair the chain has compared is not compared again.
+    rest = scratch.materialize(rest.distinct().join(chain, ["a", "b"], "left_anti"), "rest")
     links = first.union(_linked(rest, sets, similarity))
-    return connected_components(links).join(texts.select("node", "text"), "node").select("text", "component")
+    return connected_components(links).join(texts, "node").select("text", "component")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
