@@ -2,11 +2,14 @@
 
 The first pass cuts a page into blocks and classifies each by stop-word density, length and link
 density, after blocks in menus, adverts and the like are set aside by their elements and names. The
-second pass gives ambiguous blocks the label of their nearest decided neighbours.
+second pass gives ambiguous blocks the label of their nearest decided neighbours. An article element
+that holds a fair share of the text moves the thresholds for its blocks and bounds neighbourhoods; it
+decides nothing alone.
 """
 
 import re
 from html import unescape
+from math import comb
 from typing import NamedTuple
 
 import pandas as pd
@@ -45,15 +48,22 @@ LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote".split())
 VOID = frozenset(("hr", "br"))
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
 # Names and roles that set an element aside wherever it is, and those that do outside the article.
-ASIDE_NAME = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|advertising|adsense|adbox|sponsor(?:ed)?|promo(?:tion)?|banner"
+ASIDE_NAME = (
+    r"(?:ads?|adverts?|advertisement|advertising|adsense|adbox|sponsor(?:ed)?|promo(?:tion)?|banner"
     r"|nav(?:bar|igation)?|menu|breadcrumbs?|side-?bar|widgets?|related|recommended|footer|cookies?"
     r"|consent|gdpr|notices?|pop-?up|modal|overlay|newsletter|subscribe|signup|login|share|sharing"
     r"|social|comments?|comment-?list|commentary|disqus|respond|replies|reply|pagination|pager"
-    r"|copyright|toolbar|search|alert|complementary|contentinfo|teasers?|sr-only|visually-hidden)(?:$|[^a-z])"
+    r"|copyright|toolbar|search|alert|complementary|contentinfo|teasers?|sr-only|visually-hidden)"
 )
-OUTER_NAME = re.compile(r"(?:^|[^a-z])(?:header|masthead|top-?bar|site-?title)(?:$|[^a-z])")
-NAMED = re.compile(r"""(?i)\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+OUTER_NAME = r"(?:header|masthead|top-?bar|site-?title)"
+
+
+def _named(names: str) -> re.Pattern:
+    return re.compile(rf"(?:^|[^a-z]){names}(?:$|[^a-z])")
+
+
+ASIDE_NAMED, OUTER_NAMED = _named(ASIDE_NAME), _named(OUTER_NAME)
+NAMED = re.compile(r"""(?i)(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 NOT_SHOWN = re.compile(r"""(?i)\shidden(?=[\s=/>])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""")
 MARKUP = re.compile(
     r"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
@@ -72,22 +82,37 @@ class Block(NamedTuple):
     parent: int  # number of the element that holds it and its like
 
 
-def blocks_of(page: str) -> list[Block]:
-    """Blocks in page order, without those that elements or names set aside."""
-    out: list[Block] = []
+class _Element(NamedTuple):
+    name: str
+    aside: bool  # for good
+    named: int  # number of the outermost element around it that a name sets aside, or 0
+    main: int
+    number: int
+
+
+def blocks_of(page: str, enough: int = 200) -> list[Block]:
+    """Blocks in page order, without those that elements or names set aside.
+
+    A name sets an element aside unless an article is in it, or unless fewer than ``enough``
+    characters are left without it and it holds two thirds of the page's text.
+    """
+    out: list[tuple[Block, int]] = []
     parts: list[tuple[str, bool]] = []
-    stack: list[tuple[str, bool, int, int]] = []  # element, set aside, article, own number
-    in_link, heading, breaks, articles, elements = False, False, 0, 0, 0
+    stack: list[_Element] = []
+    holders: set[int] = set()  # elements set aside by name that hold an article
+    in_link, heading, breaks, articles, elements, lost = False, False, 0, 0, 0, 0
+    outside = _Element("", False, 0, 0, 0)
 
     def flush() -> None:
-        nonlocal in_link, breaks
-        if parts and not (stack and stack[-1][1]):
-            text = " ".join("".join(t for t, _ in parts).split())
-            if text:
-                linked = sum(len("".join(t.split())) for t, link in parts if link)
-                main = stack[-1][2] if stack else 0
-                holder = next((e[3] for e in reversed(stack) if e[0] not in LEAF), 0)
-                out.append(Block(text, linked, heading, main, holder))
+        nonlocal in_link, breaks, lost
+        text = " ".join("".join(t for t, _ in parts).split())
+        top = stack[-1] if stack else outside
+        if text and top.aside:
+            lost += len(text)
+        elif text:
+            linked = sum(len("".join(t.split())) for t, link in parts if link)
+            holder = next((e.number for e in reversed(stack) if e.name not in LEAF), 0)
+            out.append((Block(text, linked, heading, top.main, holder), top.named))
         parts.clear()
         in_link, breaks = False, 0
 
@@ -113,37 +138,53 @@ def blocks_of(page: str) -> list[Block]:
         elif name in BLOCK:
             flush()
             if m["end"]:
-                names = [e[0] for e in stack]
+                names = [e.name for e in stack]
                 if name in names:
                     del stack[len(names) - 1 - names[::-1].index(name) :]
                 heading = False
                 continue
-            while stack and (stack[-1][0] == "p" or stack[-1][0] in ENDS_ITSELF.get(name, ())):
+            while stack and (stack[-1].name == "p" or stack[-1].name in ENDS_ITSELF.get(name, ())):
                 stack.pop()
             heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
             if name in VOID:
                 continue
-            _, aside, main, _ = stack[-1] if stack else ("", False, 0, 0)
+            _, aside, named, main, _ = stack[-1] if stack else outside
             aside = aside or _set_aside(name, m["rest"], main)
+            elements += 1
             if name in MAIN and not aside and not main:
                 articles += 1
                 main = articles
-            elements += 1
-            stack.append((name, aside, main, elements))
+                holders.add(named)
+                named = 0
+            elif not named and _named_aside(name, m["rest"], main):
+                named = elements
+            stack.append(_Element(name, aside, named, main, elements))
     say(page[at:])
     flush()
-    return out
+    sizes: dict[int, int] = {}
+    for block, named in out:
+        sizes[named] = sizes.get(named, 0) + len(block.text)
+    most = max((n for n in sizes if n), key=sizes.get, default=0)
+    free = sum(n for k, n in sizes.items() if not k or k in holders)
+    if most and free < enough and 3 * sizes[most] > 2 * (sum(sizes.values()) + lost):
+        holders.add(most)
+    return [block for block, named in out if not named or named in holders]
 
 
 def _set_aside(name: str, attributes: str, main: int) -> bool:
     if name in ASIDE or (name == "header" and not main):
         return True
-    if not attributes or name in ("html", "body"):
+    return name not in ("html", "body") and bool(attributes and NOT_SHOWN.search(attributes + ">"))
+
+
+def _named_aside(name: str, attributes: str, main: int) -> bool:
+    if not attributes or name in ("html", "body", "main") or (name == "article" and not main):
         return False
-    if NOT_SHOWN.search(attributes + ">"):
-        return True
-    called = " ".join("".join(g) for g in NAMED.findall(attributes)).lower().replace("_", "-")
-    return bool(called) and bool(ASIDE_NAME.search(called) or (not main and OUTER_NAME.search(called)))
+    # The id of a heading is an anchor that says what it is about.
+    heading = len(name) == 2 and name[0] == "h"
+    called = " ".join("".join(g[1:]) for g in NAMED.findall(attributes) if not (heading and g[0].lower() == "id"))
+    called = called.lower().replace("_", "-")
+    return bool(called) and bool(ASIDE_NAMED.search(called) or (not main and OUTER_NAMED.search(called)))
 
 
 class Rules(NamedTuple):
@@ -154,39 +195,89 @@ class Rules(NamedTuple):
     few_stops: float = 0.12
     many_stops: float = 0.2
     most_links: float = 0.33
+    only_links: float = 0.8
+    article_share: float = 0.5
+    chance: float = 0.001
 
 
 GOOD, BAD, NEAR, SHORT = "good", "bad", "near", "short"
 
 
+def _stops(text: str, once: bool = False) -> tuple[int, int]:
+    """Stop words and words; ``once``: each counts once."""
+    words = WORD.findall(text.lower())
+    if once:
+        words = set(words)
+    return sum(w in STOP_WORDS for w in words), len(words)
+
+
+def _density(text: str) -> float:
+    stops, words = _stops(text)
+    return stops / max(1, words)
+
+
+def _links(block: Block) -> float:
+    return block.linked / max(1, len("".join(block.text.split())))
+
+
 def classify(block: Block, rules: Rules) -> str:
     """First pass: a block by itself."""
-    links = block.linked / max(1, len("".join(block.text.split())))
-    if links > rules.most_links or (NOTICE.search(block.text) and not block.main):
+    links = _links(block)
+    if links > rules.most_links or NOTICE.search(block.text):
         return BAD
-    if block.main:
-        # The element vouches for what is in it; only a run of links is not text.
-        return GOOD
     if len(block.text) < rules.short:
         return BAD if links else SHORT
-    words = WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    stops = _density(block.text)
     if stops >= rules.many_stops:
         return GOOD if len(block.text) > rules.long else NEAR
     return NEAR if stops >= rules.few_stops else BAD
 
 
-def settle(labels: list[str], parents: list[int]) -> list[bool]:
+def classify_article(blocks: list[Block], rules: Rules) -> list[str]:
+    """First pass for the blocks of one article, which are text unless something speaks against it.
+
+    That is links all over, or few stop words, and fewer than chance would give at the density of the
+    rest, where each word of a block counts once.
+    """
+    counts = [_stops(b.text, once=True) if _links(b) <= rules.most_links else (0, 0) for b in blocks]
+    all_stops, all_words = (sum(c) for c in zip(*counts))
+    out = []
+    for b, (stops, words) in zip(blocks, counts):
+        links = _links(b)
+        if links > rules.only_links:
+            out.append(BAD)
+        elif links > rules.most_links or len(b.text) < rules.short or (b.heading and not links):
+            out.append(SHORT)
+        elif _density(b.text) >= rules.few_stops:
+            out.append(GOOD)
+        else:
+            rest = (all_stops - stops) / max(1, all_words - words)
+            tail = sum(comb(words, k) * rest**k * (1 - rest) ** (words - k) for k in range(stops + 1)) if words < 500 else 1.0
+            known = rest >= rules.few_stops and all_words - words >= words
+            out.append(BAD if known and tail < rules.chance else NEAR)
+    return out
+
+
+def settle(
+    labels: list[str],
+    parents: list[int],
+    regions: list[int] | None = None,
+    priors: list[bool | None] | None = None,
+) -> list[bool]:
     """Second pass: ambiguous blocks inherit the label of their nearest decided neighbours.
 
     Neighbours in the same element come first, and the nearest of them decides. Elsewhere both
     sides must agree; where they differ a near-good block is good and a short one bad. A side
     without a decided block counts as the other; with none decided at all near-good blocks are good.
+    Neighbours lie in the same run of ``regions``. Where neighbours do not tell, a prior goes first.
     """
+    regions, priors = regions or [0] * len(labels), priors or [None] * len(labels)
 
     def decided(order: list[int]) -> list[tuple[int | None, int | None]]:
-        last, of_parent, out = None, {}, []
+        last, of_parent, out, region = None, {}, [], None
         for i in order:
+            if regions[i] != region:
+                last, region = None, regions[i]
             out.append((last, of_parent.get(parents[i])))
             if labels[i] in (GOOD, BAD):
                 last = of_parent[parents[i]] = i
@@ -205,7 +296,8 @@ def settle(labels: list[str], parents: list[int]) -> list[bool]:
             sides = {labels[j] for j in near if abs(i - j) == least}
         else:
             sides = {labels[j] for j in (before[i][0], after[i][0]) if j is not None}
-        out.append(label == NEAR if len(sides) != 1 else sides == {GOOD})
+        likely = label == NEAR if priors[i] is None else priors[i]
+        out.append(likely if len(sides) != 1 else sides == {GOOD})
     return out
 
 
@@ -215,19 +307,38 @@ def _long_text(block: Block, rules: Rules) -> bool:
 
 
 def main_text(page: str | None, rules: Rules = Rules()) -> str:
-    """The article of a page, one line per block; empty if there is none."""
-    blocks = blocks_of(page or "")
-    if any(b.main for b in blocks):
-        blocks = [b for b in blocks if b.main]
+    """The text of a page, one line per block; empty if there is none."""
+    blocks = blocks_of(page or "", rules.long)
     labels = [classify(b, rules) for b in blocks]
-    kept = settle(labels, [b.parent for b in blocks])
+    # An article vouches for its blocks if it holds a fair share of what is text by itself.
+    good, size = {}, {}
+    for b, label in zip(blocks, labels):
+        good[b.main] = good.get(b.main, 0) + (len(b.text) if label == GOOD else 0)
+        size[b.main] = size.get(b.main, 0) + (len(b.text) if _links(b) <= rules.most_links else 0)
+    total = sum(good.values())
+    vouched = {m for m in size if m and size[m] and size[m] >= rules.article_share * (total - good[m])}
+    for m in vouched:
+        at = [i for i, b in enumerate(blocks) if b.main == m]
+        for i, label in zip(at, classify_article([blocks[i] for i in at], rules)):
+            labels[i] = label
+    regions = [b.main if b.main in vouched else 0 for b in blocks]
+    priors = [True if r else False if vouched else None for r in regions]
+    kept = settle(labels, [b.parent for b in blocks], regions, priors)
     if GOOD not in labels:
         # Text in a language without known stop words: long blocks are it.
         kept = [k or _long_text(b, rules) for k, b in zip(kept, blocks)]
-    # A heading leads its text: it stays if the next block does.
-    for i in range(len(blocks) - 2, -1, -1):
+    # A heading leads its text: it stays if a block up to the next heading does.
+    led = False
+    for i in range(len(blocks) - 1, -1, -1):
+        last = i + 1 == len(blocks) or regions[i] != regions[i + 1]
+        if last:
+            led = False
         if blocks[i].heading and labels[i] == SHORT:
-            kept[i] = kept[i + 1]
+            if not last:
+                kept[i] = led if regions[i] else kept[i + 1]
+            led = kept[i]
+        else:
+            led = led or kept[i]
     return "\n".join(b.text for b, k in zip(blocks, kept) if k)
 
 
@@ -244,7 +355,7 @@ def extract(html: Column, rules: Rules = Rules()) -> Column:
 def extract_pages(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with a column ``text``; a column of that name is replaced, ``html_col`` left out.
 
-    A page is read whole, however long. Without any element that holds an article, text that no
+    A page is read whole, however long. Without an element that holds an article, text that no
     rule decides on is left out, so a page of a few short lines gives an empty text. Every row
     stays, also repeated ones.
     """

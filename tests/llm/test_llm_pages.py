@@ -109,6 +109,33 @@ def test_odd_pages(spark):
     assert got.count() == 7 and html.extract_pages(df.limit(0)).count() == 0
 
 
+ADVERT = (
+    "Buy cheap running shoes today! Fifty percent discount, free worldwide shipping, five star customer "
+    "support, limited offer, order online before midnight, top brands, guaranteed lowest prices!"
+)
+WHOLE = " ".join(LONG.split())
+
+
+def test_text_outside_an_article_is_kept():
+    card = "<article><h3>Other news</h3><p>This is what it is about.</p></article>"
+    for page in (f"<div><p>{LONG}</p><p>{LONG}</p></div>{card}{card}", f"{card}<div><p>{LONG}</p><p>{LONG}</p></div>"):
+        assert html.main_text(f"<body>{page}</body>").split("\n").count(WHOLE) == 2
+
+
+def test_plain_advert_in_an_article_goes():
+    body = f"<article><h1>The title</h1><p>{LONG}</p><div>{ADVERT}</div><p>Short.</p><p>{LONG}</p></article>"
+    assert html.main_text(f"<body>{body}</body>") == f"The title\n{WHOLE}\nShort.\n{WHOLE}"
+    # Nothing else on the page has stop words: there is no telling, and the article counts.
+    assert html.main_text(f"<article><p>{ADVERT}</p></article>") == ADVERT
+
+
+def test_links_in_an_article():
+    linked = f'<a href="/x">{LONG[:60]}</a> {LONG[60:125]}'
+    more = "".join(f'<li><a href="/{i}">This is one of the other stories</a></li>' for i in range(4))
+    body = f"<article><p>{LONG}</p><p>{linked}</p><p>{LONG}</p><ul>{more}</ul></article>"
+    assert html.main_text(body) == f"{WHOLE}\n{' '.join(LONG[:125].split())}\n{WHOLE}"
+
+
 def test_second_pass_inherits():
     good, bad, near, short = html.GOOD, html.BAD, html.NEAR, html.SHORT
     assert html.settle([good, short, good, short, bad, near, bad], [1] * 7) == [True, True, True, False, False, False, False]
