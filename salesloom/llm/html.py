@@ -34,7 +34,7 @@ STOP_WORDS = frozenset(
     y ya
     """.split()
 )
-HIDDEN = "script style noscript template svg math iframe object canvas audio video select textarea button head".split()
+HIDDEN = "script style noscript template svg math iframe object canvas audio video select textarea button".split()
 ASIDE = frozenset("nav aside footer form menu dialog fieldset".split())
 MAIN = frozenset(("article", "main"))
 BLOCK = frozenset(
@@ -47,7 +47,8 @@ BLOCK = frozenset(
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote".split())
 VOID = frozenset(("hr", "br"))
 ENDS_ITSELF = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th")}
-# Names and roles that set an element aside wherever it is, and those that do outside the article.
+# Names and roles that set an element aside wherever it is, and those that do outside the article. The
+# name is a whole word of the class, id or role, made of these and of words that say where or what kind.
 ASIDE_NAME = (
     r"(?:ads?|adverts?|advertisement|advertising|adsense|adbox|sponsor(?:ed)?|promo(?:tion)?|banner"
     r"|nav(?:bar|igation)?|menu|breadcrumbs?|side-?bar|widgets?|related|recommended|footer|cookies?"
@@ -56,10 +57,16 @@ ASIDE_NAME = (
     r"|copyright|toolbar|search|alert|complementary|contentinfo|teasers?|sr-only|visually-hidden)"
 )
 OUTER_NAME = r"(?:header|masthead|top-?bar|site-?title)"
+PLACE = (
+    r"(?:site|page|post|main|global|primary|secondary|top|bottom|left|right|upper|lower|sticky|fixed|float"
+    r"|mobile|desktop|google|author|user|area|bar|block|body|box|button|buttons|card|cards|code|container"
+    r"|content|dialog|field|form|group|holder|icons|inner|item|items|label|link|links|list|message|network"
+    r"|outer|panel|posts|articles|stories|region|row|section|slot|space|text|thread|title|toggle|top|unit|wrap|wrapper|[0-9]+)"
+)
 
 
 def _named(names: str) -> re.Pattern:
-    return re.compile(rf"(?:^|[^a-z]){names}(?:$|[^a-z])")
+    return re.compile(rf"(?:^|\s)(?:{PLACE}-)*{names}[0-9]*(?:-(?:{names}|{PLACE}))*(?=\s|$)")
 
 
 ASIDE_NAMED, OUTER_NAMED = _named(ASIDE_NAME), _named(OUTER_NAME)
@@ -68,6 +75,7 @@ NOT_SHOWN = re.compile(r"""(?i)\shidden(?=[\s=/>])|aria-hidden\s*=\s*["']?true|d
 MARKUP = re.compile(
     r"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
     rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</(?P=hidden)\s*>|\Z))"
+    r"|<title\b[^>]*>[^<]*(?:</title\s*>)?"
     r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
 )
 WORD = re.compile(r"[^\W\d_]+")

@@ -136,6 +136,34 @@ def test_links_in_an_article():
     assert html.main_text(body) == f"{WHOLE}\n{' '.join(LONG[:125].split())}\n{WHOLE}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div class='layout has-sidebar'>{}</div>",
+        "<main class='content no-sidebar'>{}</main>",
+        "<article class='entry has-share'>{}</article>",
+        "<article class='related'>{}</article>",
+        "<div class='social'><article>{}</article></div>",
+        "<div class='search'><div>{}</div></div><p>Short.</p>",
+        "<head><title>T</title><meta charset=utf-8><body><article>{}</article>",
+        "<head><meta charset=utf-8><div><p>{}</div>",
+        "<html><head><title>T</title><script>'<div>'</script><h1></h1><main>{}</main>",
+    ],
+)
+def test_layout_names_and_open_heads_lose_nothing(page):
+    assert WHOLE in html.main_text(page.format(f"<p>{LONG}</p><p>{LONG}</p>")).split("\n")
+
+
+def test_names_set_aside_as_roles_only():
+    aside = ["ad", "x ad-slot", "cookie_notice", "sidebar-left", "site-footer", "related-posts", "ad2", "post-comments"]
+    stays = ["has-share", "no-ads", "search-algorithms", "read-more", "adaptive", "with-sidebar", "menu-planning"]
+    page = "<div class='{}'><p>{}</p></div><article><p>{}</p></article>"
+    other = WHOLE.replace("cat", "dog")
+    assert all(html.main_text(page.format(n, other, LONG)) == WHOLE for n in aside)
+    assert all(html.main_text(page.format(n, other, LONG)) == f"{other}\n{WHOLE}" for n in stays)
+    assert html.main_text(f"<article><h2 id='search'>Search</h2><p>{LONG}</p></article>") == f"Search\n{WHOLE}"
+
+
 def test_second_pass_inherits():
     good, bad, near, short = html.GOOD, html.BAD, html.NEAR, html.SHORT
     assert html.settle([good, short, good, short, bad, near, bad], [1] * 7) == [True, True, True, False, False, False, False]
