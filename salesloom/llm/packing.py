@@ -241,18 +241,24 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 4096) -> D
     Needs ``doc_id``, ``start`` and ``length`` (1 to ``capacity``). A sequence has no gaps. Groups
     are as many as give ``group_pieces`` pieces each on average, so a task's memory is bounded and
     every group leaves about one sequence part full. An empty table gives an empty result.
+
+    Rows are stored with a number first and dealt by it, so that repeated or null ids, and even rows
+    equal in all columns, spread like any other.
     """
+    stored = pieces.withColumn("_row", F.monotonically_increasing_id())
+    pieces = scratch.materialize(stored, "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
     dealt = pieces.withColumn(
-        "sequence_id", F.pmod(F.xxhash64("doc_id", "start", F.lit("packing")), F.lit(groups))
+        "sequence_id", F.pmod(F.xxhash64("_row", F.lit("packing")), F.lit(groups))
     )
-    schema = T.StructType([*dealt.schema.fields, T.StructField("offset", T.LongType())])
+    fields = [f for f in dealt.schema.fields if f.name != "_row"]
+    schema = T.StructType([*fields, T.StructField("offset", T.LongType())])
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "start"], kind="stable", ignore_index=True)
+        group = group.sort_values(["doc_id", "start", "_row"], ignore_index=True)
         bins, offsets = first_fit_decreasing(group["length"].to_numpy(), capacity)
         first = group["sequence_id"].to_numpy() << 32
-        return group.assign(sequence_id=first + bins, offset=offsets)
+        return group.drop(columns="_row").assign(sequence_id=first + bins, offset=offsets)
 
     return dealt.groupBy("sequence_id").applyInPandas(fill, schema)
 
@@ -260,4 +266,4 @@ def pack(pieces: DataFrame, capacity: int = 4096, group_pieces: int = 4096) -> D
 def packed_digests(docs: DataFrame, file: str) -> DataFrame:
     """Where each piece of each document lies, with a checksum of its ids in their place."""
     pieces = tokenize(docs, file).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return pack(scratch.materialize(pieces, "pieces"))
+    return pack(pieces)

@@ -237,6 +237,18 @@ def test_tokens_equal_whole_texts(tokenizer):
     assert [a.tolist() for a in mine.encode([t.encode() for t in texts])] == [e.ids for e in whole]
 
 
+def test_equal_ids_spread_over_groups(spark):
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, 0, 50) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, start bigint, length bigint")
+    got = packing.pack(df, capacity=4096, group_pieces=100)
+    assert got.columns == ["doc_id", "start", "length", "sequence_id", "offset"]
+    found = got.collect()
+    assert Counter((r.doc_id, r.start, r.length) for r in found) == Counter(rows)
+    assert max(Counter(r.sequence_id >> 32 for r in found).values()) < 200
+    spans = sorted((r.sequence_id, r.offset) for r in found)
+    assert all(b[1] == a[1] + 50 if a[0] == b[0] else b[1] == 0 for a, b in zip(spans, spans[1:]))
+
+
 def test_packing_keeps_every_token_once(spark, odd_rows, tokenizer):
     whole = Tokenizer.from_file(tokenizer)
     pieces = packing.pack(packing.tokenize(docs_of(spark, odd_rows), tokenizer, capacity=256), 256, 8).collect()
