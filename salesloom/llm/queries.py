@@ -4,7 +4,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom.llm import chat, decontaminate, html, language, packing, quality, scoring, simhash, urls, vectors
+from salesloom.llm import (
+    chat,
+    decontaminate,
+    html,
+    language,
+    packing,
+    quality,
+    repair,
+    scoring,
+    sharding,
+    simhash,
+    urls,
+    vectors,
+    whitening,
+)
+from salesloom.llm.sql import REPAIR, SHARDING
 
 
 def _table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -118,6 +133,24 @@ def op10_urls(spark: SparkSession, base: str) -> DataFrame:
     return urls.judge(_table(spark, base, "pages"), rules)
 
 
+def op11_repair(spark: SparkSession, base: str) -> DataFrame:
+    rows = _table(spark, base, "conversations")
+    return repair.summaries(repair.damaged(rows), rows.select("conv_id").distinct())
+
+
+def op12_sharding(spark: SparkSession, base: str) -> DataFrame:
+    return sharding.shard_documents(_table(spark, base, "documents"))
+
+
+def op13_whitening(spark: SparkSession, base: str) -> DataFrame:
+    found = whitening.whiten(_table(spark, base, "embeddings"))
+    parts = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "part")
+    found = found.select("vec_id", "n", "deviation", "identity_error", parts)
+    return found.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "part.*", "identity_error"
+    )
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -129,6 +162,9 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_chat": op9_chat,
     "op10_urls": op10_urls,
+    "op11_repair": op11_repair,
+    "op12_sharding": op12_sharding,
+    "op13_whitening": op13_whitening,
 }
 
 # The words of a text, for DuckDB.
@@ -178,4 +214,6 @@ ORACLE = {
                 + len(regexp_extract_all(text, '(<|\[)\\*(\||/?s>|/?INST\]|/?SYS>)')))::BIGINT AS formatted_chars
         FROM rows GROUP BY conv_id
     """,
+    "op11_repair": REPAIR,
+    "op12_sharding": SHARDING,
 }

@@ -24,7 +24,7 @@ def test_entry_registers_all():
 
     names = set(__spark_entry__.queries())
     assert {"pipeline", *QUERIES} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def own_links(rows, threshold=0.9):
