@@ -1,6 +1,6 @@
-"""Batch size for Python stages over texts."""
+"""Batch size for Python stages over texts, and names for columns on the way."""
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
@@ -14,3 +14,14 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     set_to = int(spark.conf.get(ROWS))
     if set_to <= 0 or set_to > rows:
         spark.conf.set(ROWS, str(rows))
+
+
+def unused_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom import scratch
+from salesloom.llm.batches import unused_names
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Everything that is no word: ASCII but for digits and letters.
@@ -161,13 +162,14 @@ def _merged(runs: Column) -> Column:
 
 def remove_documents(docs: DataFrame, hits: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that hold a benchmark passage; all columns stay."""
+    at, code, length = unused_names(docs, "id", "hash", "length")
     bad = hits.where("n_hit > 0").select(
-        F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), F.col("text_length").alias("_length")
+        F.col(id_col).alias(at), F.col("text_hash").alias(code), F.col("text_length").alias(length)
     )
     same = (
-        F.col(id_col).eqNullSafe(F.col("_id"))
-        & (F.xxhash64(F.col(text_col)) == F.col("_hash"))
-        & F.length(F.col(text_col)).eqNullSafe(F.col("_length"))
+        F.col(id_col).eqNullSafe(F.col(at))
+        & (F.xxhash64(F.col(text_col)) == F.col(code))
+        & F.length(F.col(text_col)).eqNullSafe(F.col(length))
     )
     return docs.join(bad, same, "left_anti")
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom.llm.batches import small_batches
+from salesloom.llm.batches import small_batches, unused_names
 
 WIDTHS = (2, 3, 4)
 REACH = max(WIDTHS) - 1
@@ -243,7 +243,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """
     base = docs.drop("held_out", "lang_pred", "score")
     net = fit(base.where(~held_out(F.col(id_col))), text_col, lang_col)
-    found = base.withColumns(
-        {"held_out": held_out(F.col(id_col)), "_found": predict(net, F.col(text_col))}
-    )
-    return found.select("*", "_found.lang_pred", "_found.score").drop("_found")
+    (name,) = unused_names(base, "found")
+    found = base.withColumns({"held_out": held_out(F.col(id_col)), name: predict(net, F.col(text_col))})
+    return found.select("*", f"{name}.lang_pred", f"{name}.score").drop(name)

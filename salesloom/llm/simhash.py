@@ -9,13 +9,13 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from salesloom import scratch
-from salesloom.llm.batches import small_batches
+from salesloom.llm.batches import small_batches, unused_names
 from salesloom.llm.components import connected_components
 
 BITS = 64
@@ -145,6 +145,13 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 100
     return links if stars is None else links.union(stars)
 
 
+def _rooted(distinct: DataFrame, max_bits: int, bucket_limit: int) -> DataFrame:
+    """``distinct(fp, first)`` with ``root``, a fingerprint that all linked ones share."""
+    links = fingerprint_links(distinct.select("fp"), max_bits, bucket_limit)
+    linked = connected_components(links).withColumnRenamed("node", "fp")
+    return distinct.join(linked, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -169,25 +176,12 @@ def near_duplicates(
     )
     rows = scratch.materialize(rows, "fingerprints")
     distinct = scratch.materialize(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
-    linked = connected_components(
-        fingerprint_links(distinct.select("fp"), max_bits, bucket_limit)
-    ).withColumnRenamed("node", "fp")
-    rooted = distinct.join(linked, "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
-    )
+    rooted = _rooted(distinct, max_bits, bucket_limit)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     owner = scratch.materialize(rooted.join(smallest, "root").select("fp", "component"), "owners")
     return rows.join(owner, "fp").select(F.col("id").alias(id_col), "fp", "component")
 
 
-def _shingle_set(text: Column, shingle_words: int) -> Column:
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def of(texts: pd.Series) -> pd.Series:
-        return pd.Series([np.unique(shingle_hashes(t, shingle_words).view(np.int64)) for t in texts])
-
-    return of(text.cast("binary"))
-
-
 def _text_key(text: Column) -> Column:
     """128 bits that stand for the whole text; null and empty texts are one."""
     whole = F.coalesce(text, F.lit(""))
@@ -199,141 +193,41 @@ def _sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The stored pairs whose shingle sets have the Jaccard similarity."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = sets.join(_sized(scratch.materialize(ends, "wanted")), "node", "left_semi")
-    left, right = (wanted.select(F.col("node").alias(n), F.col("s").alias("s" + n)) for n in "ab")
-    both = pairs.join(left, "a").join(right, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    share = common / (F.size("sa") + F.size("sb") - common)
-    return both.where(share >= similarity).select("a", "b")
-
-
-def _prefix_size(n: Column, similarity: float) -> Column:
-    """So many first shingles of a set of ``n``, in any one order of all shingles, that two sets of
-    the similarity share one of them."""
-    return (n - F.ceil(n * similarity - 1e-6) + 1).cast("int")
-
-
-def _in_order(s: Column, size: Column, common: list[int]) -> Column:
-    """The first ``size`` of sorted shingles, those in ``common`` last and in the order given."""
-    keys = np.array(common, np.int64)
-    order = np.argsort(keys)
-    keys = keys[order]
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def of(sets: pd.Series, sizes: pd.Series) -> pd.Series:
-        out = []
-        for x, n in zip(sets, sizes):
-            at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
-            late = keys[at] == x
-            out.append(np.concatenate([x[~late], x[late][np.argsort(order[at[late]])]])[:n])
-        return pd.Series(out)
-
-    return of(s, size) if common else F.slice(s, 1, size)
-
-
-def similar_texts(
+def drop_near_duplicates(
     docs: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
-    shingle_words: int = 5,
-    similarity: float = 0.8,
-    common_from: int = 16,
-    most_common: int = 200_000,
+    shingle_words: int = 3,
+    max_bits: int = 2,
+    bucket_limit: int = 1000,
 ) -> DataFrame:
-    """``(text, component)`` for each distinct text that has a near copy; ``text`` is its key and
-    ``component`` a number that near copies share.
-
-    Two texts link if the Jaccard similarity of their sets of ``shingle_words``-word shingles is
-    ``similarity`` or more. No such pair is missed: all sets are put into one order, in which two of
-    them can only be so similar if they share a shingle among their first few, and that first one
-    leaves enough behind it in both. Each candidate is verified in full. Copies are one text here.
-    Texts without words are left out.
-
-    The order is that of the hashes, but shingles found at the head of more than ``common_from``
-    texts come last, the rarest first, so that a common line makes no candidates. At most
-    ``most_common`` of them reach the driver; any choice of them gives the same links.
-
-    A large group is not paired out. First each text is compared with the next one in each of its
-    buckets in two orders, which ties most of a group together; then only candidates from different
-    components are compared, and of these none within a bucket's largest component. That finds the
-    same components as all candidates would.
+    """``docs`` with one row of each component of :func:`near_duplicates`: that with the smallest id.
+
+    All columns stay. Null and empty texts are copies of each other; a null id counts as larger than
+    any; of rows equal in id and text one stays. Only the keys of rows that go are joined with the
+    documents, by the measured number of them as a broadcast or a shuffle.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(_text_key(F.col(text_col)).alias("text"), _shingle_set(F.col(text_col), shingle_words).alias("s"))
-    rows = scratch.materialize(rows.withColumn("node", F.monotonically_increasing_id()), "shingles")
-    texts = scratch.materialize(rows.groupBy("text").agg(F.min("node").alias("node")), "texts")
-    sets = rows.where(F.size("s") > 0).join(_sized(texts.select("node")), "node", "left_semi")
-    sets = sets.select("node", "s", F.size("s").alias("n"))
-
-    head = _prefix_size(F.col("n"), similarity)
-    counts = sets.select(F.explode(F.slice("s", 1, head)).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    counts = counts.where(F.col("n") > common_from).orderBy(F.desc("n"), "key").limit(most_common)
-    common = [r["key"] for r in counts.collect()][::-1]
-    index = sets.select("node", "n", F.posexplode(_in_order(F.col("s"), head, common)).alias("at", "key"))
-    row, mixed = (Window.partitionBy("key").orderBy(o, "node") for o in (F.col("node"), F.xxhash64("node")))
-    other = F.struct("node", "n", "at")
-    members = index.withColumns(
-        {"next": F.lead(other).over(row), "before": F.lag("node").over(row), "far": F.lead(other).over(mixed)}
-    )
-    members = members.where("next IS NOT NULL OR before IS NOT NULL").drop("before")
-    members = scratch.materialize(members, "members")
-
-    def possible(a: str, b: str) -> Column:
-        """Both hold enough shingles from the shared one on, if that is their first."""
-        n, m = F.col(f"{a}n"), F.col(f"{b}n")
-        behind = F.least(n - F.col(f"{a}at"), m - F.col(f"{b}at"))
-        return behind >= (n + m) * (similarity / (1 + similarity)) - 1e-6
-
-    chain = members.select("node", "n", "at", F.explode(F.array("next", "far")).alias("o"))
-    chain = chain.where(F.col("o").isNotNull() & possible("", "o."))
-    chain = chain.select(F.least("node", "o.node").alias("a"), F.greatest("node", "o.node").alias("b")).distinct()
-    chain = scratch.materialize(chain, "chain")
-    first = scratch.materialize(_linked(chain, sets, similarity), "links")
-    known = members.select("key", "node", "n", "at").join(connected_components(first), "node", "left")
-    known = scratch.materialize(known.withColumn("component", F.coalesce("component", "node")), "known")
-    sizes = known.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed_keys = sizes.groupBy("key").agg(F.max_by("component", "n").alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_ = known.join(mixed_keys.select("key", "main"), "key")
-    left, right = (
-        open_.select("key", "main", *(F.col(c).alias(p + c) for c in ("node", "component", "n", "at"))) for p in "ab"
-    )
-    left = left.where("acomponent != main").drop("main")
-    apart = F.expr("acomponent != bcomponent AND (bcomponent = main OR anode < bnode)") & possible("a", "b")
-    rest = left.join(right, "key").where(apart)
-    rest = rest.select(F.least("anode", "bnode").alias("a"), F.greatest("anode", "bnode").alias("b"))
-    # A pair the chain has compared is not compared again.
-    rest = scratch.materialize(rest.distinct().join(chain, ["a", "b"], "left_anti"), "rest")
-    links = first.union(_linked(rest, sets, similarity))
-    return connected_components(links).join(texts, "node").select("text", "component")
-
-
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of equal or similar texts: that with the smallest id.
-
-    See :func:`similar_texts` for what is similar. All columns stay. Null and empty texts are copies
-    of each other; a null id counts as larger than any; of rows equal in id and text one stays.
-    Only the keys of rows that go are joined with the documents.
-    """
     key = _text_key(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("id"), key.alias("text"))
-    counted = scratch.materialize(rows.groupBy("id", "text").agg(F.count("*").alias("copies")), "rows")
-    # Texts without near copies are groups by themselves.
-    groups = similar_texts(docs, text_col, **options)
-    grouped = counted.join(groups, "text", "left").withColumn(
-        "group", F.when(F.col("component").isNull(), F.col("text"))
+    rows = docs.select(
+        F.col(id_col).alias("id"), key.alias("text"), simhash(F.col(text_col), shingle_words).alias("fp")
     )
-    first = grouped.groupBy("component", "group").agg(
-        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text")).alias("first")
-    ).withColumnsRenamed({"component": "c", "group": "g"})
-    same_group = F.col("component").eqNullSafe(F.col("c")) & F.col("group").eqNullSafe(F.col("g"))
+    rows = rows.groupBy("id", "text").agg(F.first("fp").alias("fp"), F.count("*").alias("copies"))
+    rows = scratch.materialize(rows, "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "text")
+    distinct = scratch.materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
+    rooted = _rooted(distinct, max_bits, bucket_limit)
+    first = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    owner = scratch.materialize(rooted.select("fp", "root").join(first, "root").select("fp", "first"), "owners")
     stays = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text") == F.col("text"))
-    marked = grouped.join(first, same_group).select("id", "text", "copies", stays.alias("stays"))
+    marked = rows.join(owner, "fp").select("id", "text", "copies", stays.alias("stays"))
     marked = scratch.materialize(marked.where("NOT stays OR copies > 1").drop("copies"), "marked")
-    marked = marked.withColumnsRenamed({"id": "_id", "text": "_text"})
-    same = F.col("_key").eqNullSafe(F.col("_text")) & F.col(id_col).eqNullSafe(F.col("_id"))
-    keyed = docs.withColumn("_key", key)
-    single = keyed.join(_sized(marked), same, "left_anti")
-    repeated = keyed.join(_sized(marked.where("stays")), same, "left_semi").dropDuplicates([id_col, "_key"])
-    return single.unionByName(repeated).drop("_key")
+
+    # Names that no column of the documents has.
+    at, text, own = unused_names(docs, "id", "text", "key")
+    marked = marked.withColumnsRenamed({"id": at, "text": text})
+    same = F.col(own).eqNullSafe(F.col(text)) & F.col(id_col).eqNullSafe(F.col(at))
+    keyed = docs.withColumn(own, key)
+    single = keyed.join(_sized(marked.select(at, text)), same, "left_anti")
+    repeated = keyed.join(_sized(marked.where("stays").select(at, text)), same, "left_semi")
+    return single.unionByName(repeated.dropDuplicates([id_col, own])).drop(own)
