@@ -11,19 +11,22 @@ from pyspark.sql import functions as F
 
 from salesloom import scratch
 from salesloom.llm import decontaminate, language, packing, quality, simhash
+from salesloom.llm.batches import unused_names
 
-# A text in an unlearnt language or mixed beyond telling is below it; a clean one is far above.
+# A text of many languages, or of letters in no order, is below it; a clean one is far above. The
+# network has no class for a language it has not learnt, so a text in one may pass.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told from their text."""
     net = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
-    found = docs.withColumn("_found", language.predict(net, F.col("text")))
-    told = (F.col("_found.lang_pred") != language.UNKNOWN) & (
-        F.col("_found.score") >= LEAST_LANGUAGE_SCORE
+    (name,) = unused_names(docs, "found")
+    found = docs.withColumn(name, language.predict(net, F.col("text")))
+    told = (F.col(f"{name}.lang_pred") != language.UNKNOWN) & (
+        F.col(f"{name}.score") >= LEAST_LANGUAGE_SCORE
     )
-    return found.where(told).drop("_found")
+    return found.where(told).drop(name)
 
 
 def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,8 +35,8 @@ def good_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal or similar texts."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group that fingerprints of three-word shingles link at two bits."""
+    return simhash.drop_near_duplicates(docs, shingle_words=3, max_bits=2)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
