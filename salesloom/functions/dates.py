@@ -2,8 +2,9 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Ways to write a day, beside ISO, that are read; the first that fits counts.
@@ -20,6 +21,16 @@ def to_day(column: Column, formats: Sequence[str] = DAY_FORMATS) -> Column:
     return F.coalesce(column.try_cast("date"), *others)
 
 
+def day_of(df: DataFrame, name: str) -> Column:
+    """Day in a column of ``df``; formats are tried on text only."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.DateType):
+        return F.col(name)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.col(name).cast("date")
+    return to_day(F.col(name))
+
+
 def date_key(column: Column) -> Column:
     """yyyymmdd as integer."""
     return F.year(column) * 10000 + F.month(column) * 100 + F.dayofmonth(column)

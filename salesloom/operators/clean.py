@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions import clip, is_missing, line_amounts, to_day
+from salesloom.functions import clip, day_of, is_missing, line_amounts
 
 NUMERIC = ("price", "quantity", "discount")
 
@@ -42,7 +42,7 @@ def with_order_period(df: DataFrame) -> DataFrame:
     """``order_date`` as a date (null if unreadable), with its year and month."""
     if "order_date" not in df.columns:
         return df
-    return df.withColumn("order_date", to_day(F.col("order_date"))).withColumns(
+    return df.withColumn("order_date", day_of(df, "order_date")).withColumns(
         {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
     )
 

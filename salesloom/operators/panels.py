@@ -1,6 +1,7 @@
 """Dashboard questions over the enriched sales table. Null groups stay in the result."""
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,24 @@ def filter_period(
     return df
 
 
+def period_bounds(
+    years: Iterable[int] | None = None, months: Iterable[int] | None = None
+) -> tuple[date, date] | None:
+    """First day of a selection and the day after its last; None if it has no bounds.
+
+    For readers that can skip stored rows by a range of days; :func:`filter_period` decides.
+    """
+    if years is None:
+        return None
+    chosen = sorted(set(years))
+    wanted = sorted(set(MONTHS if months is None else months) & set(MONTHS))
+    if not chosen or not wanted:
+        return None
+    (last_year, last_month) = chosen[-1], wanted[-1]
+    behind = date(last_year + last_month // 12, last_month % 12 + 1, 1)
+    return date(chosen[0], wanted[0], 1), behind
+
+
 def filter_options(df: DataFrame) -> DataFrame:
     """Values to choose from: the years of the data, and the months with their names."""
     years = (

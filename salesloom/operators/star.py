@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesloom.functions import date_key, money_exact, month_name, to_day
+from salesloom.functions import date_key, day_of, money_exact, month_name
 from salesloom.operators.keys import key_report, with_surrogate_key
 
 LOCATION_KEY = ("city", "state", "postal_code")
@@ -64,7 +64,7 @@ def dim_location(sales: DataFrame) -> DataFrame:
 
 def dim_date(sales: DataFrame) -> DataFrame:
     """Every day from the first to the last order date; no rows where no date exists."""
-    day = to_day(F.col("order_date"))
+    day = day_of(sales, "order_date")
     bounds = sales.agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
     days = bounds.select(
         F.explode(F.sequence("first_day", "last_day", F.expr("interval 1 day"))).alias("date")
@@ -80,7 +80,7 @@ def dim_date(sales: DataFrame) -> DataFrame:
 
 def with_date_keys(sales: DataFrame) -> DataFrame:
     """Keys of both dates and the days between them; this part of the fact needs no join."""
-    ordered, shipped = to_day(F.col("order_date")), to_day(F.col("ship_date"))
+    ordered, shipped = day_of(sales, "order_date"), day_of(sales, "ship_date")
     return sales.withColumns(
         {
             "order_date_key": date_key(ordered),

@@ -32,8 +32,8 @@ CATALOGUE_DATABASE = "salesloom_catalogue"
 PERIOD = {"years": [1996, 1997, 1998], "months": [1, 2, 3, 4, 5, 6]}
 
 
-def sales(spark: SparkSession, base: str) -> DataFrame:
-    return transform(clean(tpch.sales(spark, base)))
+def sales(spark: SparkSession, base: str, between: tpch.Between = None) -> DataFrame:
+    return transform(clean(tpch.sales(spark, base, between)))
 
 
 def dirty(spark: SparkSession, base: str) -> DataFrame:
@@ -63,7 +63,12 @@ def on_dirty(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 def on_period(operator: Callable[[DataFrame], DataFrame], **period) -> Query:
     """The operator over a selection; all years and months unless told otherwise."""
-    return on_sales(lambda df: operator(panels.filter_period(df, **period)))
+
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        lines = sales(spark, base, panels.period_bounds(**period))
+        return operator(panels.filter_period(lines, **period))
+
+    return query
 
 
 def clean_numeric(spark: SparkSession, base: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The same questions in DuckDB SQL, to check the Spark results against."""
 
+from salesloom.sources.synthetic import CITIES, FIRST_NAMES, LAST_NAMES, SEGMENTS, SHIP_MODES
+
 _JOIN = """
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
@@ -261,6 +263,72 @@ _VOLUME_TEXT = (
     "format('{:,}', total_orders) AS \"Orders\", format('{:,}', total_quantity) AS \"Quantity\""
 )
 
+def _texts(values) -> str:
+    return f"[{', '.join(f'{v!r}' for v in values)}]"
+
+
+def _draw(group: str, place: int, choices: str, key: str = "row_id") -> str:
+    """32 bits of an md5, modulo the choices."""
+    return f"('0x' || substr(md5('42:{group}:' || {key}), {8 * place + 1}, 8))::BIGINT % ({choices})"
+
+
+_PLACES = ", ".join(
+    f"{{'city': {city!r}, 'state': {state!r}, 'prefix': {prefix!r}, 'region': {region!r}}}"
+    for city, state, prefix, region in CITIES
+)
+_QUANTITY_LIMIT = "CASE category WHEN 'Furniture' THEN 2 WHEN 'Technology' THEN 12 ELSE 50 END"
+
+# Synthetic lines: a row id for each event, the parts as catalog, as many customers as there are.
+_SYNTHETIC = f"""
+WITH products AS (
+  SELECT p_type AS category, p_brand AS sub_category, {_PRODUCT_ID} AS product_id,
+    p_name AS product_name, p_retailprice AS price,
+    row_number() OVER (ORDER BY p_type, p_brand, {_PRODUCT_ID}, p_name, p_retailprice) AS product_no
+  FROM part),
+sub_categories AS (
+  SELECT category, min(product_no) AS first_product, count(*) AS n_products,
+    row_number() OVER (ORDER BY category, sub_category) AS sub_category_no
+  FROM products GROUP BY category, sub_category),
+categories AS (
+  SELECT min(sub_category_no) AS first_sub_category, count(*) AS n_sub_categories,
+    row_number() OVER (ORDER BY category) AS category_no
+  FROM sub_categories GROUP BY category),
+sizes AS (
+  SELECT (SELECT count(*) FROM categories) AS n_categories, (SELECT count(*) FROM customer) AS n_customers,
+    min(o_orderdate)::DATE AS first_day, max(o_orderdate)::DATE - min(o_orderdate)::DATE + 1 AS n_days
+  FROM orders),
+in_category AS (
+  SELECT row_id, first_sub_category + {_draw("product", 1, "n_sub_categories")} AS sub_category_no
+  FROM (SELECT event_id + 1 AS row_id, 1 + {_draw("product", 0, "n_categories", "(event_id + 1)")} AS category_no
+        FROM events, sizes)
+  JOIN categories USING (category_no)),
+in_sub_category AS (
+  SELECT row_id, first_product + {_draw("product", 2, "n_products")} AS product_no
+  FROM in_category JOIN sub_categories USING (sub_category_no)),
+drawn AS (
+  SELECT *, (row_id - 1) % n_customers AS customer,
+    first_day + ({_draw("order", 0, "n_days")})::INTEGER AS order_date,
+    [{_PLACES}][1 + {_draw("place", 0, str(len(CITIES)))}] AS place,
+    (1 + {_draw("product", 3, _QUANTITY_LIMIT)})::INTEGER AS quantity
+  FROM in_sub_category JOIN products USING (product_no), sizes),
+named AS (
+  SELECT *,
+    {_texts(FIRST_NAMES)}[1 + {_draw("customer", 0, str(len(FIRST_NAMES)), "customer")}] AS first_name,
+    {_texts(LAST_NAMES)}[1 + {_draw("customer", 1, str(len(LAST_NAMES)), "customer")}] AS last_name,
+    {_texts(SEGMENTS)}[1 + {_draw("customer", 2, str(len(SEGMENTS)), "customer")}] AS segment
+  FROM drawn)
+SELECT row_id, 'US-' || year(order_date) || '-' || (100000 + {_draw("order", 3, "900000")}) AS order_id,
+  order_date, order_date + 1 + ({_draw("order", 1, "7")})::INTEGER AS ship_date,
+  {_texts(SHIP_MODES)}[1 + {_draw("order", 2, str(len(SHIP_MODES)))}] AS ship_mode,
+  upper(left(first_name, 1) || left(last_name, 1)) || '-'
+    || (10000 + (customer * 7919 + 42) % 90000 + customer // 90000 * 90000) AS customer_id,
+  first_name || ' ' || last_name AS customer_name, segment,
+  place.city AS city, place.state AS state, place.prefix || (10 + {_draw("place", 1, "90")}) AS postal_code,
+  place.region AS region, category, sub_category, product_id, product_name, price, quantity,
+  CASE WHEN quantity >= 100 THEN 0.15 WHEN quantity >= 20 THEN 0.10 WHEN quantity >= 5 THEN 0.05
+    ELSE 0 END::DOUBLE AS discount
+FROM named"""
+
 _NULLS_LEFT = " + ".join(
     f"count(*) FILTER (WHERE {c} IS NULL)"
     for c in (
@@ -352,6 +420,7 @@ FROM ({_TOP_PRODUCTS})""",
 SELECT p_type AS category, p_brand AS sub_category, p_name AS product_name,
   p_retailprice AS price, {_PRODUCT_ID} AS product_id
 FROM part""",
+    "synth_sales": _SYNTHETIC,
     "synth_contract": """
 SELECT (SELECT count(*) FROM events) AS "rows",
   (SELECT least((SELECT count(*) FROM customer), (SELECT count(*) FROM events))) AS customers,

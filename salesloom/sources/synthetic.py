@@ -1,7 +1,8 @@
 """Synthetic sales lines as column expressions over row ids.
 
-Every draw is a hash of the row id, the seed and the name of the draw, so a row is the same however
-the ids are partitioned and whichever task computes it. The distributions are the contract.
+Every draw is 32 bits of an md5 of the seed, the name of a set of draws and the row id, so a row is
+the same however the ids are partitioned, whichever task computes it and in any engine that has md5.
+The distributions are the contract.
 """
 
 from dataclasses import dataclass
@@ -55,10 +56,22 @@ LAST_NAMES = [
 ]
 
 
+# Sets of four draws, which share one md5.
+DRAWS = {
+    "product": ("category", "sub-category", "product", "quantity"),
+    "order": ("order date", "ship date", "ship mode", "order"),
+    "place": ("city", "postal code"),
+    "customer": ("first name", "last name", "segment"),
+}
+
+
 def _draw(seed: int, name: str, key: Column, choices: int | Column) -> Column:
-    """Uniform integer in [0, choices)."""
+    """Uniform integer in [0, choices), up to 2^32 of them: 32 bits modulo the choices."""
+    group, place = next((g, names.index(name)) for g, names in DRAWS.items() if name in names)
+    text = F.concat_ws(":", F.lit(str(seed)), F.lit(group), key.cast("string"))
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 8 * place + 1, 8), 16, 10).cast("bigint")
     bound = choices if isinstance(choices, Column) else F.lit(choices)
-    return F.pmod(F.xxhash64(F.lit(seed), F.lit(name), key), bound.cast("bigint"))
+    return bits % bound.cast("bigint")
 
 
 def _pick(values: list, index: Column) -> Column:

@@ -1,9 +1,10 @@
 """Retail sales as a view over order, customer, place and part tables."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from salesloom import scratch
 from salesloom.operators.keys import with_surrogate_key
 
 # The order in which lines are numbered. Lines equal in all of it are copies; _line, their place
@@ -39,7 +40,22 @@ def read(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{base}/{table}.parquet")
 
 
-def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> DataFrame:
+# First day, and the day after the last.
+Between = tuple[date, date] | None
+
+
+def _orders(spark: SparkSession, base: str, between: Between) -> DataFrame:
+    """Orders of a period; its bounds reach the statistics of the stored row groups."""
+    orders = read(spark, base, "orders")
+    if between is None:
+        return orders
+    first, behind = (F.expr(f"TIMESTAMP_NTZ'{day} 00:00:00'") for day in between)
+    return orders.where((F.col("o_orderdate") >= first) & (F.col("o_orderdate") < behind))
+
+
+def _joined(
+    spark: SparkSession, base: str, lines: DataFrame | None = None, between: Between = None
+) -> DataFrame:
     """Orders are widened first, so that the far longer line table is shuffled for two joins only.
 
     Lines and orders both grow with the business, so their join is a merge join at any size; AQE
@@ -48,7 +64,7 @@ def _joined(spark: SparkSession, base: str, lines: DataFrame | None = None) -> D
     if lines is None:
         lines = read(spark, base, "lineitem")
     orders = (
-        read(spark, base, "orders")
+        _orders(spark, base, between)
         .join(read(spark, base, "customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read(spark, base, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
@@ -105,9 +121,9 @@ def _named(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
-def sales(spark: SparkSession, base: str) -> DataFrame:
-    """Raw sales without row ids: what most questions need."""
-    return _joined(spark, base).selectExpr(*_named(SALES_COLUMNS))
+def sales(spark: SparkSession, base: str, between: Between = None) -> DataFrame:
+    """Raw sales without row ids: what most questions need. ``between`` leaves out other days early."""
+    return _joined(spark, base, between=between).selectExpr(*_named(SALES_COLUMNS))
 
 
 def dirty_sales(spark: SparkSession, base: str) -> DataFrame:
@@ -134,15 +150,11 @@ def _line_order() -> list:
     return [F.asc_nulls_last(c) for c in (*LINE_ORDER, "_line")]
 
 
-def numbered_lines(spark: SparkSession, base: str) -> DataFrame:
-    """The lines that count, with dense row ids, in their own narrow columns."""
-    return with_surrogate_key(_matched_lines(spark, base), _line_order(), "row_id", drop=["_line"])
-
-
 def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
-    """Narrow lines are sorted and numbered; the wide join then runs once."""
-    wide = _joined(spark, base, numbered_lines(spark, base))
-    return scratch.materialize(wide.selectExpr("row_id", *_named(columns)), "sales")
+    """Lines are joined once; the joined rows are sorted, numbered and written in one go."""
+    lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
+    wide = _joined(spark, base, lines).selectExpr(*_named(columns), *LINE_ORDER, "_line")
+    return with_surrogate_key(wide, _line_order(), "row_id", drop=[*LINE_ORDER, "_line"])
 
 
 def numbered_sales(spark: SparkSession, base: str) -> DataFrame:

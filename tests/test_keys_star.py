@@ -104,6 +104,44 @@ def test_key_report(spark):
     assert rows == {"k": (2, 5, 0), "k, n": (1, 2, 2)}
 
 
+@pytest.mark.parametrize("most_runs", [100_000, 0])
+def test_numbered_keys_are_told_by_their_runs(spark, most_runs):
+    """Runs that lie apart prove a key; everything else is counted, with the same figures."""
+    dense = spark.range(1000).select((F.col("id") + 1).alias("k"))
+    gaps = spark.range(50).select((F.col("id") * 3).cast("int").alias("k"))
+    mixed = dense.orderBy(F.rand(1))
+    twice = dense.union(spark.range(5).select(F.col("id") + 1))
+    holes = dense.select(F.when(F.col("k") > 4, F.col("k")).alias("k"))
+    far = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (None,)], "k bigint")
+    tables = {"dense": dense, "gaps": gaps, "mixed": mixed, "twice": twice, "holes": holes, "far": far, "none": dense.limit(0)}
+    report = key_report([(name, df, ["k"]) for name, df in tables.items()], most_runs)
+    assert {r.table_name: tuple(r)[2:] for r in report.collect()} == {
+        "dense": (0, 0, 0),
+        "gaps": (0, 0, 0),
+        "mixed": (0, 0, 0),
+        "twice": (5, 10, 0),
+        "holes": (0, 0, 4),
+        "far": (0, 0, 1),
+        "none": (0, 0, 0),
+    }
+
+
+def test_stored_row_ids_are_not_shuffled_to_be_checked(spark):
+    stored = tpch.numbered_sales(spark, "/root/testdata/sf0.001")
+    text = key_report([("sales", stored, ["row_id"])])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "HashAggregate" not in text
+
+
+def test_lines_are_read_once_for_numbered_sales(spark):
+    """One join of the lines, whose result is what gets sorted, numbered and stored."""
+    lines = tpch.read(spark, "/root/testdata/sf0.001", "lineitem").withColumn("_line", F.lit(1))
+    text = tpch._joined(spark, "/root/testdata/sf0.001", lines)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("lineitem.parquet") == 1
+    stored = tpch.numbered_sales(spark, "/root/testdata/sf0.001")
+    text = stored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Exchange" not in text
+
+
 def test_star_of_two_days(spark):
     built = star.build_star(
         sales(
@@ -196,6 +234,29 @@ def test_fact_lines_are_not_joined_by_broadcasting_lines(spark):
     assert "SortMergeJoin [l_orderkey" in text
 
 
+def test_period_reaches_the_orders_scan(spark):
+    from salesloom.operators.panels import filter_period, period_bounds
+
+    period = {"years": [1997, 1996], "months": [2, 12]}
+    assert period_bounds(**period) == (dt.date(1996, 2, 1), dt.date(1998, 1, 1))
+    assert period_bounds([1996], [3]) == (dt.date(1996, 3, 1), dt.date(1996, 4, 1))
+    assert period_bounds(months=[3]) is None and period_bounds([], [3]) is None and period_bounds([1996], []) is None
+    base = "/root/testdata/sf0.001"
+    lines = tpch.sales(spark, base, period_bounds(**period))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    text = lines._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(o_orderdate,1996-02-01T00:00)" in text
+    assert "LessThan(o_orderdate,1998-01-01T00:00)" in text
+
+    from salesloom.operators.clean import transform
+
+    with_bounds = filter_period(transform(lines), **period)
+    without = filter_period(transform(tpch.sales(spark, base)), **period)
+    assert with_bounds.count() > 0 and with_bounds.exceptAll(without).isEmpty()
+    assert with_bounds.count() == without.count()
+
+
 def test_only_needed_columns_are_read(spark):
     from salesloom.operators.clean import clean, transform
     from salesloom.operators.panels import revenue_by_month
