@@ -145,7 +145,7 @@ def category_by_month(df: DataFrame) -> DataFrame:
     return _by_month(df, "category", total_revenue=_revenue(df))
 
 
-def _best_first(df: DataFrame, *keys: str) -> DataFrame:
+def best_first(df: DataFrame, *keys: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_first("total_revenue"), *[F.asc_nulls_first(k) for k in keys])
 
 
@@ -154,7 +154,7 @@ def top_customers(df: DataFrame, n: int = 10) -> DataFrame:
     revenue = df.groupBy("customer_name").agg(
         money_sum(F.col("revenue")).alias("total_revenue")
     )
-    return _best_first(revenue, "customer_name").limit(n)
+    return best_first(revenue, "customer_name").limit(n)
 
 
 def _volumes(df: DataFrame, *keys: str) -> DataFrame:
@@ -166,16 +166,16 @@ def _volumes(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def cities(df: DataFrame) -> DataFrame:
-    return _best_first(_volumes(df, "city"), "city")
+    return best_first(_volumes(df, "city"), "city")
 
 
 def revenue_by_region(df: DataFrame) -> DataFrame:
     revenue = df.groupBy("region").agg(_revenue(df).alias("total_revenue"))
-    return _best_first(revenue, "region")
+    return best_first(revenue, "region")
 
 
 def top_products(df: DataFrame, n: int = 10) -> DataFrame:
-    return _best_first(
+    return best_first(
         _volumes(df, "category", "product_name"), "category", "product_name"
     ).limit(n)
 
@@ -200,27 +200,3 @@ def display_table(panel: DataFrame) -> DataFrame:
             for c in panel.columns
         ]
     )
-
-
-# Panels that a cube answers as well, and panels that need the lines.
-CUBE_PANELS = {
-    "revenue_by_month": revenue_by_month,
-    "orders_by_month": orders_by_month,
-    "segment_by_month": segment_by_month,
-    "category_by_month": category_by_month,
-    "region": revenue_by_region,
-}
-LINE_PANELS = {
-    "kpis": kpis,
-    "top_customers": top_customers,
-    "cities": cities,
-    "top_products": top_products,
-}
-
-
-def panels(selection: DataFrame, cube: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Key figures and all panels of one selection, each lazy; a stored cube serves five of them."""
-    monthly = selection if cube is None else cube
-    return {name: panel(selection) for name, panel in LINE_PANELS.items()} | {
-        name: panel(monthly) for name, panel in CUBE_PANELS.items()
-    }

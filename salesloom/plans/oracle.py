@@ -456,6 +456,13 @@ GROUP BY ALL""",
     "stored_panel_kpis": _CLEAN + _kpis(_PERIOD),
     "stored_panel_cities": f"{_CLEAN} {_CITIES.replace(_DATED, _PERIOD)}",
     "stored_panel_empty": _CLEAN + _kpis("(SELECT * FROM sales WHERE false)"),
+    "dashboard_kpis": _CLEAN + _kpis(_PERIOD),
+    "dashboard_kpis_dirty": _DIRTY + _kpis(_DATED),
+    "dashboard_empty": _CLEAN + _kpis("(SELECT * FROM sales WHERE false)"),
+    "dashboard_cities": f"{_CLEAN} {_CITIES.replace(_DATED, _PERIOD)}",
+    "dashboard_top_products_dirty": _DIRTY + _TOP_PRODUCTS,
+    "dashboard_top_customers": _CLEAN + _TOP_CUSTOMERS.replace(_DATED, _PERIOD),
+    "dashboard_category_by_month_dirty": f"{_DIRTY} {_monthly(_REVENUE, 'category')}",
     "panel_cities_dirty": f"{_DIRTY} {_CITIES}",
     "panel_top_products_dirty": _DIRTY + _TOP_PRODUCTS,
     "panel_category_by_month_dirty": f"{_DIRTY} {_monthly(_REVENUE, 'category')}",

@@ -56,8 +56,29 @@ def current(spark: SparkSession, path: str) -> str | None:
     return path if is_complete(spark, path) else None
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder, fs = _path(spark, path)
+    fs.delete(folder, True)
+
+
+def prune_groups(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` folders of versions, each of which bears a version's name."""
+    folder, fs = _path(spark, path)
+    names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
+    for name in [n for n in names if n.startswith("v-")][keep:]:
+        _delete(spark, f"{path.rstrip('/')}/{name}")
+
+
 def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Delete finished versions but the newest ``keep``, which readers may still hold."""
-    for version in complete(spark, path)[keep:]:
-        folder, fs = _path(spark, version)
-        fs.delete(folder, True)
+    """Delete finished versions but the newest ``keep``, which readers may still hold, and unfinished
+    ones older than the newest finished one: what they were to replace has been replaced."""
+    found = complete(spark, path)
+    for version in found[keep:]:
+        _delete(spark, version)
+    if found:
+        folder, fs = _path(spark, path)
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        for name in names:
+            version = f"{path.rstrip('/')}/{name}"
+            if name.startswith("v-") and name < name_of(found[0]) and not is_complete(spark, version):
+                _delete(spark, version)

@@ -6,10 +6,11 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from salesloom import scratch
+from salesloom import scratch, versions
 from salesloom.functions import customer_id, money_sum, round2, to_day
+from salesloom.operators import panels
 from salesloom.plans.batch import attach, run_batch, validate
-from salesloom.plans.dashboard import open_dashboard
+from salesloom.plans.dashboard import cube_folder, open_dashboard
 from salesloom.schemas import SALES, STAR, SUMMARIES
 from salesloom.sinks import files, warehouse
 from salesloom.sources.catalog import read_catalog
@@ -375,8 +376,69 @@ def test_failed_bronze_keeps_the_earlier_one(spark, batch):
     assert read_sales(spark, f"{folder}/bronze", SALES).count() == 3000
 
 
-def test_dashboard_deletes_its_cube(spark, batch):
-    board = open_dashboard(spark, f"{batch[0]}/silver")
-    files_before = board.cube.inputFiles()
-    board.close()
-    assert files_before and not any(os.path.exists(f.removeprefix("file://")) for f in files_before)
+LINE_PANELS = {
+    "kpis": panels.kpis,
+    "top_customers": panels.top_customers,
+    "cities": panels.cities,
+    "top_products": panels.top_products,
+    "revenue_by_month": panels.revenue_by_month,
+    "orders_by_month": panels.orders_by_month,
+    "segment_by_month": panels.segment_by_month,
+    "category_by_month": panels.category_by_month,
+    "region": panels.revenue_by_region,
+}
+
+
+@pytest.fixture(scope="module")
+def odd_silver(spark, batch, tmp_path_factory):
+    """Stored lines with nulls in every column the panels read, and orders of several months."""
+    path = str(tmp_path_factory.mktemp("odd") / "silver")
+    lines = read_sales(spark, f"{batch[0]}/silver").where("row_id <= 900")
+    holes = {
+        c: F.when(F.col("row_id") % (13 + i) != 0, F.col(c)).alias(c)
+        for i, c in enumerate(("order_id", "customer_id", "product_id", "city", "product_name", "region", "order_month"))
+    }
+    holes["order_id"] = F.when(F.col("row_id") % 13 != 0, F.concat(F.lit("o"), F.col("row_id") % 40)).alias("order_id")
+    files.write_silver(lines.select(*[holes.get(c, F.col(c)) for c in lines.columns]), path)
+    return path
+
+
+@pytest.mark.parametrize("period", [{}, {"years": [2024], "months": [2, 3, 7]}, {"months": []}, {"years": [1990]}])
+def test_cubes_answer_like_the_lines(spark, odd_silver, period):
+    board = open_dashboard(spark, odd_silver, **period)
+    lines = panels.filter_period(read_sales(spark, odd_silver), **period)
+    for name, panel in LINE_PANELS.items():
+        assert board.panels[name].collect() == panel(lines).collect(), name
+        assert board.panels[name].columns == panel(lines).columns
+
+
+def test_second_opening_reads_no_lines(spark, odd_silver):
+    open_dashboard(spark, odd_silver)
+    before = versions.current(spark, cube_folder(odd_silver, versions.current(spark, odd_silver)))
+    board = open_dashboard(spark, odd_silver, months=[1])
+    assert versions.current(spark, cube_folder(odd_silver, versions.current(spark, odd_silver))) == before
+    for panel in board.panels.values():
+        files_read = panel.inputFiles()
+        assert files_read and all("/silver_cubes/" in f for f in files_read)
+        assert "Expand" not in panel._jdf.queryExecution().executedPlan().toString()
+
+
+def test_new_lines_get_new_cubes(spark, batch, tmp_path):
+    path = str(tmp_path / "silver")
+    lines = read_sales(spark, f"{batch[0]}/silver")
+    for n in (10, 20, 30, 40, 50):
+        files.write_silver(lines.where(f"row_id <= {n}"), path)
+        assert open_dashboard(spark, path).panels["kpis"].first().total_orders == n
+    assert len(os.listdir(f"{path}_cubes")) == 3
+
+
+def test_unfinished_cubes_are_not_read(spark, batch, tmp_path, monkeypatch):
+    path = str(tmp_path / "silver")
+    files.write_silver(read_sales(spark, f"{batch[0]}/silver").where("row_id <= 10"), path)
+    with monkeypatch.context() as patched:
+        patched.setattr(versions, "finish", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            open_dashboard(spark, path)
+    assert open_dashboard(spark, path).panels["kpis"].first().total_orders == 10
+    folder = cube_folder(path, versions.current(spark, path))
+    assert len(os.listdir(folder)) == 1

