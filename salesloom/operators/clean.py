@@ -38,15 +38,27 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
     return df.dropDuplicates(list(subset) if subset else None)
 
 
-def with_order_period(df: DataFrame) -> DataFrame:
-    """``order_date`` as a date (null if unreadable), with its year and month."""
+def with_order_period(df: DataFrame, keep_unread: bool = False) -> DataFrame:
+    """``order_date`` as a date (null if unreadable), with its year and month.
+
+    ``keep_unread`` keeps what could not be read as text in ``order_date_unread``.
+    """
     if "order_date" not in df.columns:
         return df
-    return df.withColumn("order_date", day_of(df, "order_date")).withColumns(
+    day = day_of(df, "order_date")
+    if keep_unread:
+        raw = F.col("order_date").cast("string")
+        df = df.withColumn("order_date_unread", F.when(day.isNull(), raw))
+    return df.withColumn("order_date", day).withColumns(
         {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
     )
 
 
+def unread_lines(df: DataFrame) -> DataFrame:
+    """The lines whose day could not be read, from lines enriched with ``keep_unread``."""
+    return df.where(F.col("order_date_unread").isNotNull())
+
+
 def with_amounts(df: DataFrame) -> DataFrame:
     """Revenue, discount amount and gross sales of each line, in whole cents."""
     if not set(NUMERIC) <= set(df.columns):
@@ -54,5 +66,5 @@ def with_amounts(df: DataFrame) -> DataFrame:
     return df.withColumns(line_amounts(*[F.col(c) for c in NUMERIC]))
 
 
-def transform(df: DataFrame) -> DataFrame:
-    return with_amounts(with_order_period(df))
+def transform(df: DataFrame, keep_unread: bool = False) -> DataFrame:
+    return with_amounts(with_order_period(df, keep_unread))

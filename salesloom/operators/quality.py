@@ -17,6 +17,8 @@ def _failed(df: DataFrame) -> dict[str, Column]:
     checks = {
         f"{c}_not_null": F.count_if(is_missing(df, c)) for c in REQUIRED if c in df.columns
     }
+    if "order_date_unread" in df.columns:
+        checks["order_date_readable"] = F.count("order_date_unread")
     if "price" in df.columns:
         checks["sales_positive"] = outside("price", F.col("price") > 0)
     if "discount" in df.columns:
@@ -30,7 +32,8 @@ def quality_report(df: DataFrame) -> DataFrame:
     """Rows ``(check_name, failed_rows, passed)`` with ``overall_success`` last.
 
     The year check compares the column with its own bounds, so it fails only where no year exists.
-    ``failed_rows`` of the overall row is the number of failed checks.
+    ``failed_rows`` of the overall row is the number of failed checks. Lines that keep their unread
+    days get one more check, from the same scan: days that were given but could not be read.
     """
     failed = _failed(df)
     measures = [count.alias(name) for name, count in failed.items()]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesloom.functions import date_key, day_of, money_exact, month_name
-from salesloom.operators.keys import key_report, with_surrogate_key
+from salesloom.operators.keys import duplicate_keys, key_report, with_surrogate_key
 
 LOCATION_KEY = ("city", "state", "postal_code")
 
@@ -219,6 +219,43 @@ def key_problems(star: Star) -> DataFrame:
     )
 
 
+NATURAL_KEYS = {
+    "dim_customer": ("customer_id",),
+    "dim_product": ("product_id",),
+    "dim_location": LOCATION_KEY,
+}
+VERDICT = (
+    "table_name string, key_columns string, key_value string, row_count bigint, line_count bigint, "
+    "first_row_id bigint, last_row_id bigint"
+)
+
+
+def repeated_natural_keys(star: Star) -> DataFrame:
+    """Each natural key that several dimension rows hold, with the lines it would multiply.
+
+    One row per key: the dimension rows that hold it, the number of its lines and the first and last
+    of them. Lines are counted by key before they meet the few keys that repeat.
+    """
+    parts = []
+    for table, keys in NATURAL_KEYS.items():
+        repeated = duplicate_keys(getattr(star, table).dropna(subset=list(keys)), keys)
+        lines = star.sales.groupBy(*keys).agg(
+            F.count("*").alias("line_count"), F.min("row_id").alias("first_row_id"), F.max("row_id").alias("last_row_id")
+        )
+        parts.append(
+            repeated.join(lines, list(keys)).select(
+                F.lit(table).alias("table_name"),
+                F.lit(", ".join(keys)).alias("key_columns"),
+                F.concat_ws("|", *keys).alias("key_value"),
+                "row_count",
+                "line_count",
+                "first_row_id",
+                "last_row_id",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def by_dates(sales: DataFrame) -> DataFrame:
     """Number of lines and exact revenue by order and ship date: all that calendar questions need."""
     return sales.groupBy("order_date", "ship_date").agg(

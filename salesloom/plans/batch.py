@@ -13,10 +13,10 @@ from salesloom.operators.clean import clean, transform
 from salesloom.operators.quality import quality_report, quality_results
 from salesloom.operators.star import Star
 from salesloom.operators.summaries import build_summaries
-from salesloom.schemas import RAW_SALES
+from salesloom.schemas import RAW_SALES, SALES, SUMMARIES
 from salesloom.sinks import files, warehouse
 from salesloom.sources.catalog import read_catalog
-from salesloom.sources.files import read_sales
+from salesloom.sources.files import read_sales, read_summary
 from salesloom.sources.synthetic import synthetic_sales
 
 log = logging.getLogger(__name__)
@@ -24,13 +24,26 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class BatchResult:
-    """Stored tables as lazy frames, and the verdicts. ``star_error`` says why there is no star."""
+    """Stored tables as lazy frames, and the verdicts. ``star_error`` says why there is no star, and
+    ``refused`` holds the keys that repeat, if that is why. ``reports`` is the folder of the run's
+    sample, summaries and report."""
 
     sales: DataFrame
     summaries: dict[str, DataFrame]
     quality: dict[str, bool]
+    reports: str
     star: Star | None = None
     star_error: str | None = None
+    refused: DataFrame | None = None
+
+
+class StarRefused(ValueError):
+    """The lines' keys repeat, so there is no star of them. ``verdict`` is a stored table of the
+    natural keys that do, see :func:`salesloom.operators.star.repeated_natural_keys`."""
+
+    def __init__(self, message: str, verdict: DataFrame) -> None:
+        super().__init__(message)
+        self.verdict = verdict
 
 
 def check_arguments(num_rows: int, start_date: date, end_date: date) -> None:
@@ -50,6 +63,7 @@ def build_dataset(
     rebuild: bool = True,
     num_customers: int = 100,
     seed: int = 42,
+    catalog_lines: bool = False,
 ) -> DataFrame:
     """Stored raw lines; synthesized first if ``rebuild`` or if no finished ones exist."""
     if not rebuild:
@@ -57,7 +71,7 @@ def build_dataset(
             return read_sales(spark, bronze, RAW_SALES)
         except FileNotFoundError:
             log.info("No finished dataset at %s", bronze)
-    catalog = read_catalog(spark, catalog_path)
+    catalog = read_catalog(spark, catalog_path, catalog_lines)
     raw = synthetic_sales(spark, num_rows, catalog, start_date, end_date, num_customers, seed)
     files.write_bronze(raw, bronze)
     return read_sales(spark, bronze, RAW_SALES)
@@ -66,7 +80,8 @@ def build_dataset(
 def load_star(spark: SparkSession, sales: DataFrame, version: str, database: str) -> Star:
     """Build the star, check its keys and only then write it to the new folder ``version``.
 
-    Repeated keys raise ValueError.
+    Repeated keys raise :class:`StarRefused`; what is wrong is then stored beside, as
+    ``<version>_refused``.
     """
     star = star_schema.build_star(sales)
     # Eight rows, one per checked key.
@@ -79,7 +94,10 @@ def load_star(spark: SparkSession, sales: DataFrame, version: str, database: str
         for row in faulty.collect()
     ]
     if problems:
-        raise ValueError("; ".join(problems))
+        refused = f"{version}_refused"
+        verdict = star_schema.repeated_natural_keys(star)
+        verdict.write.parquet(refused)
+        raise StarRefused("; ".join(problems), spark.read.schema(verdict.schema).parquet(refused))
     warehouse.save_star(star, version, database)
     return warehouse.read_star(spark, database)
 
@@ -96,9 +114,12 @@ def run_batch(
     num_customers: int = 100,
     seed: int = 42,
     database: str = warehouse.DATABASE,
+    catalog_lines: bool = False,
 ) -> BatchResult:
     """Run all stages. Neither failed checks nor a failed star build stop the job.
 
+    ``catalog_lines`` says that each line of the catalog is a document of its own.
+
     A star belongs to the lines it was made of: when these are stored anew, the earlier star is no
     longer served, whether or not a new one follows.
     """
@@ -113,24 +134,25 @@ def run_batch(
         rebuild,
         num_customers,
         seed,
+        catalog_lines,
     )
 
     # Everything downstream reads the stored lines, so cleaning and enrichment run once.
     silver = f"{output_dir}/silver"
     written = files.write_silver(transform(clean(raw)), silver)
-    sales = read_sales(spark, silver)
+    sales = read_sales(spark, written)
 
     summaries = build_summaries(sales)
-    report = quality_report(sales)
-    files.write_sample(sales, f"{output_dir}/sample_data.csv")
-    files.write_summaries(summaries, output_dir)
-    quality = quality_results(report)
-    files.write_quality(quality_frame(spark, quality), f"{output_dir}/quality_report.json")
+    quality = quality_results(quality_report(sales))
+    with files.report_set(spark, f"{output_dir}/reports", {"silver": written}) as reports:
+        files.write_sample(sales, f"{reports}/sample_data.csv")
+        files.write_summaries(summaries, reports)
+        files.write_quality(quality_frame(spark, quality), f"{reports}/quality_report.json")
 
     warehouse.create_database(spark, database)
     warehouse.register_sales(spark, silver, database)
     warehouse.drop_star(spark, database)
-    star, star_error = None, None
+    star, star_error, refused = None, None, None
     if build_star_schema:
         try:
             stored = warehouse.read_table(spark, "sales", database)
@@ -138,9 +160,26 @@ def run_batch(
             versions.prune(spark, f"{output_dir}/warehouse")
         except Exception as error:
             # Whatever went wrong with the star, the stored sales stay usable.
-            star_error = str(error)
+            star_error, refused = str(error), getattr(error, "verdict", None)
             log.error("Failed to build the star schema: %s", error)
-    return BatchResult(sales, summaries, quality, star, star_error)
+    return BatchResult(sales, summaries, quality, reports, star, star_error, refused)
+
+
+def read_reports(spark: SparkSession, output_dir: str) -> dict[str, DataFrame] | None:
+    """Sample, summaries, quality report and sales of one run: the last that finished all of them."""
+    manifest = files.read_manifest(spark, f"{output_dir}/reports")
+    if manifest is None:
+        return None
+    folder = manifest["folder"]
+    out = {"sales": read_sales(spark, manifest["silver"])}
+    out["sample_data"] = spark.read.schema(SALES).option("header", True).csv(f"{folder}/sample_data.csv")
+    for name in manifest["files"]:
+        if name.removesuffix(".csv") in SUMMARIES:
+            out[name.removesuffix(".csv")] = read_summary(spark, f"{folder}/{name}", SUMMARIES[name.removesuffix(".csv")])
+    verdicts = spark.read.text(f"{folder}/quality_report.json")
+    checks = F.explode(F.from_json("value", "map<string,boolean>")).alias("check_name", "passed")
+    out["quality_report"] = verdicts.select(checks)
+    return out
 
 
 def star_version(output_dir: str, silver: str) -> str:

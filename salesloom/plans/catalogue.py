@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,12 +12,12 @@ from salesloom.functions import money_sum, round2
 from salesloom.operators import panels, star, summaries
 from salesloom.plans import batch
 from salesloom.plans.dashboard import open_dashboard
-from salesloom.operators.clean import clean, drop_duplicates, null_profile, transform
+from salesloom.operators.clean import clean, drop_duplicates, null_profile, transform, unread_lines
 from salesloom.operators.quality import quality_report
-from salesloom.schemas import SALES, SUMMARIES
+from salesloom.schemas import CATALOG_JSON, SALES, SUMMARIES
 from salesloom.sinks import files, warehouse
 from salesloom.sources import tpch
-from salesloom.sources.catalog import flatten_catalog
+from salesloom.sources.catalog import nest_catalog, read_catalog
 from salesloom.sources.files import read_sales, read_summary
 from salesloom.sources.synthetic import (
     CITIES,
@@ -72,6 +73,27 @@ def on_period(operator: Callable[[DataFrame], DataFrame], **period) -> Query:
     return query
 
 
+def with_unread(spark: SparkSession, base: str) -> DataFrame:
+    """Dirty lines that keep the text of days nobody could read."""
+    return transform(clean(tpch.dirty_sales(spark, base)), keep_unread=True)
+
+
+def unread_days(spark: SparkSession, base: str) -> DataFrame:
+    return unread_lines(with_unread(spark, base)).select("order_id", "product_id", "order_date_unread")
+
+
+def partial_columns(spark: SparkSession, base: str) -> DataFrame:
+    """Checks of lines without discounts and days: each step skips what is not there."""
+    return quality_report(transform(clean(tpch.dirty_sales(spark, base).drop("discount", "order_date"))))
+
+
+def partial_summaries(spark: SparkSession, base: str) -> DataFrame:
+    """Names and sizes of the summaries that lines without a region still have."""
+    found = summaries.build_summaries(sales(spark, base).drop("region"))
+    sizes = [t.agg(F.count("*").alias("rows")).select(F.lit(n).alias("summary"), "rows") for n, t in found.items()]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 def clean_numeric(spark: SparkSession, base: str) -> DataFrame:
     return clean(tpch.dirty_sales(spark, base)).select(
         "order_id", "product_id", "price", "quantity", "discount"
@@ -160,25 +182,43 @@ def sample_rows(spark: SparkSession, base: str) -> DataFrame:
     return transform(clean(tpch.first_sales(spark, base, 50)))
 
 
-def part_catalog_json(spark: SparkSession, base: str) -> DataFrame:
-    """The part table as nested catalog documents, one per part."""
-    product_id = tpch.SALES_COLUMNS["product_id"]
-    item = f"named_struct('name', p_name, 'price', p_retailprice, 'product_id', {product_id})"
+def part_products(spark: SparkSession, base: str) -> DataFrame:
+    """The part table with the columns of a catalog."""
+    columns = {"category": "p_type", "sub_category": "p_brand", "product_name": "p_name", "price": "p_retailprice"}
+    columns["product_id"] = tpch.SALES_COLUMNS["product_id"]
     return tpch.read(spark, base, "part").selectExpr(
-        f"to_json(map(p_type, map(p_brand, array({item})))) AS value"
+        "p_partkey", *[f"{expression} AS {name}" for name, expression in columns.items()]
     )
 
 
-def catalog_flatten(spark: SparkSession, base: str) -> DataFrame:
+def stored_catalog(spark: SparkSession, base: str) -> str:
+    """The parts as a file of nested documents of 500 products or fewer, a document a line."""
     path = scratch.new_path(spark, "catalog")
-    part_catalog_json(spark, base).write.text(path)
-    return flatten_catalog(spark.read.text(path))
+    nest_catalog(part_products(spark, base), F.floor(F.col("p_partkey") / 500)).write.text(path)
+    return path
+
+
+def catalog_flatten(spark: SparkSession, base: str) -> DataFrame:
+    return read_catalog(spark, stored_catalog(spark, base), lines=True)
+
+
+def catalog_nesting(spark: SparkSession, base: str) -> DataFrame:
+    """How deep the stored documents are: categories, sub-categories and products of each."""
+    documents = spark.read.text(stored_catalog(spark, base)).withColumn("document", F.monotonically_increasing_id())
+    nested = documents.select(F.from_json("value", CATALOG_JSON).alias("catalog"))
+    groups = F.flatten(F.transform(F.map_values("catalog"), F.map_values))
+    sizes = nested.select(
+        F.size("catalog").alias("categories"),
+        F.size(groups).alias("sub_categories"),
+        F.size(F.flatten(groups)).alias("products"),
+    )
+    return sizes.groupBy("categories", "sub_categories", "products").agg(F.count("*").alias("documents"))
 
 
 def synth_sales(spark: SparkSession, base: str) -> DataFrame:
     """One synthetic line per event, products from the part table, as many customers as exist."""
     ids = tpch.read(spark, base, "events").select((F.col("event_id") + 1).alias("row_id"))
-    catalog = flatten_catalog(part_catalog_json(spark, base))
+    catalog = part_products(spark, base).drop("p_partkey")
     customers = tpch.read(spark, base, "customer").count()
     return synthesize(ids, catalog, *order_days(spark, base), customers)
 
@@ -190,7 +230,7 @@ def order_days(spark: SparkSession, base: str) -> tuple[date, date]:
 
 def synth_contract(spark: SparkSession, base: str) -> DataFrame:
     """Rows that break a rule of the synthesis, and sizes that the source tables fix."""
-    products = flatten_catalog(part_catalog_json(spark, base)).select(
+    products = part_products(spark, base).select(
         "category", "sub_category", "product_name", "product_id", F.lit(True).alias("_sold")
     )
     lines = synth_sales(spark, base).join(
@@ -264,14 +304,59 @@ def quality_json_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.text(path).select(F.explode(verdicts).alias("check_name", "passed"))
 
 
+# The star an earlier query of this application has saved, by application and folder.
+_saved_stars: dict[tuple, str] = {}
+
+
 def saved_star(spark: SparkSession, base: str) -> str:
-    """The star saved to one database for all queries, whose name is returned."""
-    path = scratch.new_path(spark, "warehouse")
+    """The star saved once to the database of the catalogue, whose name is returned."""
+    key = (spark.sparkContext.applicationId, base)
+    version = _saved_stars.get(key)
     warehouse.create_database(spark, CATALOGUE_DATABASE)
-    warehouse.save_star(full_star(spark, base), versions.new(path), CATALOGUE_DATABASE)
+    if version is None or not versions.is_complete(spark, version):
+        version = versions.new(scratch.new_path(spark, "warehouse"))
+        warehouse.save_star(full_star(spark, base), version, CATALOGUE_DATABASE)
+        _saved_stars[key] = version
+    else:
+        warehouse.attach_star(spark, version, CATALOGUE_DATABASE)
     return CATALOGUE_DATABASE
 
 
+def refused_star(spark: SparkSession, base: str) -> DataFrame:
+    """What the load step answers to lines whose keys repeat: the verdict, and no tables."""
+    database = f"{CATALOGUE_DATABASE}_refused"
+    warehouse.create_database(spark, database)
+    version = versions.new(scratch.new_path(spark, "refused"))
+    try:
+        batch.load_star(spark, stored_dirty(spark, base), version, database)
+    except batch.StarRefused as refusal:
+        return refusal.verdict
+    return spark.createDataFrame([], star.VERDICT)
+
+
+def batch_run(pick: Callable[[batch.BatchResult], DataFrame], again: bool = False) -> Query:
+    """The whole batch job: as many lines as events, sold from the parts to as many customers as there
+    are. With ``again`` it runs a second time over the lines it has stored."""
+
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        folder = scratch.new_path(spark, "job")
+        path = stored_catalog(spark, base)
+        first, last = order_days(spark, base)
+        rows, customers = (tpch.read(spark, base, t).count() for t in ("events", "customer"))
+        options = dict(
+            num_customers=customers,
+            build_star_schema=False,
+            database=f"{CATALOGUE_DATABASE}_job",
+            catalog_lines=True,
+        )
+        result = batch.run_batch(spark, path, folder, rows, first, last, **options)
+        if again:
+            result = batch.run_batch(spark, path, folder, 1, first, last, rebuild=False, **options)
+        return pick(result)
+
+    return query
+
+
 def stored_star_sql(spark: SparkSession, base: str) -> DataFrame:
     """The batch job's own load steps over stored silver: register, build, check, write, query."""
     folder = scratch.new_path(spark, "lake")
@@ -386,6 +471,10 @@ QUERIES: dict[str, Query] = {
     "summary_regional_dirty": on_dirty(summaries.regional_revenue),
     "quality_report": on_sales(quality_report),
     "quality_report_dirty": on_dirty(quality_report),
+    "quality_report_unread": lambda spark, base: quality_report(with_unread(spark, base)),
+    "quality_report_partial": partial_columns,
+    "unread_days": unread_days,
+    "summaries_partial": partial_summaries,
     "dim_customer": on_sales(star.dim_customer),
     "dim_product": on_sales(star.dim_product),
     "dim_location": on_sales(star.dim_location),
@@ -426,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "cube_region_dirty": on_cube(panels.revenue_by_region, dirty),
     "sample_rows": sample_rows,
     "catalog_flatten": catalog_flatten,
+    "catalog_nesting": catalog_nesting,
     "synth_sales": synth_sales,
     "synth_contract": synth_contract,
     "synth_rotation": synth_rotation,
@@ -438,6 +528,12 @@ QUERIES: dict[str, Query] = {
     "stored_panel_kpis": stored_panel(panels.kpis, **PERIOD),
     "stored_panel_cities": stored_panel(panels.cities, **PERIOD),
     "stored_panel_empty": stored_panel(panels.kpis, years=[], months=[1]),
+    "star_refused_dirty": refused_star,
+    "batch_regional": batch_run(lambda result: result.summaries["regional_revenue"]),
+    "batch_reuse_yearly": batch_run(lambda result: result.summaries["yearly"], again=True),
+    "batch_quality": batch_run(
+        lambda result: batch.quality_frame(result.sales.sparkSession, result.quality)
+    ),
     "dashboard_kpis": dashboard("kpis", **PERIOD),
     "dashboard_kpis_dirty": dashboard("kpis", dirty),
     "dashboard_empty": dashboard("kpis", years=[], months=[1]),

@@ -178,6 +178,23 @@ FROM (SELECT {keys}, count(*) AS n FROM {table} GROUP BY ALL)""")
     return " UNION ALL ".join(parts)
 
 
+def _repeated_keys() -> str:
+    parts = []
+    for table, keys in [
+        ("dim_customer", "customer_id"), ("dim_product", "product_id"), ("dim_location", "city, state, postal_code")
+    ]:
+        same = " AND ".join(f"d.{k} = s.{k}" for k in keys.split(", "))
+        value = "concat_ws('|', " + ", ".join(f"d.{k}" for k in keys.split(", ")) + ")"
+        complete = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+        parts.append(f"""
+SELECT '{table}' AS table_name, '{keys}' AS key_columns, {value} AS key_value, max(d.n) AS row_count,
+  count(*) AS line_count, min(s.row_id) AS first_row_id, max(s.row_id) AS last_row_id
+FROM (SELECT {keys}, count(*) AS n FROM {table} WHERE {complete} GROUP BY ALL HAVING count(*) > 1) d
+JOIN sales s ON {same}
+GROUP BY {value}""")
+    return " UNION ALL ".join(parts)
+
+
 _CHECKS = """,
 failed AS (
   SELECT
@@ -199,6 +216,9 @@ checks AS (
   FROM (UNPIVOT failed ON COLUMNS(*) INTO NAME check_name VALUE failed_rows))"""
 _QUALITY = f"{_CHECKS} SELECT * FROM checks"
 
+_AS_DAY = "try_strptime(order_date::VARCHAR, ['%Y-%m-%d', '%Y%m%d', '%Y/%m/%d', '%m/%d/%Y', '%b %-d %Y'])"
+_NOT_READ = f"(SELECT count(*) FROM raw WHERE order_date IS NOT NULL AND {_AS_DAY} IS NULL)"
+
 _SUMMARY_MEASURES = f"""{_REVENUE}, count(*) AS total_orders,
   count(DISTINCT customer_id) AS unique_customers"""
 
@@ -329,6 +349,13 @@ SELECT row_id, 'US-' || year(order_date) || '-' || (100000 + {_draw("order", 3,
     ELSE 0 END::DOUBLE AS discount
 FROM named"""
 
+# The same lines as the batch job makes them, numbered from 1, cleaned and enriched.
+_JOB = f"""WITH sales AS (
+  SELECT *, year(order_date)::INTEGER AS order_year, month(order_date)::INTEGER AS order_month,
+    round_even(price * quantity * (1 - discount), 2) AS revenue
+  FROM ({_SYNTHETIC.replace("(event_id + 1)", "event_id").replace("event_id + 1 AS", "event_id AS").replace(
+      "FROM events, sizes", "FROM (SELECT row_number() OVER () AS event_id FROM events), sizes")}))"""
+
 _NULLS_LEFT = " + ".join(
     f"count(*) FILTER (WHERE {c} IS NULL)"
     for c in (
@@ -367,6 +394,21 @@ WHERE segment IS NOT NULL AND order_year IS NOT NULL GROUP BY ALL""",
     "summary_regional_dirty": _DIRTY + _REGIONAL,
     "quality_report": _CLEAN + _QUALITY,
     "quality_report_dirty": _DIRTY + _QUALITY,
+    "quality_report_unread": _DIRTY + _QUALITY.replace(
+        "AS order_date_not_null,", f"AS order_date_not_null, {_NOT_READ} AS order_date_readable,"
+    ),
+    "quality_report_partial": f"""{_DIRTY}{_CHECKS}
+SELECT check_name, failed_rows, passed FROM checks
+WHERE check_name IN ('order_id_not_null', 'customer_id_not_null', 'price_not_null', 'sales_positive', 'quantity_in_range')
+UNION ALL
+SELECT 'overall_success', count(*) FILTER (WHERE NOT passed), bool_and(passed) FROM checks
+WHERE check_name IN ('order_id_not_null', 'customer_id_not_null', 'price_not_null', 'sales_positive', 'quantity_in_range')""",
+    "unread_days": f"""{_DIRTY}
+SELECT order_id, product_id, order_date AS order_date_unread FROM raw
+WHERE order_date IS NOT NULL AND {_AS_DAY} IS NULL""",
+    "summaries_partial": f"""{_CLEAN}
+SELECT 'yearly' AS summary, count(DISTINCT order_year) AS "rows" FROM sales
+UNION ALL SELECT 'top_products', count(*) FROM ({_TOP_PER_CATEGORY})""",
     "dim_customer": f"{_CLEAN}{_DIMENSIONS} SELECT * FROM dim_customer",
     "dim_product": f"{_CLEAN}{_DIMENSIONS} SELECT * FROM dim_product",
     "dim_location": f"{_CLEAN}{_DIMENSIONS} SELECT * FROM dim_location",
@@ -420,6 +462,13 @@ FROM ({_TOP_PRODUCTS})""",
 SELECT p_type AS category, p_brand AS sub_category, p_name AS product_name,
   p_retailprice AS price, {_PRODUCT_ID} AS product_id
 FROM part""",
+    "catalog_nesting": """
+SELECT categories, sub_categories, products, count(*) AS documents
+FROM (
+  SELECT count(DISTINCT p_type)::INTEGER AS categories,
+    count(DISTINCT p_type || '|' || p_brand)::INTEGER AS sub_categories, count(*)::INTEGER AS products
+  FROM part GROUP BY p_partkey // 500)
+GROUP BY ALL""",
     "synth_sales": _SYNTHETIC,
     "synth_contract": """
 SELECT (SELECT count(*) FROM events) AS "rows",
@@ -456,6 +505,10 @@ GROUP BY ALL""",
     "stored_panel_kpis": _CLEAN + _kpis(_PERIOD),
     "stored_panel_cities": f"{_CLEAN} {_CITIES.replace(_DATED, _PERIOD)}",
     "stored_panel_empty": _CLEAN + _kpis("(SELECT * FROM sales WHERE false)"),
+    "star_refused_dirty": _STAR_DIRTY + _repeated_keys(),
+    "batch_regional": f"{_JOB} {_REGIONAL}",
+    "batch_reuse_yearly": f"{_JOB} {_YEARLY}",
+    "batch_quality": f"{_JOB}{_CHECKS} SELECT check_name, passed FROM checks",
     "dashboard_kpis": _CLEAN + _kpis(_PERIOD),
     "dashboard_kpis_dirty": _DIRTY + _kpis(_DATED),
     "dashboard_empty": _CLEAN + _kpis("(SELECT * FROM sales WHERE false)"),

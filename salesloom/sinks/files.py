@@ -1,6 +1,10 @@
-"""Writers. Bronze and silver are new versions of their table each time."""
+"""Writers. Bronze, silver and a run's set of reports are new versions each time."""
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom import versions
@@ -57,3 +61,38 @@ def write_quality(report: DataFrame, path: str) -> None:
         F.collect_list(F.struct(F.col("check_name"), F.col("passed")))
     )
     report.agg(F.to_json(checks).alias("value")).write.mode("overwrite").text(path)
+
+
+MANIFEST = "manifest"
+
+
+class AnotherWriter(RuntimeError):
+    """A set of reports was finished while this one was being written."""
+
+
+@contextmanager
+def report_set(spark: SparkSession, path: str, made_of: dict[str, str]) -> Iterator[str]:
+    """A folder for the small outputs of one run, which count together or not at all.
+
+    The manifest is written when the block has ended without an error. It names the files of the run
+    and what they were ``made_of``, and then the set counts. A run that finds another one finished
+    since it began leaves that one in place and raises :class:`AnotherWriter`.
+    """
+    before = versions.current(spark, path)
+    folder = versions.new(path)
+    yield folder
+    if versions.current(spark, path) != before:
+        raise AnotherWriter(f"{path}: another run has finished since this one began")
+    names = versions.names_in(spark, folder)
+    line = json.dumps({"folder": folder, "files": names, **made_of})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{folder}/{MANIFEST}")
+    versions.finish(spark, folder)
+    versions.prune(spark, path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The manifest of the newest finished set of reports, or None."""
+    folder = versions.current(spark, path)
+    if folder is None:
+        return None
+    return json.loads(spark.read.text(f"{folder}/{MANIFEST}").first()[0])

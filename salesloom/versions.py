@@ -38,13 +38,14 @@ def finish(spark: SparkSession, version: str) -> None:
     fs.create(mark, True).close()
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    folder, fs = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def complete(spark: SparkSession, path: str) -> list[str]:
     """Versions that count, the newest first."""
-    folder, fs = _path(spark, path)
-    if not fs.exists(folder):
-        return []
-    names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
-    found = (f"{path.rstrip('/')}/{n}" for n in names if n.startswith("v-"))
+    found = (f"{path.rstrip('/')}/{n}" for n in names_in(spark, path)[::-1] if n.startswith("v-"))
     return [v for v in found if is_complete(spark, v)]
 
 
@@ -63,9 +64,8 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 def prune_groups(spark: SparkSession, path: str, keep: int) -> None:
     """Delete all but the newest ``keep`` folders of versions, each of which bears a version's name."""
-    folder, fs = _path(spark, path)
-    names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
-    for name in [n for n in names if n.startswith("v-")][keep:]:
+    names = [n for n in names_in(spark, path)[::-1] if n.startswith("v-")]
+    for name in names[keep:]:
         _delete(spark, f"{path.rstrip('/')}/{name}")
 
 
@@ -76,9 +76,7 @@ def prune(spark: SparkSession, path: str, keep: int = 2) -> None:
     for version in found[keep:]:
         _delete(spark, version)
     if found:
-        folder, fs = _path(spark, path)
-        names = [s.getPath().getName() for s in fs.listStatus(folder)]
-        for name in names:
+        for name in names_in(spark, path):
             version = f"{path.rstrip('/')}/{name}"
             if name.startswith("v-") and name < name_of(found[0]) and not is_complete(spark, version):
                 _delete(spark, version)

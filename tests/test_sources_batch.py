@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from salesloom import scratch, versions
 from salesloom.functions import customer_id, money_sum, round2, to_day
 from salesloom.operators import panels
-from salesloom.plans.batch import attach, run_batch, validate
+from salesloom.operators.clean import transform, unread_lines
+from salesloom.operators.quality import quality_report
+from salesloom.plans.batch import attach, read_reports, run_batch, validate
 from salesloom.plans.dashboard import cube_folder, open_dashboard
 from salesloom.schemas import SALES, STAR, SUMMARIES
 from salesloom.sinks import files, warehouse
-from salesloom.sources.catalog import read_catalog
+from salesloom.sources.catalog import flatten_catalog, nest_catalog, read_catalog
 from salesloom.sources.files import read_sales, read_summary
 from salesloom.sources.synthetic import (
     CITIES,
@@ -64,6 +66,25 @@ def test_customer_id(spark, name, start):
     assert df.select(customer_id(F.col("name"), F.lit(12345))).first()[0] == f"{start}12345"
 
 
+def test_documents_nest_and_flatten_again(spark, tmp_path):
+    rows = [(f"c{i % 3}", f"s{i % 5}", f"n{i}", i / 4, f"id{i}") for i in range(40)] + [("c0", "s0", "n0", 0.0, "id0")]
+    products = spark.createDataFrame(rows, "category string, sub_category string, product_name string, price double, product_id string")
+    documents = nest_catalog(products, F.length("product_id"))
+    assert documents.count() == 2
+    path = str(tmp_path / "lines")
+    documents.write.text(path)
+    for found in (flatten_catalog(documents), read_catalog(spark, path, lines=True)):
+        assert sorted(map(tuple, found.collect())) == sorted(rows)
+
+
+def test_unread_days_are_kept(spark):
+    rows = [(1, "2024-01-02"), (2, "soon"), (3, None), (4, "20240103")]
+    found = transform(spark.createDataFrame(rows, "row_id int, order_date string"), keep_unread=True)
+    assert [(r.row_id, r.order_date_unread) for r in unread_lines(found).collect()] == [(2, "soon")]
+    report = {r.check_name: r.failed_rows for r in quality_report(found).collect()}
+    assert (report["order_date_readable"], report["order_date_not_null"]) == (1, 2)
+
+
 def test_days_in_other_formats(spark):
     texts = "2024-02-29 20240229 2024/02/29 2024/2/29 02/29/2024|Feb 29 2024|Feb 29, 2024|29 Feb 2024"
     head, *tail = texts.split("|")
@@ -174,17 +195,49 @@ def test_batch_outputs(spark, batch):
     assert result.sales.count() == 3000
     assert result.sales.columns == SALES.fieldNames()
     assert len(result.quality) == 9 and all(result.quality.values())
-    stored = spark.read.text(f"{folder}/quality_report.json").first()[0]
+    stored = spark.read.text(f"{result.reports}/quality_report.json").first()[0]
     assert json.loads(stored) == result.quality
     for name, table in result.summaries.items():
-        read_back = read_summary(spark, f"{folder}/{name}.csv", SUMMARIES[name])
+        read_back = read_summary(spark, f"{result.reports}/{name}.csv", SUMMARIES[name])
         assert sorted(read_back.collect()) == sorted(table.collect())
-    sample = spark.read.schema(SALES).option("header", True).csv(f"{folder}/sample_data.csv")
+    sample = spark.read.schema(SALES).option("header", True).csv(f"{result.reports}/sample_data.csv")
     assert sorted(r.row_id for r in sample.collect()) == list(range(1, 51))
     # Leading zeros survive the CSV.
     assert sample.where("city = 'Boston'").where("postal_code NOT LIKE '021__'").isEmpty()
 
 
+def test_reports_of_one_run_count_together(spark, batch, catalog_path, tmp_path, monkeypatch):
+    """A run that dies between two of its outputs leaves the set of the run before it, or none."""
+    folder, options = str(tmp_path), dict(build_star_schema=False, database="batch_reports")
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "write_quality", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            run_batch(spark, catalog_path, folder, 60, START, END, **options)
+        assert read_reports(spark, folder) is None
+    run_batch(spark, catalog_path, folder, 70, START, END, **options)
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "write_quality", lambda *_: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError, match="killed"):
+            run_batch(spark, catalog_path, folder, 80, START, END, **options)
+    found = read_reports(spark, folder)
+    assert found["sales"].count() == 70
+    assert found["yearly"].first().total_orders == 70
+    assert found["sample_data"].count() == 50 and found["quality_report"].count() == 9
+    # What the killed runs left is gone with the next one that ends.
+    run_batch(spark, catalog_path, folder, 90, START, END, **options)
+    assert len(os.listdir(f"{folder}/reports")) == 2
+    assert read_reports(spark, folder)["yearly"].first().total_orders == 90
+
+
+def test_second_writer_is_noticed(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    with pytest.raises(files.AnotherWriter):
+        with files.report_set(spark, path, {"silver": "a"}):
+            with files.report_set(spark, path, {"silver": "b"}):
+                pass
+    assert files.read_manifest(spark, path)["silver"] == "b"
+
+
 def test_batch_star(batch, spark):
     _, result = batch
     if result.star_error:
@@ -263,6 +316,10 @@ def test_failed_star_leaves_sales(spark, batch, tmp_path, catalog_path):
     )
     assert result.star is None
     assert "dim_customer (customer_id): 1 repeated keys" in result.star_error
+    refused = result.refused.collect()
+    assert [(r.table_name, r.key_columns, r.row_count) for r in refused] == [("dim_customer", "customer_id", 2)]
+    assert refused[0].line_count == bronze.where(F.col("customer_id") == refused[0].key_value).count()
+    assert refused[0].first_row_id == 1
     assert [t.name for t in spark.catalog.listTables("batch_broken")] == ["sales"]
     assert warehouse.list_tables(spark, "batch_broken").count() == 0
 
@@ -353,8 +410,12 @@ def test_failed_star_write_serves_no_mixed_star(spark, catalog_path, tmp_path, m
     run_batch(spark, catalog_path, folder, 200, START, END, database="mixed")
     assert {*STAR} <= set(attach(spark, folder, "mixed"))
 
+    finish = versions.finish
+
     def fail(spark, version):
-        raise OSError("disk full")
+        if "/warehouse/" in version:
+            raise OSError("disk full")
+        finish(spark, version)
 
     monkeypatch.setattr("salesloom.versions.finish", fail)
     second = run_batch(spark, catalog_path, folder, 100, START, END, seed=7, database="mixed")
