@@ -15,7 +15,11 @@ _POSITION_BITS = 33
 
 
 def with_surrogate_key(
-    df: DataFrame, order: Sequence[Column], out: str, drop: Sequence[str] = ()
+    df: DataFrame,
+    order: Sequence[Column],
+    out: str,
+    drop: Sequence[str] = (),
+    named: Sequence[str] | None = None,
 ) -> DataFrame:
     """Number the rows 1..n in the given order, as a global ``row_number`` would.
 
@@ -25,15 +29,14 @@ def with_surrogate_key(
     range bounds are sampled, so a second evaluation could cut elsewhere.
 
     ``order`` must make rows unique, or leave ties only between rows whose order is of no interest.
-    Columns in ``drop`` serve the ordering only and are left out of the result.
+    Columns in ``drop`` serve the ordering only and are left out of the result. ``named`` are SQL
+    expressions of the result's columns, in place of those of ``df``; they are computed once the rows
+    are sorted, so what is sampled and shuffled is their input.
     """
     slot = F.col("_slot")
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_slot", F.monotonically_increasing_id())
-        .drop(*drop)
-    )
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = placed.drop(*drop) if named is None else placed.selectExpr(*named)
+    placed = placed.withColumn("_slot", F.monotonically_increasing_id())
     written = scratch.materialize(placed, out)
     part = F.shiftright(slot, _POSITION_BITS)
     position = slot.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))

@@ -151,10 +151,14 @@ def _line_order() -> list:
 
 
 def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
-    """Lines are joined once; the joined rows are sorted, numbered and written in one go."""
+    """Lines are joined once; the joined rows are sorted, numbered and written in one go.
+
+    Texts made of numbers are made after the sort, so the numbers travel.
+    """
     lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
-    wide = _joined(spark, base, lines).selectExpr(*_named(columns), *LINE_ORDER, "_line")
-    return with_surrogate_key(wide, _line_order(), "row_id", drop=[*LINE_ORDER, "_line"])
+    return with_surrogate_key(
+        _joined(spark, base, lines), _line_order(), "row_id", named=_named(columns)
+    )
 
 
 def numbered_sales(spark: SparkSession, base: str) -> DataFrame:
