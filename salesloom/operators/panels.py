@@ -200,3 +200,27 @@ def display_table(panel: DataFrame) -> DataFrame:
             for c in panel.columns
         ]
     )
+
+
+# Panels that a cube answers as well, and panels that need the lines.
+CUBE_PANELS = {
+    "revenue_by_month": revenue_by_month,
+    "orders_by_month": orders_by_month,
+    "segment_by_month": segment_by_month,
+    "category_by_month": category_by_month,
+    "region": revenue_by_region,
+}
+LINE_PANELS = {
+    "kpis": kpis,
+    "top_customers": top_customers,
+    "cities": cities,
+    "top_products": top_products,
+}
+
+
+def panels(selection: DataFrame, cube: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Key figures and all panels of one selection, each lazy; a stored cube serves five of them."""
+    monthly = selection if cube is None else cube
+    return {name: panel(selection) for name, panel in LINE_PANELS.items()} | {
+        name: panel(monthly) for name, panel in CUBE_PANELS.items()
+    }
