@@ -8,6 +8,8 @@ decides nothing alone.
 """
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 from html import unescape
 from math import comb
 from typing import NamedTuple
@@ -61,27 +63,82 @@ PLACE = (
     r"(?:site|page|post|main|global|primary|secondary|top|bottom|left|right|upper|lower|sticky|fixed|float"
     r"|mobile|desktop|google|author|user|area|bar|block|body|box|button|buttons|card|cards|code|container"
     r"|content|dialog|field|form|group|holder|icons|inner|item|items|label|link|links|list|message|network"
-    r"|outer|panel|posts|articles|stories|region|row|section|slot|space|text|thread|title|toggle|top|unit|wrap|wrapper|[0-9]+)"
+    r"|outer|panel|posts|articles|stories|region|row|section|slot|space|text|thread|title|toggle|unit|wrap|wrapper|[0-9]+)"
 )
 
 
 def _named(names: str) -> re.Pattern:
-    return re.compile(rf"(?:^|\s)(?:{PLACE}-)*{names}[0-9]*(?:-(?:{names}|{PLACE}))*(?=\s|$)")
+    # What follows a name is read in one way only, else long names would be tried in very many.
+    return re.compile(rf"(?:^|\s)(?:{PLACE}-)*{names}[0-9]*(?:-(?:{names}|{PLACE})(?=[-\s]|$))*+(?=\s|$)")
 
 
 ASIDE_NAMED, OUTER_NAMED = _named(ASIDE_NAME), _named(OUTER_NAME)
 NAMED = re.compile(r"""(?i)(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 NOT_SHOWN = re.compile(r"""(?i)\shidden(?=[\s=/>])|aria-hidden\s*=\s*["']?true|display\s*:\s*none""")
-MARKUP = re.compile(
-    r"(?is)<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>"
-    rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</(?P=hidden)\s*>|\Z))"
-    r"|<title\b[^>]*>[^<]*(?:</title\s*>)?"
-    r"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-)
+# Possessive throughout, so that no position is tried twice. A quote counts after an equals sign only,
+# and only if it is closed.
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)")
+TAG_REST = re.compile(r"""(?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>""")
+CLOSED = {name: re.compile(rf"(?i)</{name}\s*+>") for name in [*HIDDEN, "title"]}
 WORD = re.compile(r"[^\W\d_]+")
 NOTICE = re.compile(r"(?i)^\W*(?:©|\(c\)|copyright\b)|\ball rights reserved\b")
 
 
+class Tag(NamedTuple):
+    start: int
+    stop: int
+    name: str = ""  # empty for what is not shown: comments, declarations, titles, hidden elements
+    closes: bool = False
+    attributes: str = ""
+
+
+def markup(page: str) -> Iterator[Tag]:
+    """Markup in page order, found in one pass that never goes back.
+
+    A comment or a hidden element that nothing closes, and a tag without any ``>`` after it, reach to
+    the page's end. Where quotes hide every ``>``, tags end at the first one from there on.
+    """
+    at, quotes, cdata = 0, True, True
+    while (start := page.find("<", at)) >= 0:
+        at = start + 1
+        if page.startswith("<!--", start):
+            at = page.find("-->", start + 4) + 3
+            at = at if at > 2 else len(page)
+            yield Tag(start, at)
+            continue
+        if page.startswith(("<!", "<?"), start):
+            stop = page.find("]]>", start + 9) if cdata and page[start : start + 9].upper() == "<![CDATA[" else -2
+            cdata = cdata and stop != -1
+            at = stop + 3 if stop >= 0 else page.find(">", start + 2) + 1
+            at = at or len(page)
+            yield Tag(start, at)
+            continue
+        named = TAG_NAME.match(page, start)
+        if not named:
+            continue
+        rest = TAG_REST.match(page, named.end()) if quotes else None
+        if rest:
+            at = rest.end()
+        else:
+            quotes = False
+            at = page.find(">", named.end()) + 1
+            if not at:
+                yield Tag(start, len(page))
+                return
+        closes, name, attributes = bool(named[1]), named[2].lower(), page[named.end() : at - 1]
+        if not closes and name == "title":
+            stop = page.find("<", at)
+            closed = CLOSED[name].match(page, stop) if stop >= 0 else None
+            at = closed.end() if closed else stop if stop >= 0 else len(page)
+            name = ""
+        elif not closes and name in CLOSED:
+            if not attributes.endswith("/"):
+                closed = CLOSED[name].search(page, at)
+                at = closed.end() if closed else len(page)
+            name = ""
+        yield Tag(start, at, name, closes, attributes)
+
+
 class Block(NamedTuple):
     text: str
     linked: int  # characters inside links
@@ -96,6 +153,7 @@ class _Element(NamedTuple):
     named: int  # number of the outermost element around it that a name sets aside, or 0
     main: int
     number: int
+    holder: int  # number of the innermost element around its text that is no leaf
 
 
 def blocks_of(page: str, enough: int = 200) -> list[Block]:
@@ -107,9 +165,10 @@ def blocks_of(page: str, enough: int = 200) -> list[Block]:
     out: list[tuple[Block, int]] = []
     parts: list[tuple[str, bool]] = []
     stack: list[_Element] = []
+    opened: Counter = Counter()  # elements on the stack by name
     holders: set[int] = set()  # elements set aside by name that hold an article
     in_link, heading, breaks, articles, elements, lost = False, False, 0, 0, 0, 0
-    outside = _Element("", False, 0, 0, 0)
+    outside = _Element("", False, 0, 0, 0, 0)
 
     def flush() -> None:
         nonlocal in_link, breaks, lost
@@ -119,11 +178,15 @@ def blocks_of(page: str, enough: int = 200) -> list[Block]:
             lost += len(text)
         elif text:
             linked = sum(len("".join(t.split())) for t, link in parts if link)
-            holder = next((e.number for e in reversed(stack) if e.name not in LEAF), 0)
-            out.append((Block(text, linked, heading, top.main, holder), top.named))
+            out.append((Block(text, linked, heading, top.main, top.holder), top.named))
         parts.clear()
         in_link, breaks = False, 0
 
+    def leave() -> str:
+        name = stack.pop().name
+        opened[name] -= 1
+        return name
+
     def say(raw: str) -> None:
         nonlocal breaks
         if raw:
@@ -132,41 +195,42 @@ def blocks_of(page: str, enough: int = 200) -> list[Block]:
                 breaks = 0
 
     at = 0
-    for m in MARKUP.finditer(page):
-        say(page[at : m.start()])
-        at = m.end()
-        name = (m["name"] or "").lower()
+    for tag in markup(page):
+        say(page[at : tag.start])
+        at, name = tag.stop, tag.name
         if name == "br":
             parts.append((" ", in_link))
             breaks += 1
             if breaks > 1:
                 flush()
         elif name == "a":
-            in_link = not m["end"]
+            in_link = not tag.closes
         elif name in BLOCK:
             flush()
-            if m["end"]:
-                names = [e.name for e in stack]
-                if name in names:
-                    del stack[len(names) - 1 - names[::-1].index(name) :]
+            if tag.closes:
+                if opened[name]:
+                    while leave() != name:
+                        pass
                 heading = False
                 continue
             while stack and (stack[-1].name == "p" or stack[-1].name in ENDS_ITSELF.get(name, ())):
-                stack.pop()
+                leave()
             heading = len(name) == 2 and name[0] == "h" and name[1].isdigit()
             if name in VOID:
                 continue
-            _, aside, named, main, _ = stack[-1] if stack else outside
-            aside = aside or _set_aside(name, m["rest"], main)
+            _, aside, named, main, _, holder = stack[-1] if stack else outside
+            aside = aside or _set_aside(name, tag.attributes, main)
             elements += 1
             if name in MAIN and not aside and not main:
                 articles += 1
                 main = articles
                 holders.add(named)
                 named = 0
-            elif not named and _named_aside(name, m["rest"], main):
+            elif not named and _named_aside(name, tag.attributes, main):
                 named = elements
-            stack.append(_Element(name, aside, named, main, elements))
+            holder = holder if name in LEAF else elements
+            stack.append(_Element(name, aside, named, main, elements, holder))
+            opened[name] += 1
     say(page[at:])
     flush()
     sizes: dict[int, int] = {}
@@ -325,8 +389,11 @@ def main_text(page: str | None, rules: Rules = Rules()) -> str:
         size[b.main] = size.get(b.main, 0) + (len(b.text) if _links(b) <= rules.most_links else 0)
     total = sum(good.values())
     vouched = {m for m in size if m and size[m] and size[m] >= rules.article_share * (total - good[m])}
-    for m in vouched:
-        at = [i for i, b in enumerate(blocks) if b.main == m]
+    places: dict[int, list[int]] = {m: [] for m in vouched}
+    for i, b in enumerate(blocks):
+        if b.main in vouched:
+            places[b.main].append(i)
+    for at in places.values():
         for i, label in zip(at, classify_article([blocks[i] for i in at], rules)):
             labels[i] = label
     regions = [b.main if b.main in vouched else 0 for b in blocks]
