@@ -6,13 +6,14 @@ Control strings mark turns; the escaping keeps them from ever occurring inside a
 undone, so the formatted text can be read back.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
 # What opens a control string of this template or of a usual one, up to its second character. Every
 # run of backslashes in that place grows by one, so a text never holds such a string itself.
 _OPEN, _REST = r"(<|\[)", r"(?=\||/?s>|/?INST\]|/?SYS>)"
+READ_BLOCK = 256
 PARTS = "array<struct<type:string,text:string,ref:string,tokens:bigint>>"
 
 
@@ -102,22 +103,23 @@ def format_conversations(
         F.coalesce(F.col(role_col), F.lit("")).alias("role"),
         flatten_parts(F.col(parts_col), tokens=tokens).alias("f"),
     )
-    turn = F.struct("turn", "role", F.col("f.text").alias("text"), F.col("f.attachments").alias("attachments"), F.col("f.expanded_tokens").alias("n"))
-    turns = flat.groupBy("id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    # Starts come from one running sum over the turns in order, not from growing arrays.
+    parts = flat.select("id", "turn", "role", "f.text", "f.attachments", F.col("f.expanded_tokens").alias("n"))
+    order = ["turn", "role", "text", "attachments", "n"]
+    head = F.length(escape(F.col("role"))) + len(TURN) + len(BODY)
+    so_far = Window.partitionBy("id").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done = F.sum(head + F.length("text") + len(END)).over(so_far)
+    placed = parts.withColumn("start", (done - len(END) - F.length("text")).cast("int"))
+    turn = F.struct(*order, "start")
+    turns = placed.groupBy("id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
 
     def shown(t: Column) -> Column:
         return F.concat(F.lit(TURN), escape(t["role"]), F.lit(BODY), t["text"], F.lit(END))
 
-    def spans(a: Column, t: Column) -> Column:
-        head = F.length(escape(t["role"])) + len(TURN) + len(BODY)
-        size = F.length(t["text"])
-        span = F.struct((a["at"] + head).alias("start"), size.alias("length"))
-        return F.struct(
-            (a["at"] + head + size + len(END)).alias("at"),
-            F.when(t["role"] == learn_role, F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"),
-        )
+    def span(t: Column) -> Column:
+        return F.struct(t["start"].alias("start"), F.length(t["text"]).alias("length"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
+    learnt = F.filter("turns", lambda t: t["role"] == learn_role)
     held = F.flatten(
         F.transform(
             "turns",
@@ -130,7 +132,7 @@ def format_conversations(
     return turns.select(
         F.col("id").alias(id_col),
         F.array_join(F.transform("turns", shown), "").alias("formatted"),
-        F.aggregate("turns", zero, spans)["spans"].alias("loss_spans"),
+        F.transform(learnt, span).alias("loss_spans"),
         held.alias("attachments"),
         F.aggregate("turns", F.lit(0).cast("bigint"), lambda a, t: a + t["n"]).alias("expanded_tokens"),
     )
@@ -150,5 +152,17 @@ def read_turns(formatted: Column) -> Column:
 
 def read_loss(formatted: Column, spans: Column) -> Column:
     """All text under the mask, unescaped, one span after the other."""
-    texts = F.transform(spans, lambda s: unescape(F.substring(formatted, s["start"] + 1, s["length"])))
-    return F.array_join(texts, "")
+    # A substring counts from the text's start, so the text is cut into blocks once. The outer list of
+    # one binds the blocks, which would else be cut for each span.
+    blocks = F.regexp_extract_all(formatted, F.lit(rf"(?s).{{1,{READ_BLOCK}}}"), F.lit(0))
+
+    def texts(b: Column) -> Column:
+        def cut(s: Column) -> Column:
+            first = F.floor(s["start"] / READ_BLOCK).cast("int")
+            skip = s["start"] - first * READ_BLOCK
+            count = F.floor((skip + s["length"]) / READ_BLOCK).cast("int") + 1
+            return unescape(F.substring(F.array_join(F.slice(b, first + 1, count), ""), skip + 1, s["length"]))
+
+        return F.array_join(F.transform(spans, cut), "")
+
+    return F.transform(F.array(blocks), texts)[0]
