@@ -29,7 +29,8 @@ def path_of(url: Column) -> Column:
 
 def address(url: Column) -> Column:
     """Host, path and query of a URL: what is left without scheme and fragment; null without host."""
-    query = F.regexp_extract(url, r"://[^/?#]*[^?#]*(\?[^#]*)", 1)
+    # Atomic and possessive: a long address without a query is read once.
+    query = F.regexp_extract(url, r"^(?>(?s:.*?)://)[^?#]*+(\?[^#]*)", 1)
     return F.when(host_of(url) != "", F.concat(host_of(url), path_of(url), query))
 
 
@@ -42,12 +43,15 @@ def plain_address(node: Column) -> Column:
 
 
 def page_links(url: Column, html: Column) -> Column:
-    """Addresses that a page names as its own: canonical links and redirects by refresh."""
-    shown = F.regexp_replace(html, r"(?is)<!--.*?-->|<script\b.*?</script\s*>", "")
-    tags = F.regexp_extract_all(shown, F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
+    """Addresses that a page names as its own: canonical links and redirects by refresh.
+
+    A comment, script or tag that nothing closes reaches to the page's end.
+    """
+    shown = F.regexp_replace(html, r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)", "")
+    tags = F.regexp_extract_all(shown, F.lit(r"(?is)<(?:link|meta)\b[^>]*(?:>|\z)"), F.lit(0))
 
     def target(tag: Column) -> Column:
-        canonical = tag.rlike(r"(?is)\brel\s*=\s*[\"']?[^\"'>]*\bcanonical\b")
+        canonical = tag.rlike(r"(?is)\brel\s*=\s*[\"']?[^\"'=>]*\bcanonical\b")
         refresh = tag.rlike(r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b")
         href = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", 0)
         href = F.regexp_replace(href, r"(?is)^href\s*=\s*[\"']?|[\"']$", "")
@@ -70,11 +74,16 @@ def match_rules(places: DataFrame, rules: DataFrame) -> DataFrame:
 
     A rule fits its host and all subdomains where the path starts with the rule's. The longest rule
     wins; of equally long ones an allow, then the first by name. Hosts meet rules by equality with
-    one of the host's suffixes.
+    one of the host's suffixes, of which as many are built as the longest rule's host has labels.
     """
-    labels = F.split("host", r"\.")
+
+    def labels(host: str) -> Column:
+        return F.size(F.split(host, r"\."))
+
+    most = rules.agg(F.max(labels("host"))).first()[0] or 1
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+        F.sequence(F.lit(1), F.least(labels("host"), F.lit(most))),
+        lambda i: F.call_function("substring_index", "host", F.lit("."), -i),
     )
     asked = places.select("host", "path").distinct().select("host", "path", F.explode(suffixes).alias("suffix"))
     listed = rules.select(

@@ -1,6 +1,7 @@
 """Operators on vectors, pages and conversations, and the registered queries."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -164,6 +165,40 @@ def test_names_set_aside_as_roles_only():
     assert html.main_text(f"<article><h2 id='search'>Search</h2><p>{LONG}</p></article>") == f"Search\n{WHOLE}"
 
 
+@pytest.mark.parametrize(
+    "unit",
+    ["<script ", "<a ", '<a href="', "<a x='>", "<a b=\"'>", "<!", "<!--", "<![CDATA[", "<p =", "</script ", "<title", "<meta "],
+)
+def test_unclosed_markup_is_read_once(unit):
+    start = time.time()
+    assert html.main_text(unit * (1_000_000 // len(unit))) == ""
+    assert time.time() - start < 2
+
+
+def test_deep_pages_are_read_once():
+    start = time.time()
+    for page in ("<div>" * 20000 + "</p>" * 20000, "<h1>x" * 20000, "<article>x</article>" * 10000):
+        html.main_text(page)
+    html.main_text('<div class="' + "top-" * 5000 + 'z">x</div><p class="ad' + "-comment-list" * 5000 + '-z">y')
+    assert time.time() - start < 20
+
+
+def test_scanner_on_odd_tags():
+    text = f"<p>{LONG}</p>"
+    for page in (
+        f"<div title='a > b'>{text}</div>",
+        f'<div title="5" tall">{text}</div>',
+        f"<div title=it's>{text}</div>",
+        f"<!-- {ADVERT} --><![CDATA[ <p>{ADVERT} ]]>{text}<!-- open {ADVERT}",
+        f"{text}<svg/><script src=x>{ADVERT}</SCRIPT >",
+        f"{text}<div class='never closed",
+    ):
+        assert html.main_text(page) == WHOLE
+    assert html.main_text(f'<p>2 < 3 and 4 <5. {LONG}<a href="x>') == f"2 < 3 and 4 <5. {WHOLE}"
+    tags = [(t.name, t.closes, t.attributes) for t in html.markup("<P A=1></p ><br/><title>x</title><x-y z>")]
+    assert tags == [("p", False, " A=1"), ("p", True, " "), ("br", False, "/"), ("", False, ""), ("x-y", False, " z")]
+
+
 def test_second_pass_inherits():
     good, bad, near, short = html.GOOD, html.BAD, html.NEAR, html.SHORT
     assert html.settle([good, short, good, short, bad, near, bad], [1] * 7) == [True, True, True, False, False, False, False]
@@ -205,6 +240,17 @@ def test_typed_parts_become_placeholders(spark):
     assert row.expanded_tokens == 256 + 7 + 1 + 3
 
 
+def test_long_conversations_and_texts(spark):
+    turns = [(1, i, ("user", "assistant")[i % 2], f"é<|end|>{i}" * (1 + i % 3)) for i in range(16000)]
+    turns += [(2, 0, "user", "x" * 255 + "<|" * 300_000), (2, 1, "assistant", "y<|end|>é" * 100_000), (3, 0, "assistant", "")]
+    df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    start = time.time()
+    done = chat.format_conversations(df.withColumn("parts", chat.text_parts(F.col("text"))))
+    got = {r.conv_id: r.l for r in done.select("conv_id", chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("l")).collect()}
+    assert time.time() - start < 15
+    assert got == {c: "".join(t[3] for t in turns if t[0] == c and t[2] == "assistant") for c in (1, 2, 3)}
+
+
 def test_chat_stays_native(spark):
     assert "Python" not in QUERIES["op9_chat"](spark, BASE)._jdf.queryExecution().toString()
 
@@ -249,6 +295,17 @@ def test_url_decisions_reach_aliases(spark):
     assert {r.verdict for r in urls.judge(pages, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_long_hosts_and_unclosed_tags(spark):
+    host = "a." * 50_000 + "example.com"
+    odd = [u * 40_000 for u in ("<script ", "<link ", "<meta rel=", "<!-- ", "<link rel=")]
+    rows = [(1, f"http://{host}/en/", ""), *((i, "http://x.net/es/", h) for i, h in enumerate(odd, 2))]
+    rules = spark.createDataFrame([("example.com", "/en/", "block"), ("net", "/es/", "block")], "host string, path string, verdict string")
+    start = time.time()
+    got = urls.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string"), rules).collect()
+    assert time.time() - start < 20
+    assert [(r.rule, r.verdict) for r in sorted(got)] == [("example.com/en/", "block"), *[("net/es/", "block")] * 5]
+
+
 def test_pipeline_keeps_what_it_should(spark):
     import corpus_pipeline
 
