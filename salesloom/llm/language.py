@@ -194,7 +194,7 @@ def fit(
 
     Learns from a bounded sample: about ``docs_per_language`` rows of each language, chosen by a
     hash of the text, and ``windows_per_doc`` windows of each at most, spread over the whole text.
-    Only these windows reach the driver.
+    Only these windows reach the driver, copies of a text with one label once.
     """
     small_batches(docs.sparkSession)
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
@@ -218,9 +218,8 @@ def fit(
                     out += [(lang, w.tobytes()) for w in windows[::step]]
             yield pd.DataFrame(out, columns=["lang", "piece"])
 
-    found = (
-        known.where(draw < share[F.col("lang")]).mapInPandas(sample, "lang string, piece binary").toPandas()
-    )
+    drawn = known.where(draw < share[F.col("lang")]).dropDuplicates(["lang", "text"])
+    found = drawn.mapInPandas(sample, "lang string, piece binary").toPandas()
     if found.empty:
         return None
     found = found.sort_values(["lang", "piece"], ignore_index=True)
@@ -239,7 +238,10 @@ def held_out(id_col: Column) -> Column:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` with ``held_out``, ``lang_pred`` and ``score``, learnt from the rows not held out.
 
-    Predictions see the text alone. Columns of ``docs`` with these three names are replaced.
+    Predictions see the text alone. A text that is null, empty or has no letter is ``und`` with score
+    zero, as are all texts if no row has both a text and a language. Long texts count in every window,
+    weighted by its bytes. Repeated rows stay, each with the same answer; classes that tie go by name;
+    a null id is learnt from. Columns of ``docs`` with these three names are replaced, all others stay.
     """
     base = docs.drop("held_out", "lang_pred", "score")
     net = fit(base.where(~held_out(F.col(id_col))), text_col, lang_col)
