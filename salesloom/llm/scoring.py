@@ -173,15 +173,23 @@ def train(
     shared,
     rounds: int = 2,
     start_documents: int = 500,
+    start_tokens: int = 8192,
     portion: int = 2_000_000,
 ) -> recurrent.Weights:
-    """Weights learnt from ``texts(draw, text)``: about ``start_documents`` of them on the driver,
-    then all in ``rounds`` rounds, each text in one round. ``draw`` is a number from 0 to 1.
+    """Weights learnt from ``texts(draw, text)``: on the driver from about ``start_documents`` of them,
+    the first ``start_tokens`` symbols of each and equal rows once, then from all whole texts in
+    ``rounds`` rounds, each text in one round. ``draw`` is a number from 0 to 1.
     """
     shape = corpus.vocabulary.shape
     learner = recurrent.Learner(recurrent.fresh(shape, corpus.symbol_counts), shape)
-    sample = texts.where(F.col("draw") < start_documents / max(1, corpus.documents)).toPandas()
-    docs = sorted((corpus.vocabulary.read(t).symbols for t in sample["text"]), key=lambda d: d.tolist())
+
+    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"s": [shared.value.read(t).symbols[:start_tokens].tobytes() for t in batch["text"]]})
+
+    drawn = texts.where(F.col("draw") < start_documents / max(1, corpus.documents)).dropDuplicates(["draw"])
+    sample = drawn.select("text").mapInPandas(begin, "s binary").toPandas()
+    docs = sorted((np.frombuffer(s, np.int32) for s in sample["s"]), key=lambda d: d.tolist())
     for _ in range(2):
         learner.learn(docs, lanes=64)
     flat = recurrent.packed(learner.w, shape)
