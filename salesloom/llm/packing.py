@@ -5,6 +5,7 @@ is packed. Pieces are dealt into randomised groups of bounded size and each grou
 own, which needs one shuffle of lengths and no knowledge of other groups.
 """
 
+import os
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain, repeat
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import ByteLevel
+from tokenizers.pre_tokenizers import ByteLevel, Sequence, Split
 
 from salesloom import scratch
 from salesloom.llm.batches import small_batches
@@ -80,9 +81,15 @@ class WordTokenizer:
     """
 
     def __init__(self, file: str, room: int = 250_000):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks fill the cores already
         self.whole = Tokenizer.from_file(file)
         self.bare = Tokenizer(self.whole.model)
-        self.bare.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bare.pre_tokenizer = Sequence([Split("\n", "removed"), as_bytes])
+        suffix = getattr(self.whole.model, "end_of_word_suffix", None)
+        self.ends_unit = np.zeros(1 + max(self.whole.get_vocab().values()), bool)
+        if suffix:
+            self.ends_unit[[i for t, i in self.whole.get_vocab().items() if t.endswith(suffix)]] = True
         special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.mark = commonprefix(special)  # empty without special tokens or if they differ at once
         self.guard = bool(special)
@@ -94,6 +101,19 @@ class WordTokenizer:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         return sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
 
+    def _encoded_units(self, units: list[str], run: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encoded`` by ``bare``, many units in one text. A vocabulary that marks the last token
+        of a unit tells where each one ends; if the ends are not as many as the units, or it has no
+        such mark, they are encoded one by one.
+        """
+        lines = ["\n".join(units[i : i + run]) for i in range(0, len(units), run)]
+        found = [e.ids for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate([np.empty(0, np.uint32), *(np.array(f, np.uint32) for f in found)])
+        ends = np.flatnonzero(self.ends_unit[ids]) + 1
+        if len(ends) != len(units) or (len(ends) and ends[-1] != len(ids)):
+            return self._encoded(self.bare, units)
+        return np.diff(ends, prepend=0), ids
+
     def _is_plain(self, text: str) -> bool:
         return (text.isascii() or max(text) < "ɐ") and not (self.guard and self.mark in text)
 
@@ -117,7 +137,7 @@ class WordTokenizer:
                 new = list(set(units) - {"\n"})
             if not self.units.slot:
                 self.units.add(["\n"], np.zeros(1, np.int64), np.empty(0, np.uint32))
-            self.units.add(new, *self._encoded(self.bare, new))
+            self.units.add(new, *self._encoded_units(new))
             slots = self.units.find(units)
         sizes, ids = self.units.runs(slots)
         ends = np.cumsum(sizes)[slots == self.units.slot["\n"]]
