@@ -3,7 +3,8 @@
 The next symbol's class is a softmax over all classes; for a word of the model's own vocabulary its
 place in the class is a second softmax. Words beyond the vocabulary are symbols of their class only.
 Documents run through lanes side by side; the state is carried from window to window until a
-document ends, and gradients are cut at the window's start.
+document ends, and gradients are cut at the window's start. Long documents are learnt in stretches
+side by side, each from the state that the document up to there gives.
 """
 
 from collections.abc import Iterator
@@ -107,7 +108,10 @@ def lay(docs: list[np.ndarray], lanes: int) -> Lanes:
     return Lanes(symbols.T.copy(), real.T.copy(), last.T.copy(), np.array(place), np.array(order), sizes)
 
 
-def _run(w: Weights, x: np.ndarray, last: np.ndarray, state: np.ndarray, keep: bool):
+Entries = dict[int, tuple[np.ndarray, np.ndarray]]  # by step: lanes, and the states they start from
+
+
+def _run(w: Weights, x: np.ndarray, last: np.ndarray, state: np.ndarray, keep: bool, entries: Entries | None = None):
     """States before each symbol of a window, the state after it, and what a backward pass needs."""
     steps, lanes = x.shape
     h = state.shape[1]
@@ -116,6 +120,10 @@ def _run(w: Weights, x: np.ndarray, last: np.ndarray, state: np.ndarray, keep: b
     kept = []
     stay, ends = ~last, last.any(axis=1)
     for t in range(steps):
+        if entries and t in entries:
+            lane, entry = entries[t]
+            state = state.copy()
+            state[lane] = entry
         before[t] = state
         turned = state @ w["turn"]
         zr = entered[t, :, : 2 * h] + turned[:, : 2 * h]
@@ -138,8 +146,9 @@ def _classes(w: Weights, shape: Shape, symbols: np.ndarray) -> np.ndarray:
     return np.where(symbols < shape.words, symbols // shape.width, symbols - shape.words + shape.own)
 
 
-def _normal(logits: np.ndarray, most: float) -> np.ndarray:
-    """Natural log of the softmax's denominators; turns the logits into their exponentials.
+def _exponentials(logits: np.ndarray, most: float) -> tuple[np.ndarray, np.float32]:
+    """The softmax's denominators and the logarithm of what they were divided by; turns the logits
+    into the numerators.
 
     ``most`` bounds the logits, so one number, the same for all rows, keeps them in range.
     """
@@ -148,7 +157,12 @@ def _normal(logits: np.ndarray, most: float) -> np.ndarray:
         logits -= shift
     np.exp(logits, out=logits)
     total = logits @ np.ones(logits.shape[1], np.float32)
-    np.maximum(total, 1e-30, out=total)
+    return np.maximum(total, 1e-30, out=total), shift
+
+
+def _normal(logits: np.ndarray, most: float) -> np.ndarray:
+    """Natural log of the softmax's denominators; turns the logits into their exponentials."""
+    total, shift = _exponentials(logits, most)
     return np.log(total) + shift
 
 
@@ -196,6 +210,30 @@ def log_probabilities(w: Weights, shape: Shape, docs: list[np.ndarray], lanes: i
     return out
 
 
+def states_at(w: Weights, shape: Shape, docs: list[np.ndarray], stretch: int, lanes: int = 512, window: int = 32) -> list[np.ndarray]:
+    """For each document the states before its symbols 0, ``stretch``, twice ``stretch`` and so on."""
+    found = [np.zeros((max(1, -(-len(d) // stretch)), shape.hidden), np.float32) for d in docs]
+    if not docs:
+        return found
+    laid = lay(docs, lanes)
+    steps, width = laid.symbols.shape
+    lane, first = laid.place // steps, laid.place % steps
+    # What comes before a document's last wanted state is all that has to be run.
+    wanted = [(int(f) + i * stretch, int(at), doc, i) for doc, at, f in zip(laid.order, lane, first) for i in range(1, len(found[doc]))]
+    wanted.sort()
+    state, seen = np.zeros((width, shape.hidden), np.float32), 0
+    for at in range(0, steps, window):
+        if seen == len(wanted):
+            break
+        cut = (slice(at, at + window), slice(0, int((laid.sizes > at).sum())))
+        before, state, _ = _run(w, laid.symbols[cut], laid.last[cut], state[cut[1]], False)
+        while seen < len(wanted) and wanted[seen][0] < at + window:
+            step, row, doc, i = wanted[seen]
+            found[doc][i] = before[step - at, row]
+            seen += 1
+    return found
+
+
 class Learner:
     """Adam on windows of lanes, the state carried over."""
 
@@ -206,42 +244,59 @@ class Learner:
         self.second = {k: np.zeros_like(v) for k, v in weights.items()}
 
     def learn(self, docs: list[np.ndarray], lanes: int = 128, window: int = 32, stretch: int = 1024) -> None:
-        """One pass over the documents. Long ones are learnt in stretches that start afresh, so that
-        no lane runs on alone.
+        """One pass over the documents. Long ones are learnt in stretches in different lanes, so that
+        no lane runs on alone; a stretch starts from the state in which the weights at the pass's
+        start leave the document before it.
         """
-        parts = [d[i : i + stretch] for d in docs for i in range(0, len(d), stretch)]
+        long = [i for i, d in enumerate(docs) if len(d) > stretch]
+        states = dict(zip(long, states_at(self.w, self.shape, [docs[i] for i in long], stretch)))
+        parts, entry = [], []
+        for i, d in enumerate(docs):
+            for number, at in enumerate(range(0, len(d), stretch)):
+                parts.append(d[at : at + stretch])
+                entry.append(states[i][number] if number else None)
         if not parts:
             return
         laid = lay(parts, lanes)
         steps, width = laid.symbols.shape
+        entries: dict[int, list] = {}
+        for part, place in zip(laid.order, laid.place):
+            if entry[part] is not None:
+                entries.setdefault(int(place % steps), []).append((place // steps, entry[part]))
         state = np.zeros((width, self.shape.hidden), np.float32)
         for at in range(0, steps, window):
             cut = (slice(at, at + window), slice(0, int((laid.sizes > at).sum())))
-            state = self._window(laid.symbols[cut], laid.real[cut], laid.last[cut], state[cut[1]])
-
-    def _window(self, x, real, last, state) -> np.ndarray:
+            here = {
+                t - at: (np.array([lane for lane, _ in entries[t]]), np.stack([e for _, e in entries[t]]))
+                for t in range(at, min(at + window, steps))
+                if t in entries
+            }
+            state = self._window(laid.symbols[cut], laid.real[cut], laid.last[cut], state[cut[1]], here)
+
+    def _window(self, x, real, last, state, entries: Entries) -> np.ndarray:
         w, shape, h = self.w, self.shape, self.shape.hidden
-        before, after, kept = _run(w, x, last, state, True)
+        before, after, kept = _run(w, x, last, state, True, entries)
         hs, y = before[real], x[real]
         n = max(1, len(y))
         grads = {}
         classes = _classes(w, shape, y)
-        soft = hs @ w["pick"] + w["pick_bias"]
-        _normal(soft, _most(w["pick"], w["pick_bias"]))
-        soft /= soft.sum(axis=1, keepdims=True)
-        soft[np.arange(len(y)), classes] -= 1
-        soft /= n
+        soft = hs @ w["pick"]
+        soft += w["pick_bias"]
+        total, _ = _exponentials(soft, _most(w["pick"], w["pick_bias"]))
+        soft *= (1 / (n * total))[:, None]
+        soft[np.arange(len(y)), classes] -= np.float32(1 / n)
         grads["pick"], grads["pick_bias"] = hs.T @ soft, soft.sum(axis=0)
         back = soft @ w["pick"].T
         most_inner = _most(w["word"], w["word_bias"])
         grads["word"], grads["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
         for c, rows in _by_class(shape, classes):
-            inner = hs[rows] @ w["word"][c] + w["word_bias"][c]
-            _normal(inner, most_inner)
-            inner /= inner.sum(axis=1, keepdims=True)
-            inner[np.arange(len(rows)), y[rows] - c * shape.width] -= 1
-            inner /= n
-            grads["word"][c], grads["word_bias"][c] = hs[rows].T @ inner, inner.sum(axis=0)
+            of_class = hs[rows]
+            inner = of_class @ w["word"][c]
+            inner += w["word_bias"][c]
+            total, _ = _exponentials(inner, most_inner)
+            inner *= (1 / (n * total))[:, None]
+            inner[np.arange(len(rows)), y[rows] - c * shape.width] -= np.float32(1 / n)
+            grads["word"][c], grads["word_bias"][c] = of_class.T @ inner, inner.sum(axis=0)
             back[rows] += inner @ w["word"][c].T
         slope = np.zeros_like(before)
         slope[real] = back

@@ -4,6 +4,8 @@ Word counts cover every training document. The network starts from a bounded sam
 then every training document is learnt from once: in each round the tasks take their documents from
 the same weights, and the results are averaged, weighted by tokens. Scoring carries the state through
 each whole document. Words too rare for the tasks to hold are looked up by a join with the counts.
+Texts are split twice, to count words and to turn them into symbols; those are stored, and training
+and scoring read them.
 """
 
 from collections import Counter
@@ -16,6 +18,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesloom import scratch
 from salesloom.llm import recurrent
@@ -150,46 +153,50 @@ def read_corpus(counts: DataFrame, shape: Shape = SHAPE, at_hand: int = 200_000)
     return Corpus(vocabulary, by_symbol, int(bins["n"].sum()), int(bins["v"].sum()), documents)
 
 
-def _portions(batches: Iterator[pd.DataFrame], vocabulary: Vocabulary, tokens: int) -> Iterator[tuple[pd.DataFrame, list[Reading]]]:
-    """Rows with their readings, about ``tokens`` at a time, across batches."""
-    rows, readings, held = [], [], 0
+def _kept(symbols: np.ndarray, shape: Shape) -> bytes:
+    return symbols.astype(_width(shape)).tobytes()
+
+
+def _width(shape: Shape) -> np.dtype:
+    return np.dtype("<u2" if shape.symbols <= 1 << 16 else "<u4")
+
+
+def _portions(batches: Iterator[pd.DataFrame], shape: Shape, tokens: int) -> Iterator[tuple[pd.DataFrame, list[np.ndarray]]]:
+    """Rows with their symbols, about ``tokens`` at a time, across batches."""
+    rows, read, held = [], [], 0
     for batch in batches:
         first = 0
-        for i, text in enumerate(batch["text"]):
-            readings.append(vocabulary.read(text))
-            held += len(readings[-1].symbols)
+        for i, symbols in enumerate(batch["symbols"]):
+            read.append(np.frombuffer(symbols, _width(shape)).astype(np.int32))
+            held += len(read[-1])
             if held >= tokens:
-                rows.append(batch.iloc[first : i + 1].drop(columns="text"))
-                yield pd.concat(rows), readings
-                rows, readings, held, first = [], [], 0, i + 1
-        rows.append(batch.iloc[first:].drop(columns="text"))
-    if readings:
-        yield pd.concat(rows), readings
+                rows.append(batch.iloc[first : i + 1].drop(columns="symbols"))
+                yield pd.concat(rows), read
+                rows, read, held, first = [], [], 0, i + 1
+        rows.append(batch.iloc[first:].drop(columns="symbols"))
+    if read:
+        yield pd.concat(rows), read
 
 
 def train(
     texts: DataFrame,
     corpus: Corpus,
-    shared,
     rounds: int = 2,
     start_documents: int = 500,
     start_tokens: int = 8192,
     portion: int = 2_000_000,
 ) -> recurrent.Weights:
-    """Weights learnt from ``texts(draw, text)``: on the driver from about ``start_documents`` of them,
+    """Weights learnt from ``texts(draw, symbols)``: on the driver from about ``start_documents`` of them,
     the first ``start_tokens`` symbols of each and equal rows once, then from all whole texts in
     ``rounds`` rounds, each text in one round. ``draw`` is a number from 0 to 1.
     """
     shape = corpus.vocabulary.shape
     learner = recurrent.Learner(recurrent.fresh(shape, corpus.symbol_counts), shape)
 
-    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"s": [shared.value.read(t).symbols[:start_tokens].tobytes() for t in batch["text"]]})
-
+    width = _width(shape)
     drawn = texts.where(F.col("draw") < start_documents / max(1, corpus.documents)).dropDuplicates(["draw"])
-    sample = drawn.select("text").mapInPandas(begin, "s binary").toPandas()
-    docs = sorted((np.frombuffer(s, np.int32) for s in sample["s"]), key=lambda d: d.tolist())
+    sample = drawn.select(F.substring("symbols", 1, start_tokens * width.itemsize).alias("s")).toPandas()
+    docs = sorted((np.frombuffer(s, width).astype(np.int32) for s in sample["s"]), key=lambda d: d.tolist())
     for _ in range(2):
         learner.learn(docs, lanes=64)
     flat = recurrent.packed(learner.w, shape)
@@ -200,15 +207,15 @@ def train(
         def learn(batches: Iterator[pd.DataFrame], start: bytes = start) -> Iterator[pd.DataFrame]:
             weights = recurrent.unpacked(np.frombuffer(start, np.float32), shape)
             own, tokens = recurrent.Learner(weights, shape, 0.005), 0
-            for _, readings in _portions(batches, shared.value, portion):
-                own.learn([r.symbols for r in readings], lanes=512)
-                tokens += sum(len(r.symbols) for r in readings)
+            for _, read in _portions(batches, shape, portion):
+                own.learn(read, lanes=512)
+                tokens += sum(map(len, read))
             if tokens:
                 found = recurrent.packed(own.w, shape).astype(np.float64)
                 yield pd.DataFrame({"i": np.arange(len(found)), "w": found * tokens, "n": tokens})
 
         turn = F.floor(F.col("draw") * 4096) % rounds == number
-        parts = texts.where(turn).select("text").mapInPandas(learn, "i int, w double, n bigint")
+        parts = texts.where(turn).select("symbols").mapInPandas(learn, "i int, w double, n bigint")
         mean = parts.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas()
         if len(mean):
             flat = mean.sort_values("i")["w"].to_numpy()
@@ -231,8 +238,11 @@ def score(
     columns are left out; without training rows the counts are zero.
     """
     small_batches(docs.sparkSession)
+    kind = docs.schema[id_col].dataType
+    # Pandas turns whole numbers beside null into floats, so they travel as text.
+    sent = F.col(id_col).cast("string") if isinstance(kind, T.IntegralType) else F.col(id_col)
     rows = docs.select(
-        F.col(id_col).alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).cast("binary").alias("text")
+        sent.alias("id"), held_out(F.col(id_col)).alias("held"), F.col(text_col).cast("binary").alias("text")
     )
     learnt = rows.where(~F.col("held"))
     counts = scratch.materialize(word_counts(learnt.select("text")), "counts")
@@ -240,41 +250,46 @@ def score(
     shared = docs.sparkSession.sparkContext.broadcast(corpus.vocabulary)
     hashed = F.pmod(F.xxhash64("id", "text", F.lit("lm")), F.lit(1 << 40))
     draw = (hashed / F.lit(float(1 << 40))).alias("draw")
-    weights = train(learnt.select(draw, "text"), corpus, shared, portion=portion)
     shape = corpus.vocabulary.shape
-    packed = recurrent.packed(weights, shape).tobytes()
-    unit = float(np.log10(corpus.tokens + corpus.distinct + 1))
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, w = shared.value, recurrent.unpacked(np.frombuffer(packed, np.float32), shape)
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The written table holds one attempt of each task, so this tells its rows apart.
         row = TaskContext.get().partitionId() << 33
-        for part, readings in _portions(batches, vocabulary, portion):
-            found = recurrent.log_probabilities(w, shape, [r.symbols for r in readings]) / LN10
-            n = np.array([len(r.symbols) for r in readings])
+        for batch in batches:
+            readings = [shared.value.read(t) for t in batch["text"]]
             left = [Counter(r.left) for r in readings]
-            yield pd.DataFrame(
-                {
-                    "row": row + np.arange(len(n)),
-                    "id": part["id"].to_numpy(),
-                    "held": part["held"].to_numpy(),
-                    "n_tokens": n,
-                    "n_known": [r.known for r in readings],
-                    "base": np.array([r.base for r in readings]) - n * unit,
-                    "lm": found + [r.rest for r in readings],
-                    "words": [list(c.keys()) for c in left],
-                    "times": [list(c.values()) for c in left],
-                }
+            yield batch.drop(columns="text").assign(
+                row=row + np.arange(len(batch)),
+                symbols=[_kept(r.symbols, shape) for r in readings],
+                n_known=[r.known for r in readings],
+                base=[r.base for r in readings],
+                rest=[r.rest for r in readings],
+                words=[list(c.keys()) for c in left],
+                times=[list(c.values()) for c in left],
             )
-            row += len(n)
+            row += len(batch)
 
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = (
-        f"row bigint, id {kind}, held boolean, n_tokens bigint, n_known bigint, base double, lm double,"
+    id_type = rows.schema["id"].dataType.simpleString()
+    stored = (
+        f"id {id_type}, held boolean, draw double, row bigint, symbols binary, n_known bigint, base double, rest double,"
         " words array<binary>, times array<bigint>"
     )
-    scored = scratch.materialize(rows.mapInPandas(of, schema), "scored")
-    asked = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
+    readings = scratch.materialize(rows.select("id", "held", draw, "text").mapInPandas(read, stored), "read")
+    weights = train(readings.where(~F.col("held")).select("draw", "symbols"), corpus, portion=portion)
+    packed = recurrent.packed(weights, shape).tobytes()
+    unit = float(np.log10(corpus.tokens + corpus.distinct + 1))
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        w = recurrent.unpacked(np.frombuffer(packed, np.float32), shape)
+        for part, symbols in _portions(batches, shape, portion):
+            found = recurrent.log_probabilities(w, shape, symbols) / LN10
+            n = np.array([len(s) for s in symbols])
+            yield part.drop(columns="rest").assign(n_tokens=n, base=part["base"] - n * unit, lm=found + part["rest"])
+
+    schema = f"row bigint, id {id_type}, held boolean, n_known bigint, base double, n_tokens bigint, lm double"
+    columns = ["row", "id", "held", "n_known", "base", "rest", "symbols"]
+    scored = scratch.materialize(readings.select(*columns).mapInPandas(of, schema), "scored")
+    asked = readings.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select(
         "row", F.col("w.words").alias("word"), F.col("w.times").alias("t")
     )
     rare = (
@@ -284,7 +299,7 @@ def score(
     )
     more, logs = F.coalesce("more", F.lit(0)), F.coalesce("logs", F.lit(0.0))
     return scored.join(rare, "row", "left").select(
-        F.col("id").alias(id_col),
+        F.col("id").cast(kind).alias(id_col),
         F.col("held").alias("held_out"),
         "n_tokens",
         (F.col("n_known") + more).alias("n_known"),
