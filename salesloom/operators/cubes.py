@@ -53,11 +53,15 @@ def members(lines: DataFrame) -> DataFrame:
     its own, in a bucket that is null.
     """
     parts = None
+    present = F.expr("filter(sequence(1, 12), m -> getbit(months, m) = 1)")
     for kind, column in MEMBERS.items():
-        # Map-side combined, so a customer with very many lines is one row a month.
-        held = scratch.materialize(lines.select(*MONTH, F.col(column).alias("id")).distinct(), "held")
+        # Map-side combined: an id is one row a year, with a bit for each month, however many its lines.
+        held = lines.groupBy("order_year", F.col(column).alias("id")).agg(
+            F.expr("bit_or(shiftleft(1, order_month))").alias("months")
+        )
+        held = scratch.materialize(held, "held")
         ids = with_surrogate_key(held.where("id IS NOT NULL").select("id").distinct(), [F.asc("id")], "number")
-        numbered = held.join(ids, "id", "left")
+        numbered = held.join(ids, "id", "left").select("order_year", "number", F.explode(present).alias("order_month"))
         bits = numbered.groupBy(*MONTH, F.expr("bitmap_bucket_number(number)").alias("bucket")).agg(
             F.expr("bitmap_construct_agg(bitmap_bit_position(number))").alias("bits")
         )
@@ -78,7 +82,7 @@ def customers(lines: DataFrame) -> DataFrame:
 
 
 def by_order(lines: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Sums by month, ``keys`` and order, from which both tables below are made."""
+    """Sums by month, ``keys`` and order."""
     return lines.groupBy(*MONTH, *keys, "order_id").agg(
         _revenue().alias("cube_revenue"), F.sum("quantity").alias("cube_quantity")
     )
@@ -94,6 +98,15 @@ def volumes(orders: DataFrame, keys: Iterable[str]) -> DataFrame:
     )
 
 
+def wandering(lines: DataFrame) -> DataFrame:
+    """Ids of the orders that have lines in several months: most often few, or none."""
+    month = F.col("order_year") * 12 + F.col("order_month")
+    spans = lines.where("order_id IS NOT NULL").groupBy("order_id").agg(
+        F.min(month).alias("first"), F.max(month).alias("last")
+    )
+    return spans.where("first < last").select("order_id")
+
+
 def returning(orders: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Months of each order that has more than one month under the same ``keys``."""
     month = F.col("order_year") * 12 + F.col("order_month")
@@ -110,24 +123,27 @@ def returning(orders: DataFrame, keys: Iterable[str]) -> DataFrame:
 def store(lines: DataFrame, folder: str) -> None:
     """Write all tables, each sorted by month within its files, from the lines of all months.
 
-    The tables do not depend on each other and are made side by side.
+    The tables do not depend on each other and are made side by side. Only lines of orders that have
+    several months at all are searched for those that have them under the same keys.
     """
     lines = filter_period(lines)
 
     def write(table: DataFrame, name: str) -> None:
         table.sortWithinPartitions(*MONTH).write.parquet(f"{folder}/{name}")
 
-    def write_volumes(name: str, keys: tuple[str, ...]) -> None:
-        orders = scratch.materialize(by_order(lines, keys), "orders")
-        write(volumes(orders, keys), name)
-        write(returning(orders, keys), f"{name}_returning")
-        scratch.drop(orders)
+    def write_returning() -> None:
+        several = scratch.materialize(wandering(lines), "wandering")
+        found = lines.join(several, "order_id", "left_semi")
+        for name, keys in VOLUMES.items():
+            write(returning(found.select(*MONTH, *keys, "order_id").distinct(), keys), f"{name}_returning")
+        scratch.drop(several)
 
     steps = [
         lambda: write(monthly(lines), "monthly"),
         lambda: write(members(lines), "members"),
         lambda: write(customers(lines), "customers"),
-        *[lambda name=name, keys=keys: write_volumes(name, keys) for name, keys in VOLUMES.items()],
+        *[lambda name=name, keys=keys: write(volumes(by_order(lines, keys), keys), name) for name, keys in VOLUMES.items()],
+        write_returning,
     ]
     with ThreadPoolExecutor(len(steps)) as pool:
         # Each thread gets its own copy of the caller's job group, tags and other properties.

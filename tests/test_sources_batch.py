@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesloom import scratch, versions
 from salesloom.functions import customer_id, money_sum, round2, to_day
-from salesloom.operators import panels
+from salesloom.operators import cubes, panels
 from salesloom.operators.clean import transform, unread_lines
 from salesloom.operators.quality import quality_report
 from salesloom.plans.batch import attach, read_reports, run_batch, validate
@@ -492,3 +492,19 @@ def test_unfinished_cubes_are_not_read(spark, batch, tmp_path, monkeypatch):
     assert open_dashboard(spark, path).panels["kpis"].first().total_orders == 10
     folder = cube_folder(path, versions.current(spark, path))
     assert len(os.listdir(folder)) == 1
+
+
+def test_cubes_keep_ids_not_lines(spark, tmp_path, monkeypatch):
+    """What is stored on the way grows with customers, products and orders of several months only."""
+    lines = spark.range(2400).selectExpr(
+        "2024 AS order_year", "int(id % 12) + 1 AS order_month", "1.25D AS revenue", "1 AS quantity",
+        "string(id % 1200) AS order_id", "string(id % 20) AS customer_id", "string(id % 20) AS customer_name",
+        "string(id % 30) AS product_id", "string(id % 30) AS product_name", "'s' AS segment", "'c' AS category",
+        "string(id % 7) AS city", "'r' AS region",
+    )
+    kept, write = [], scratch.materialize
+    monkeypatch.setattr(scratch, "materialize", lambda df, name: kept.append(df.count()) or write(df, name))
+    cubes.store(lines, str(tmp_path / "cubes"))
+    assert sum(kept) == 2 * (20 + 30)
+    assert spark.read.parquet(str(tmp_path / "cubes/item")).selectExpr("sum(cube_orders)").first()[0] == 1200
+    assert spark.read.parquet(str(tmp_path / "cubes/item_returning")).count() == 0
