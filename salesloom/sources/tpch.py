@@ -153,8 +153,13 @@ def _line_order() -> list:
 def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFrame:
     """Lines are joined once; the joined rows are sorted, numbered and written in one go.
 
-    Texts made of numbers are made after the sort, so the numbers travel.
+    Texts made of numbers are made after the sort, so the numbers travel, and of two equal keys only
+    that of the line, which the sort needs too.
     """
+    columns = {
+        name: expression.replace("o_orderkey", "l_orderkey").replace("p_partkey", "l_partkey")
+        for name, expression in columns.items()
+    }
     lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
     return with_surrogate_key(
         _joined(spark, base, lines), _line_order(), "row_id", named=_named(columns)

@@ -265,3 +265,23 @@ def test_only_needed_columns_are_read(spark):
     text = revenue_by_month(lines)._jdf.queryExecution().executedPlan().toString()
     assert "l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_discount:double>" in text
     assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
+
+
+def test_lines_meet_dimensions_in_two_joins(spark):
+    """Customers and places are matched before the lines; nulls match nothing, repeated keys multiply."""
+    lines = spark.createDataFrame(
+        [(1, "a", "p", "X", "S", "1"), (2, None, "p", "X", "S", "1"), (3, "a", None, "X", "S", None), (4, "b", "q", "Y", "S", "2")],
+        "row_id bigint, customer_id string, product_id string, city string, state string, postal_code string",
+    )
+    customers = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "customer_id string, customer_key bigint")
+    products = spark.createDataFrame([("p", 1), ("q", 2)], "product_id string, product_key bigint")
+    places = spark.createDataFrame(
+        [("X", "S", "1", 1), ("X", "S", None, 2), ("Y", "S", "2", 3), ("Y", "S", "2", 4)],
+        "city string, state string, postal_code string, location_key bigint",
+    )
+    keyed = star.with_dimension_keys(lines, customers, products, places)
+    rows = keyed.select("row_id", "customer_key", "product_key", "location_key").collect()
+    assert sorted(map(tuple, rows), key=repr) == [
+        (1, 1, 1, 1), (1, 2, 1, 1), (2, None, 1, 1), (3, 1, None, None), (3, 2, None, None), (4, 3, 2, 3), (4, 3, 2, 4)
+    ]
+    assert str(keyed._jdf.queryExecution().analyzed()).count("Join ") == 2
