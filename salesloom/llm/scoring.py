@@ -9,7 +9,7 @@ and scoring read them.
 """
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 from typing import NamedTuple
 
@@ -79,8 +79,21 @@ class Vocabulary(NamedTuple):
     class_logs: np.ndarray  # log10 of each other class's total
     shape: Shape
 
-    def read(self, text: bytes | None) -> Reading:
-        words = [*words_of(text), END]
+    def read(self, texts: Iterable[bytes | None], together: int = 50_000) -> Iterator[Reading]:
+        """A reading of each text; about ``together`` words are looked up at once."""
+        words: list[bytes] = []
+        ends: list[int] = []
+        for text in texts:
+            words += words_of(text)
+            words.append(END)
+            ends.append(len(words))
+            if len(words) >= together:
+                yield from self._read(words, ends)
+                words, ends = [], []
+        if ends:
+            yield from self._read(words, ends)
+
+    def _read(self, words: list[bytes], ends: list[int]) -> Iterator[Reading]:
         at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
         symbols = self.symbols[at]
         missing = np.flatnonzero(at < 0)
@@ -93,9 +106,16 @@ class Vocabulary(NamedTuple):
         logs = self.logs[at]
         logs[missing] = 0
         other = symbols - self.shape.words
-        rare = other >= 0
-        rest = logs[rare].sum() - self.class_logs[other[rare]].sum()
-        return Reading(symbols.astype(np.int32), float(logs.sum()), len(words) - len(left), float(rest), left)
+        rare = np.flatnonzero(other >= 0)
+        shares = np.zeros(len(words))
+        shares[rare] = logs[rare] - self.class_logs[other[rare]]
+        starts = [0, *ends[:-1]]
+        base, rest = np.add.reduceat(logs, starts).tolist(), np.add.reduceat(shares, starts).tolist()
+        symbols = symbols.astype(np.int32)
+        cuts = [0, *np.searchsorted(missing, ends).tolist()]
+        for i, (start, end) in enumerate(zip(starts, ends)):
+            lost = left[cuts[i] : cuts[i + 1]]
+            yield Reading(symbols[start:end], base[i], end - start - len(lost), rest[i], lost)
 
 
 class Corpus(NamedTuple):
@@ -256,8 +276,8 @@ def score(
         # The written table holds one attempt of each task, so this tells its rows apart.
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            readings = [shared.value.read(t) for t in batch["text"]]
-            left = [Counter(r.left) for r in readings]
+            readings = list(shared.value.read(batch["text"]))
+            left = [Counter(r.left) if r.left else {} for r in readings]
             yield batch.drop(columns="text").assign(
                 row=row + np.arange(len(batch)),
                 symbols=[_kept(r.symbols, shape) for r in readings],

@@ -176,3 +176,19 @@ def test_units_encoded_together_equal_units_alone(marked):
     want = [whole.encode(u, add_special_tokens=False).ids for u in units]
     assert sizes.tolist() == list(map(len, want))
     assert ids.tolist() == [i for one in want for i in one]
+
+
+@pytest.mark.parametrize("together", [1, 4, 1000])
+def test_words_are_looked_up_for_many_texts_at_once(together):
+    """A text's reading does not depend on the texts looked up with it."""
+    shape = scoring.Shape(2, 1, 3, 2)
+    known = {b"": 0, b"a": 1, b"bb": 2, b"cab": 3}
+    logs, classes = np.log10([5.0, 4, 3, 2, 1]), np.array([0.5, 0.25])
+    words = scoring.Vocabulary(known, np.array([0, 1, 2, 3, 0]), logs, {b"ab": 0}, classes, shape)
+    texts = [b"A bb", None, b"cab a zab", b"", b"q q a", b"a"]
+    found = list(words.read(texts, together))
+    assert [r.symbols.tolist() for r in found] == [[1, 2, 0], [0], [3, 1, 3, 0], [0], [4, 4, 1, 0], [1, 0]]
+    assert [r.left for r in found] == [[], [], [b"zab"], [], [b"q", b"q"], []]
+    assert [r.known for r in found] == [3, 1, 3, 1, 2, 2]
+    assert np.allclose([r.base for r in found], [logs[[1, 2, 0]].sum(), logs[0], logs[[3, 1, 0]].sum(), logs[0], logs[[1, 0]].sum(), logs[[1, 0]].sum()])
+    assert np.allclose([r.rest for r in found], [0, 0, logs[3] - 2 * classes[0], 0, -2 * classes[1], 0])
