@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom import versions
 from salesloom.operators import star as star_schema
-from salesloom.operators.clean import clean, transform
+from salesloom.operators.clean import clean, with_amounts, with_order_period
 from salesloom.operators.quality import quality_report, quality_results
 from salesloom.operators.star import Star
 from salesloom.operators.summaries import build_summaries
@@ -139,7 +139,7 @@ def run_batch(
 
     # Everything downstream reads the stored lines, so cleaning and enrichment run once.
     silver = f"{output_dir}/silver"
-    written = files.write_silver(transform(clean(raw)), silver)
+    written = files.write_silver(with_order_period(clean(raw)), silver, with_amounts)
     sales = read_sales(spark, written)
 
     summaries = build_summaries(sales)

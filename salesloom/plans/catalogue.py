@@ -12,7 +12,15 @@ from salesloom.functions import money_sum, round2
 from salesloom.operators import panels, star, summaries
 from salesloom.plans import batch
 from salesloom.plans.dashboard import open_dashboard
-from salesloom.operators.clean import clean, drop_duplicates, null_profile, transform, unread_lines
+from salesloom.operators.clean import (
+    clean,
+    drop_duplicates,
+    null_profile,
+    transform,
+    unread_lines,
+    with_amounts,
+    with_order_period,
+)
 from salesloom.operators.quality import quality_report
 from salesloom.schemas import CATALOG_JSON, SALES, SUMMARIES
 from salesloom.sinks import files, warehouse
@@ -285,7 +293,7 @@ def silver_roundtrip(spark: SparkSession, base: str) -> DataFrame:
     raw = tpch.sales(spark, base)
     files.write_bronze(raw, f"{folder}/bronze")
     bronze = read_sales(spark, f"{folder}/bronze", raw.schema)
-    files.write_silver(transform(clean(bronze)), f"{folder}/silver")
+    files.write_silver(with_order_period(clean(bronze)), f"{folder}/silver", with_amounts)
     columns = [field for field in SALES if field.name != "row_id"]
     return read_sales(spark, f"{folder}/silver", type(SALES)(columns))
 
@@ -361,7 +369,8 @@ def stored_star_sql(spark: SparkSession, base: str) -> DataFrame:
     """The batch job's own load steps over stored silver: register, build, check, write, query."""
     folder = scratch.new_path(spark, "lake")
     database = f"{CATALOGUE_DATABASE}_batch"
-    written = files.write_silver(stored_sales(spark, base), f"{folder}/silver")
+    numbered = with_order_period(clean(tpch.numbered_sales(spark, base)))
+    written = files.write_silver(numbered, f"{folder}/silver", with_amounts)
     warehouse.create_database(spark, database)
     warehouse.register_sales(spark, f"{folder}/silver", database)
     lines = warehouse.read_table(spark, "sales", database)
@@ -402,7 +411,8 @@ def silver_of(spark: SparkSession, base: str, raw: Query) -> str:
     path = _stored_silver.get(key)
     if path is None or versions.current(spark, path) is None:
         path = f"{scratch.new_path(spark, 'dashboard')}/silver"
-        files.write_silver(raw(spark, base).withColumn("row_id", F.lit(None).cast("bigint")), path)
+        lines = raw(spark, base).drop("revenue", "discount_amount", "gross_sales")
+        files.write_silver(lines.withColumn("row_id", F.lit(None).cast("bigint")), path, with_amounts)
         _stored_silver[key] = path
     return path
 

@@ -1,7 +1,7 @@
 """Writers. Bronze, silver and a run's set of reports are new versions each time."""
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +18,19 @@ def write_bronze(df: DataFrame, path: str) -> str:
     return version
 
 
-def write_silver(df: DataFrame, path: str) -> str:
+def write_silver(df: DataFrame, path: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Enriched lines in one folder per order month, which period filters prune. Returns the
     version's folder.
 
     The rebalance keeps files near the advisory size: small months share a task, and a month that
-    holds much of the data is split over many tasks. Row ids are sorted within each file.
+    holds much of the data is split over many tasks. Row ids are sorted within each file. ``finish``
+    adds columns line by line after the rebalance, so that they are not shuffled.
     """
     period = ["order_year", "order_month"]
     order = [*period, "row_id"] if "row_id" in df.columns else period
     balanced = df.hint("rebalance", *[F.col(c) for c in period]).sortWithinPartitions(*order)
+    if finish is not None:
+        balanced = finish(balanced)
     version = versions.new(path)
     balanced.write.partitionBy(*period).parquet(version)
     versions.prune(df.sparkSession, path)

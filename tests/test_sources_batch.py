@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from salesloom import scratch, versions
 from salesloom.functions import customer_id, money_sum, round2, to_day
 from salesloom.operators import cubes, panels
-from salesloom.operators.clean import transform, unread_lines
+from salesloom.operators.clean import transform, unread_lines, with_amounts
 from salesloom.operators.quality import quality_report
 from salesloom.plans.batch import attach, read_reports, run_batch, validate
 from salesloom.plans.dashboard import cube_folder, open_dashboard
@@ -508,3 +508,15 @@ def test_cubes_keep_ids_not_lines(spark, tmp_path, monkeypatch):
     assert sum(kept) == 2 * (20 + 30)
     assert spark.read.parquet(str(tmp_path / "cubes/item")).selectExpr("sum(cube_orders)").first()[0] == 1200
     assert spark.read.parquet(str(tmp_path / "cubes/item_returning")).count() == 0
+
+
+def test_finished_columns_are_not_shuffled(spark, tmp_path):
+    lines = spark.range(50).selectExpr(
+        "2024 AS order_year", "int(id % 3) + 1 AS order_month", "id AS row_id", "id + 0.25D AS price", "2 AS quantity", "0.1D AS discount"
+    )
+    seen = []
+    files.write_silver(lines, str(tmp_path / "silver"), lambda df: seen.append(df.columns) or with_amounts(df))
+    assert seen == [lines.columns]
+    stored = read_sales(spark, str(tmp_path / "silver")).select("row_id", "revenue", "gross_sales", "discount_amount")
+    want = with_amounts(lines).select(*stored.columns)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, want.collect()))
