@@ -132,6 +132,27 @@ def test_customers_who_share_a_name_are_one(spark):
     assert tuples(shown) == [("Ann", "$20")]
 
 
+def test_orders_are_counted_for_shown_products_only(spark):
+    """The lines that are grouped by order are joined with the products shown beforehand."""
+    schema = "category string, product_name string, order_id string, revenue double, quantity int"
+    lines = [("Office", f"P{i % 40}", f"o{i}", float(i % 40), 1) for i in range(400)]
+    lines += [("Office", "P39", order, 0.0, 2) for order in ("o39", "o39", None)]
+    lines += [(None, None, order, 500.0, 1) for order in ("a", "a", None)]
+    lines += [(None, "P39", "a", 390.0, None), ("Office", None, "a", 390.0, 1)]
+    top = panels.top_products(spark.createDataFrame(lines, schema), 4)
+    by_order = [
+        line for line in top._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        if "LeftSemi" in line or "count(distinct order_id" in line
+    ]
+    assert len(by_order) == 2 and "LeftSemi" in by_order[1]
+    assert tuples(top) == [
+        (None, None, 1500.0, 2, 3),
+        (None, "P39", 390.0, 1, 0),
+        ("Office", None, 390.0, 1, 1),
+        ("Office", "P39", 390.0, 11, 16),
+    ]
+
+
 @pytest.mark.parametrize(
     "value, text",
     [
