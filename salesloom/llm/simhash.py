@@ -85,14 +85,20 @@ def _keys(max_bits: int) -> Column:
     return F.array(*out)
 
 
+def _large(df: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast. Spark takes an exploded row for as large as the row it
+    came from, so it would send the driver an index of many signatures a document as a small table."""
+    return df.hint("merge")
+
+
 def _pairs(index: DataFrame, max_bits: int) -> DataFrame:
     """Pairs ``(a, b)`` within the distance that share a signature of ``index(fp, place, rest, side)``."""
     keys = ["place", "rest"]
     left = index.select(*keys, F.col("fp").alias("a"), F.col("side").alias("sa"))
     right = index.select(*keys, F.col("fp").alias("b"), F.col("side").alias("sb"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
-    same = left.where("sa IS NULL").join(right.where("sb IS NULL"), keys).where("a < b")
-    apart = left.where("sa = 0").join(right.where("sb = 1"), keys)
+    same = left.where("sa IS NULL").join(_large(right.where("sb IS NULL")), keys).where("a < b")
+    apart = left.where("sa = 0").join(_large(right.where("sb = 1")), keys)
     return same.where(near).select("a", "b").union(apart.where(near).select("a", "b"))
 
 
@@ -125,21 +131,21 @@ def fingerprint_links(fps: DataFrame, max_bits: int = 2, bucket_limit: int = 100
     if max_bits <= 2 and not crowded.isEmpty():
         # All buckets that a crowded segment value falls into, by the same rule as the index.
         values = scratch.materialize(
-            whole.join(crowded, ["place", "rest"], "left_semi").select("fp", "place"), "crowded"
+            whole.join(_large(crowded), ["place", "rest"], "left_semi").select("fp", "place"), "crowded"
         )
         segment = F.floor(F.col("place") / (BITS + 1))
         hot = scratch.materialize(
-            values.join(signed.withColumnRenamed("place", "at"), "fp")
+            values.join(_large(signed.withColumnRenamed("place", "at")), "fp")
             .where(segment == F.floor(F.col("at") / (BITS + 1)))
             .select(F.col("at").alias("place"), "rest")
             .distinct(),
             "hot",
         )
-        members = signed.join(hot, ["place", "rest"], "left_semi").select("fp").distinct()
+        members = signed.join(_large(hot), ["place", "rest"], "left_semi").select("fp").distinct()
         fine = members.select("fp", F.explode(_fine_keys(max_bits)).alias("k"))
         least = fine.groupBy("k").agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1")
-        stars = fine.join(least, "k").where("fp > b").select(F.col("fp").alias("a"), "b")
-        signed = signed.join(hot, ["place", "rest"], "left_anti")
+        stars = fine.join(_large(least), "k").where("fp > b").select(F.col("fp").alias("a"), "b")
+        signed = signed.join(_large(hot), ["place", "rest"], "left_anti")
     index = scratch.materialize(signed, "signatures") if stars is not None else signed
     links = _pairs(index, max_bits)
     return links if stars is None else links.union(stars)
@@ -149,7 +155,7 @@ def _rooted(distinct: DataFrame, max_bits: int, bucket_limit: int) -> DataFrame:
     """``distinct(fp, first)`` with ``root``, a fingerprint that all linked ones share."""
     links = fingerprint_links(distinct.select("fp"), max_bits, bucket_limit)
     linked = connected_components(links).withColumnRenamed("node", "fp")
-    return distinct.join(linked, "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+    return distinct.join(_large(linked), "fp", "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
 
 
 def near_duplicates(
@@ -178,8 +184,8 @@ def near_duplicates(
     distinct = scratch.materialize(rows.groupBy("fp").agg(F.min("id").alias("first")), "distinct")
     rooted = _rooted(distinct, max_bits, bucket_limit)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
-    owner = scratch.materialize(rooted.join(smallest, "root").select("fp", "component"), "owners")
-    return rows.join(owner, "fp").select(F.col("id").alias(id_col), "fp", "component")
+    owner = scratch.materialize(rooted.join(_large(smallest), "root").select("fp", "component"), "owners")
+    return rows.join(_large(owner), "fp").select(F.col("id").alias(id_col), "fp", "component")
 
 
 def _text_key(text: Column) -> Column:

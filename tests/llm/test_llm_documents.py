@@ -81,6 +81,19 @@ def test_simhash_matches_brute_force(spark, odd_rows, bucket_limit):
     assert Counter((r.doc_id, r.fp % (1 << 64), r.component) for r in got) == want
 
 
+@pytest.mark.parametrize("bucket_limit", [1, 1000])
+def test_signatures_are_never_broadcast(spark, tmp_path, bucket_limit):
+    """An exploded index is estimated at the size of its fingerprints, which is far too low."""
+    spark.range(40).select((F.col("id") * 3).alias("fp")).write.parquet(str(tmp_path / "fps"))
+    links = simhash.fingerprint_links(spark.read.parquet(str(tmp_path / "fps")), bucket_limit=bucket_limit)
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
+    near = [(a, b) for a, b in combinations(range(40), 2) if (3 * a ^ 3 * b).bit_count() <= 2]
+    label = smallest(40, near)
+    want = {(3 * i, 3 * c) for i, c in enumerate(label) if label.count(c) > 1}
+    assert {tuple(r) for r in connected_components(links).collect()} == want
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
     assert simhash.drop_near_duplicates(docs_of(spark, [])).count() == 0
