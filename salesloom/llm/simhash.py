@@ -196,7 +196,7 @@ def _text_key(text: Column) -> Column:
 
 def _sized(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """A stored narrow table, broadcast if it has at most ``rows`` rows; else joined by shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else _large(df)
 
 
 def drop_near_duplicates(
@@ -224,9 +224,9 @@ def drop_near_duplicates(
     distinct = scratch.materialize(rows.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
     rooted = _rooted(distinct, max_bits, bucket_limit)
     first = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    owner = scratch.materialize(rooted.select("fp", "root").join(first, "root").select("fp", "first"), "owners")
+    owner = scratch.materialize(rooted.select("fp", "root").join(_large(first), "root").select("fp", "first"), "owners")
     stays = F.col("first.id").eqNullSafe(F.col("id")) & (F.col("first.text") == F.col("text"))
-    marked = rows.join(owner, "fp").select("id", "text", "copies", stays.alias("stays"))
+    marked = rows.join(_large(owner), "fp").select("id", "text", "copies", stays.alias("stays"))
     marked = scratch.materialize(marked.where("NOT stays OR copies > 1").drop("copies"), "marked")
 
     # Names that no column of the documents has.

@@ -94,6 +94,13 @@ def test_signatures_are_never_broadcast(spark, tmp_path, bucket_limit):
     assert {tuple(r) for r in connected_components(links).collect()} == want
 
 
+def test_long_key_lists_are_never_broadcast(spark):
+    docs, keys = spark.range(100), spark.range(50).select(F.col("id").alias("at"))
+    kept = docs.join(simhash._sized(keys, rows=49), docs["id"] == keys["at"], "left_anti")
+    assert "Broadcast" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert kept.count() == 50
+
+
 def test_simhash_of_nothing(spark):
     assert simhash.near_duplicates(docs_of(spark, [])).count() == 0
     assert simhash.drop_near_duplicates(docs_of(spark, [])).count() == 0
