@@ -145,7 +145,7 @@ def store(lines: DataFrame, folder: str) -> None:
         *[lambda name=name, keys=keys: write(volumes(by_order(lines, keys), keys), name) for name, keys in VOLUMES.items()],
         write_returning,
     ]
-    with ThreadPoolExecutor(len(steps)) as pool:
+    with scratch.freeing(lines.sparkSession), ThreadPoolExecutor(len(steps)) as pool:
         # Each thread gets its own copy of the caller's job group, tags and other properties.
         jobs = [pool.submit(inheritable_thread_target(lines.sparkSession)(step)) for step in steps]
         for job in jobs:

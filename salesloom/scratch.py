@@ -4,10 +4,18 @@ A written table cuts lineage: what was computed once stays the same for every la
 after executors are lost.
 """
 
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing_lock = threading.Lock()
+_freeing: list[str | None] = []  # the setting before each block that is open now
+
+
 def root(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables.
 
@@ -32,6 +40,28 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def freeing(spark: SparkSession) -> Iterator[None]:
+    """Delete the shuffle files of every job in the block as soon as it ends.
+
+    For jobs whose result is stored: nothing reads their shuffles again, but Spark keeps them until
+    the driver happens to collect its garbage, so that all steps of a query lie on the disks at once.
+    Blocks may overlap in threads; the setting from before returns when the last one ends.
+    """
+    with _freeing_lock:
+        _freeing.append(_freeing[0] if _freeing else spark.conf.get(_FREE, None))
+        spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        with _freeing_lock:
+            before = _freeing.pop()
+            if not _freeing and before is None:
+                spark.conf.unset(_FREE)
+            elif not _freeing:
+                spark.conf.set(_FREE, before)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesloom import versions
+from salesloom import scratch, versions
 
 
 def write_bronze(df: DataFrame, path: str) -> str:
@@ -32,7 +32,8 @@ def write_silver(df: DataFrame, path: str, finish: Callable[[DataFrame], DataFra
     if finish is not None:
         balanced = finish(balanced)
     version = versions.new(path)
-    balanced.write.partitionBy(*period).parquet(version)
+    with scratch.freeing(df.sparkSession):
+        balanced.write.partitionBy(*period).parquet(version)
     versions.prune(df.sparkSession, path)
     return version
 

@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from salesloom import scratch
 from salesloom.operators.keys import with_surrogate_key
 
 # The order in which lines are numbered. Lines equal in all of it are copies; _line, their place
@@ -60,6 +61,9 @@ def _joined(
 
     Lines and orders both grow with the business, so their join is a merge join at any size; AQE
     splits a partition that holds a hot order. The other sides are broadcast while they are small.
+
+    Orders come last: lines of one order then lie side by side, and the next shuffle compresses what
+    they share to almost nothing. Orders of a period come first, since few lines are left by them.
     """
     if lines is None:
         lines = read(spark, base, "lineitem")
@@ -69,9 +73,11 @@ def _joined(
         .join(read(spark, base, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read(spark, base, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
-    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        read(spark, base, "part"), F.col("l_partkey") == F.col("p_partkey")
-    )
+    orders, of_order = orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")
+    parts, of_part = read(spark, base, "part"), F.col("l_partkey") == F.col("p_partkey")
+    if between is None:
+        return lines.join(parts, of_part).join(orders, of_order)
+    return lines.join(orders, of_order).join(parts, of_part)
 
 
 def _nine_digits(key: str) -> str:
@@ -161,9 +167,10 @@ def _numbered(spark: SparkSession, base: str, columns: dict[str, str]) -> DataFr
         for name, expression in columns.items()
     }
     lines = read(spark, base, "lineitem").withColumn("_line", F.monotonically_increasing_id())
-    return with_surrogate_key(
-        _joined(spark, base, lines), _line_order(), "row_id", named=_named(columns)
-    )
+    with scratch.freeing(spark):
+        return with_surrogate_key(
+            _joined(spark, base, lines), _line_order(), "row_id", named=_named(columns)
+        )
 
 
 def numbered_sales(spark: SparkSession, base: str) -> DataFrame:

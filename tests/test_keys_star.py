@@ -1,13 +1,17 @@
 import datetime as dt
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from salesloom import scratch
 from salesloom.operators import star
 from salesloom.operators.keys import key_report, with_surrogate_key
 from salesloom.schemas import SALES
+from salesloom.sinks import files
 from salesloom.sources import tpch
 
 
@@ -285,3 +289,56 @@ def test_lines_meet_dimensions_in_two_joins(spark):
         (1, 1, 1, 1), (1, 2, 1, 1), (2, None, 1, 1), (3, 1, None, None), (3, 2, None, None), (4, 3, 2, 3), (4, 3, 2, 4)
     ]
     assert str(keyed._jdf.queryExecution().analyzed()).count("Join ") == 2
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+
+
+def left_behind(spark, before):
+    """Shuffle files since ``before``; they are deleted by a message, which takes a moment."""
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_numbering_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    numbered = tpch.numbered_sales(spark, "/root/testdata/sf0.001")
+    assert not left_behind(spark, before)
+    assert numbered.count() > 0
+
+
+def test_silver_leaves_no_shuffle_files(spark, tmp_path):
+    before = shuffle_files(spark)
+    lines = spark.range(1000).selectExpr("id AS row_id", "1996 AS order_year", "int(id % 12) + 1 AS order_month")
+    files.write_silver(lines, str(tmp_path / "silver"))
+    assert not left_behind(spark, before)
+
+
+def test_freeing_blocks_overlap_and_end(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(key, None) is None
+    first, second = scratch.freeing(spark), scratch.freeing(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key, None) is None
+    with pytest.raises(ValueError), scratch.freeing(spark):
+        raise ValueError
+    assert spark.conf.get(key, None) is None
+
+
+def test_lines_of_an_order_stay_together_until_the_next_shuffle(spark):
+    """Parts are joined before orders, unless a period leaves few orders."""
+    base = "/root/testdata/sf0.001"
+    whole = tpch.sales(spark, base)._jdf.queryExecution().optimizedPlan().toString()
+    some = tpch.sales(spark, base, (dt.date(1996, 1, 1), dt.date(1997, 1, 1)))._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.index("(l_orderkey") < whole.index("(l_partkey")
+    assert some.index("(l_partkey") < some.index("(l_orderkey")
