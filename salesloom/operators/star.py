@@ -4,6 +4,7 @@ No side of a join is broadcast by hint. Spark broadcasts a dimension when its wr
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise joins by shuffle, where AQE splits hot keys.
 """
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -101,13 +102,14 @@ def with_dimension_keys(
     and the lines meet both in one join. That is the first one: it frees them of four texts.
     """
     natural = ["customer_id", *LOCATION_KEY]
-    buyers = scratch.materialize(
-        sales.select(*natural)
-        .distinct()
-        .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
-        .join(locations.select(*LOCATION_KEY, "location_key"), list(LOCATION_KEY), "left"),
-        "buyers",
-    )
+    with scratch.freeing(sales.sparkSession):
+        buyers = scratch.materialize(
+            sales.select(*natural)
+            .distinct()
+            .join(customers.select("customer_id", "customer_key"), "customer_id", "left")
+            .join(locations.select(*LOCATION_KEY, "location_key"), list(LOCATION_KEY), "left"),
+            "buyers",
+        )
     same = reduce(and_, [F.col(f"s.{c}").eqNullSafe(F.col(f"b.{c}")) for c in natural])
     keyed = sales.alias("s").join(buyers.alias("b"), same, "left")
     return keyed.select("s.*", "customer_key", "location_key").join(
@@ -115,11 +117,24 @@ def with_dimension_keys(
     )
 
 
+# Amounts of the fact, and their names in the lines.
+FACT_AMOUNTS = {"sales_amount": "revenue", "discount_amount": "discount_amount", "gross_sales": "gross_sales"}
+# Adds the amounts, line by line.
+Finish = Callable[[DataFrame], DataFrame]
+
+
 def fact_sales(
-    sales: DataFrame, customers: DataFrame, products: DataFrame, locations: DataFrame
+    sales: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    locations: DataFrame,
+    finish: Finish | None = None,
 ) -> DataFrame:
-    """One row per order line."""
+    """One row per order line. ``finish`` adds the amounts after the joins, if ``sales`` has none, so
+    that they are not shuffled."""
     keyed = with_date_keys(with_dimension_keys(sales, customers, products, locations))
+    if finish is not None:
+        keyed = finish(keyed)
     return keyed.select(
         F.col("row_id").cast("bigint").alias("sales_key"),
         "order_id",
@@ -147,6 +162,8 @@ class Star:
     dim_date: DataFrame
     fact_sales: DataFrame
     sales: DataFrame
+    # What added the amounts to the lines, if that can be done again after a shuffle.
+    finish: Finish | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -158,7 +175,7 @@ class Star:
 def dimensions(sales: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The three numbered dimensions. Their jobs do not depend on each other and run side by side."""
     steps = (dim_customer, dim_product, dim_location)
-    with ThreadPoolExecutor(len(steps)) as pool:
+    with scratch.freeing(sales.sparkSession), ThreadPoolExecutor(len(steps)) as pool:
         # Each thread gets its own copy of the caller's job group, tags and other properties.
         builds = [
             pool.submit(inheritable_thread_target(sales.sparkSession)(step), sales)
@@ -168,16 +185,20 @@ def dimensions(sales: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return customers, products, locations
 
 
-def build_star(sales: DataFrame) -> Star:
-    """All five tables from the enriched sales table, which should be a written one."""
+def build_star(sales: DataFrame, finish: Finish | None = None) -> Star:
+    """All five tables from the enriched sales table, which should be a written one.
+
+    ``finish`` adds the amounts to lines that have none, see :func:`fact_sales`.
+    """
     customers, products, locations = dimensions(sales)
     return Star(
         dim_customer=customers,
         dim_product=products,
         dim_location=locations,
         dim_date=dim_date(sales),
-        fact_sales=fact_sales(sales, customers, products, locations),
-        sales=sales,
+        fact_sales=fact_sales(sales, customers, products, locations, finish),
+        sales=sales if finish is None else finish(sales),
+        finish=finish,
     )
 
 

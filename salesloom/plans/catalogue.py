@@ -50,17 +50,17 @@ def dirty(spark: SparkSession, base: str) -> DataFrame:
     return transform(clean(tpch.dirty_sales(spark, base)))
 
 
-def stored_sales(spark: SparkSession, base: str) -> DataFrame:
-    """Enriched lines with row ids, read from a written table."""
-    return transform(clean(tpch.numbered_sales(spark, base)))
-
-
 def stored_dirty(spark: SparkSession, base: str) -> DataFrame:
+    """Enriched lines with row ids, read from a written table."""
     return transform(clean(tpch.numbered_dirty_sales(spark, base)))
 
 
 def full_star(spark: SparkSession, base: str) -> star.Star:
-    return star.build_star(stored_sales(spark, base))
+    return star.build_star(with_order_period(clean(tpch.numbered_sales(spark, base))), with_amounts)
+
+
+def full_star_dirty(spark: SparkSession, base: str) -> star.Star:
+    return star.build_star(with_order_period(clean(tpch.numbered_dirty_sales(spark, base))), with_amounts)
 
 
 def on_sales(operator: Callable[[DataFrame], DataFrame]) -> Query:
@@ -124,7 +124,7 @@ def fact_sales(spark: SparkSession, base: str) -> DataFrame:
 
 
 def fact_sales_dirty(spark: SparkSession, base: str) -> DataFrame:
-    return star.build_star(stored_dirty(spark, base)).fact_sales
+    return full_star_dirty(spark, base).fact_sales
 
 
 def star_row_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -147,7 +147,7 @@ def star_key_problems(spark: SparkSession, base: str) -> DataFrame:
 
 
 def star_key_problems_dirty(spark: SparkSession, base: str) -> DataFrame:
-    return star.key_problems(star.build_star(stored_dirty(spark, base)))
+    return star.key_problems(full_star_dirty(spark, base))
 
 
 def stored_dates(spark: SparkSession, base: str) -> DataFrame:

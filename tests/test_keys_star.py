@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from salesloom import scratch
 from salesloom.operators import star
+from salesloom.operators.clean import with_amounts
 from salesloom.operators.keys import key_report, with_surrogate_key
 from salesloom.schemas import SALES
 from salesloom.sinks import files
@@ -342,3 +343,22 @@ def test_lines_of_an_order_stay_together_until_the_next_shuffle(spark):
     some = tpch.sales(spark, base, (dt.date(1996, 1, 1), dt.date(1997, 1, 1)))._jdf.queryExecution().optimizedPlan().toString()
     assert whole.index("(l_orderkey") < whole.index("(l_partkey")
     assert some.index("(l_partkey") < some.index("(l_orderkey")
+
+
+def test_amounts_are_made_behind_the_joins(spark):
+    """With ``finish`` no shuffle carries amounts, and the rows are those of lines that have them."""
+    lines = sales(spark, line(1, price=9.99, quantity=7, discount=0.15), line(2, quantity=3), line(3, customer_id=None))
+    bare = lines.drop("revenue", "discount_amount", "gross_sales")
+    with_them, late = star.build_star(with_amounts(bare)), star.build_star(bare, with_amounts)
+    want = sorted(map(tuple, with_them.fact_sales.collect()), key=repr)
+    assert late.fact_sales.columns == with_them.fact_sales.columns
+    assert sorted(map(tuple, late.fact_sales.collect()), key=repr) == want
+    assert late.sales.columns[-3:] == ["revenue", "discount_amount", "gross_sales"]
+
+    def early(built):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        text = built.fact_sales.select("*")._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        return "rint(" in text.lower()[text.index("Exchange") :]
+
+    assert early(with_them) and not early(late)
