@@ -323,7 +323,9 @@ def saved_star(spark: SparkSession, base: str) -> str:
     warehouse.create_database(spark, CATALOGUE_DATABASE)
     if version is None or not versions.is_complete(spark, version):
         version = versions.new(scratch.new_path(spark, "warehouse"))
-        warehouse.save_star(full_star(spark, base), version, CATALOGUE_DATABASE)
+        built = full_star(spark, base)
+        warehouse.save_star(built, version, CATALOGUE_DATABASE)
+        scratch.drop(built.sales)
         _saved_stars[key] = version
     else:
         warehouse.attach_star(spark, version, CATALOGUE_DATABASE)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesloom import versions
-from salesloom.operators.star import Star
+from salesloom import scratch, versions
+from salesloom.operators.star import FACT_AMOUNTS, Finish, Star
 from salesloom.schemas import SALES, STAR
 
 DATABASE = "analytics"
@@ -56,26 +56,39 @@ def attach_star(spark: SparkSession, version: str, database: str = DATABASE) ->
             _register(spark, f"{database}.{name}", kind, f"{version}/{name}")
 
 
+def by_month(fact: DataFrame, finish: Finish | None = None) -> DataFrame:
+    """The fact gathered by order month and sorted by date; ``finish`` makes its amounts behind that.
+
+    The rebalance needs no sampling pass over the joins, and it splits a month with very many lines
+    over as many tasks as its size asks for.
+    """
+    month = F.floor(F.col("order_date_key") / 100)
+    gathered = (
+        fact.withColumn("_month", month)
+        .hint("rebalance", F.col("_month"))
+        .sortWithinPartitions("order_date_key", "sales_key")
+        .drop("_month")
+    )
+    if finish is None:
+        return gathered
+    lines = finish(gathered.drop(*FACT_AMOUNTS).withColumnRenamed("unit_price", "price"))
+    named = lines.withColumnsRenamed({"price": "unit_price"} | {v: k for k, v in FACT_AMOUNTS.items()})
+    return named.select(*fact.columns)
+
+
 def save_star(star: Star, version: str, database: str = DATABASE) -> None:
     """Write all five tables into one new folder, then point the database to them.
 
-    Dimensions as they are, in key order; the fact gathered by order month and sorted by date.
-
-    Date filters then skip files and row groups. The rebalance needs no sampling pass over the
-    joins, and it splits a month with very many lines over as many tasks as its size asks for.
+    Dimensions as they are, in key order; the fact by month, so that date filters skip files and row
+    groups.
     """
+    spark = star.sales.sparkSession
     for name, df in star.tables().items():
         table = _typed(df, name)
         if name == "fact_sales":
-            month = F.floor(F.col("order_date_key") / 100)
-            table = (
-                table.withColumn("_month", month)
-                .hint("rebalance", F.col("_month"))
-                .sortWithinPartitions("order_date_key", "sales_key")
-                .drop("_month")
-            )
-        table.write.parquet(f"{version}/{name}")
-    spark = star.sales.sparkSession
+            table = by_month(table, star.finish)
+        with scratch.freeing(spark):
+            table.write.parquet(f"{version}/{name}")
     versions.finish(spark, version)
     attach_star(spark, version, database)
 

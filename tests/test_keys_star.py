@@ -12,7 +12,7 @@ from salesloom.operators import star
 from salesloom.operators.clean import with_amounts
 from salesloom.operators.keys import key_report, with_surrogate_key
 from salesloom.schemas import SALES
-from salesloom.sinks import files
+from salesloom.sinks import files, warehouse
 from salesloom.sources import tpch
 
 
@@ -357,8 +357,11 @@ def test_amounts_are_made_behind_the_joins(spark):
 
     def early(built):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        text = built.fact_sales.select("*")._jdf.queryExecution().executedPlan().toString()
+        text = warehouse.by_month(built.fact_sales, built.finish)._jdf.queryExecution().executedPlan().toString()
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         return "rint(" in text.lower()[text.index("Exchange") :]
 
     assert early(with_them) and not early(late)
+    stored = warehouse.by_month(late.fact_sales, late.finish)
+    assert stored.columns == with_them.fact_sales.columns
+    assert sorted(map(tuple, stored.collect()), key=repr) == want
