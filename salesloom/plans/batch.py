@@ -13,7 +13,7 @@ from salesloom.operators.clean import clean, with_amounts, with_order_period
 from salesloom.operators.quality import quality_report, quality_results
 from salesloom.operators.star import Star
 from salesloom.operators.summaries import build_summaries
-from salesloom.schemas import RAW_SALES, SALES, SUMMARIES
+from salesloom.schemas import AMOUNTS, RAW_SALES, SALES, SUMMARIES
 from salesloom.sinks import files, warehouse
 from salesloom.sources.catalog import read_catalog
 from salesloom.sources.files import read_sales, read_summary
@@ -77,13 +77,24 @@ def build_dataset(
     return read_sales(spark, bronze, RAW_SALES)
 
 
-def load_star(spark: SparkSession, sales: DataFrame, version: str, database: str) -> Star:
+def load_star(
+    spark: SparkSession,
+    sales: DataFrame,
+    version: str,
+    database: str,
+    finish: star_schema.Finish | None = None,
+) -> Star:
     """Build the star, check its keys and only then write it to the new folder ``version``.
 
+    ``finish`` makes the amounts of ``sales`` anew after the fact's joins, so that they are not
+    shuffled; it is for lines whose amounts it has made.
+
     Repeated keys raise :class:`StarRefused`; what is wrong is then stored beside, as
     ``<version>_refused``.
     """
-    star = star_schema.build_star(sales)
+    if finish is not None:
+        sales = sales.drop(*(f.name for f in AMOUNTS))
+    star = star_schema.build_star(sales, finish)
     # Eight rows, one per checked key.
     faulty = star_schema.key_problems(star).where(
         "duplicate_keys > 0 OR (null_rows > 0 AND key_columns = 'row_id')"
@@ -156,7 +167,7 @@ def run_batch(
     if build_star_schema:
         try:
             stored = warehouse.read_table(spark, "sales", database)
-            star = load_star(spark, stored, star_version(output_dir, written), database)
+            star = load_star(spark, stored, star_version(output_dir, written), database, with_amounts)
             versions.prune(spark, f"{output_dir}/warehouse")
         except Exception as error:
             # Whatever went wrong with the star, the stored sales stay usable.

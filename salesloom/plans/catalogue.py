@@ -373,10 +373,11 @@ def stored_star_sql(spark: SparkSession, base: str) -> DataFrame:
     database = f"{CATALOGUE_DATABASE}_batch"
     numbered = with_order_period(clean(tpch.numbered_sales(spark, base)))
     written = files.write_silver(numbered, f"{folder}/silver", with_amounts)
+    scratch.drop(numbered)
     warehouse.create_database(spark, database)
     warehouse.register_sales(spark, f"{folder}/silver", database)
     lines = warehouse.read_table(spark, "sales", database)
-    batch.load_star(spark, lines, batch.star_version(folder, written), database)
+    batch.load_star(spark, lines, batch.star_version(folder, written), database, with_amounts)
     return spark.sql(
         f"""
         SELECT l.region, d.year, COUNT(*) AS line_count,

@@ -37,6 +37,8 @@ METRICS = T.StructType(
     ]
 )
 
+AMOUNTS = METRICS.fields[2:]
+
 SALES = T.StructType(RAW_SALES.fields + METRICS.fields)
 
 SUMMARIES = {
